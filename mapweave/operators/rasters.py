@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from ..functions.geometry import col
 
 TILE_SIZE = 512
+#: metadata rows (about 200 bytes each) that may be sent to all executors
+BROADCAST_RASTERS = 50_000
 
 BAND = T.StructType(
     [
@@ -162,20 +164,33 @@ def join_meta(df: DataFrame, meta: DataFrame, columns: dict, raster_id: str | No
 
     With a literal ``raster_id`` its one metadata row is read first and becomes
     constants, so there is no join.  Otherwise the rows are joined by their own
-    ``raster_id``; the planner broadcasts the metadata when its measured size
-    allows and shuffles, with skew handling, when it does not.
+    ``raster_id``: metadata of up to BROADCAST_RASTERS rasters is broadcast, so
+    that pixels are not shuffled; more of it is joined by a shuffle.
     """
     side = meta.select(F.col("raster_id").alias("_rid"), *[c.alias(n) for n, c in columns.items()])
     if raster_id is not None:
         row = raster_row(meta.select("raster_id", *[c.alias(n) for n, c in columns.items()]), raster_id)
         found = {n: literal(row[n], side.schema[n].dataType) for n in columns}
         return df.withColumns({"raster_id": F.lit(raster_id), **found})
+    if side.limit(BROADCAST_RASTERS + 1).count() <= BROADCAST_RASTERS:
+        side = F.broadcast(side)
     joined = df.join(side, F.col("raster_id") == F.col("_rid"), "left")
     missing = F.raise_error(F.concat(F.lit("Missing raster: "), F.coalesce("raster_id", F.lit("NULL"))))
     checked = F.when(F.col("_rid").isNull(), missing.cast("string")).otherwise(F.col("raster_id"))
     return joined.withColumn("raster_id", checked).drop("_rid")
 
 
+def tile_rows(rows: list[dict], blocks: list[np.ndarray]) -> pa.RecordBatch:
+    """Batch of tile rows from key dictionaries and pixel blocks."""
+    schema = arrow_type(TILE)
+    columns = [pa.array([r[f.name] for r in rows], f.type) for f in list(schema)[:-1]]
+    return pa.RecordBatch.from_arrays(columns + [pixel_lists(blocks).cast(schema[-1].type)], schema=schema)
+
+
+def add_step(text: str) -> Column:
+    return F.concat("steps", F.array(F.lit(text)))
+
+
 def tiles_from_pixels(pixels: DataFrame, meta: DataFrame, raster_id: str | None = None) -> DataFrame:
     """Tiles from one row per pixel: ``raster_id, band, x, y, v``.
 
@@ -329,7 +344,7 @@ def select_bands(meta: DataFrame, tiles: DataFrame, bands) -> tuple[DataFrame, D
     checked = F.when(
         F.size("bands") < max(chosen), F.raise_error(F.lit("Band does not exist")).cast(T.ArrayType(BAND))
     ).otherwise(F.transform(numbers, lambda b: F.element_at("bands", b)))
-    step = F.concat("steps", F.array(F.lit("bands " + " ".join(map(str, chosen)))))
+    step = add_step("bands " + " ".join(map(str, chosen)))
     position = F.array_position(numbers, F.col("band")).cast("int")
     return (
         meta.withColumn("bands", checked).withColumn("steps", step),
