@@ -166,19 +166,15 @@ def st_envelope(geom) -> Column:
 
 
 def _type_code(geom) -> Column:
-    data = col(geom)["wkb"]
-    text = F.hex(F.substring(data, 2, 4))
-    little = F.concat(*[F.substring(text, i, 2) for i in (7, 5, 3, 1)])
-    return F.conv(F.when(F.hex(F.substring(data, 1, 1)) == "00", text).otherwise(little), 16, 10).cast("int")
+    head = F.hex(F.substring(col(geom)["wkb"], 1, 5))
+    little = F.concat(*[F.substring(head, i, 2) for i in (9, 7, 5, 3)])
+    return F.conv(F.when(head.startswith("00"), F.substring(head, 3, 8)).otherwise(little), 16, 10).cast("int")
 
 
 def st_type(geom) -> Column:
     """Upper-case geometry type name, read from the WKB header only."""
-    code = _type_code(geom) % 1000
-    result = F.lit(None).cast("string")
-    for number, name in W.NAMES.items():
-        result = F.when(code == number, name).otherwise(result)
-    return result
+    names = F.array(*[F.lit(W.NAMES[i]) for i in sorted(W.NAMES)])
+    return F.get(names, _type_code(geom) % 1000 - 1)
 
 
 def st_hasz(geom) -> Column:
