@@ -9,55 +9,74 @@ from pyspark.sql import functions as F
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, however often the
+    body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def number_parts(text: Column) -> Column:
     """Normal form of a decimal text: ``STRUCT<negative, digits, exponent>``
     with value = digits * 10^exponent, no leading or trailing zero digits.
     Two texts denote the same number exactly when their parts are equal.
     """
-    whole = F.regexp_extract(text, r"^-?([0-9]+)", 1)
-    fraction = F.regexp_extract(text, r"\.([0-9]+)", 1)
-    power = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1).try_cast("long"), F.lit(0))
-    digits = F.regexp_replace(F.concat(whole, fraction), "^0+", "")
-    kept = F.regexp_replace(digits, "0+$", "")
-    exponent = power - F.length(fraction) + F.length(digits) - F.length(kept)
-    zero = kept == ""
-    return F.when(
-        text.rlike(NUMBER),
-        F.struct(
-            (text.startswith("-") & ~zero).alias("negative"),
+
+    def split(t):
+        whole = F.regexp_extract(t, r"^-?([0-9]+)", 1)
+        fraction = F.regexp_extract(t, r"\.([0-9]+)", 1)
+        power = F.coalesce(F.regexp_extract(t, r"[eE]([+-]?[0-9]+)$", 1).try_cast("long"), F.lit(0))
+        return F.struct(
+            t.startswith("-").alias("minus"),
+            F.regexp_replace(F.concat(whole, fraction), "^0+", "").alias("digits"),
+            (power - F.length(fraction)).alias("power"),
+        )
+
+    def normal(p):
+        kept = F.regexp_replace(p["digits"], "0+$", "")
+        zero = p["digits"] == ""
+        exponent = p["power"] + F.length(p["digits"]) - F.length(kept)
+        return F.struct(
+            (p["minus"] & ~zero).alias("negative"),
             kept.alias("digits"),
             F.when(zero, 0).otherwise(exponent).cast("long").alias("exponent"),
-        ),
-    )
+        )
+
+    return let(F.when(text.rlike(NUMBER), text), lambda t: F.when(t.isNotNull(), let(split(t), normal)))
 
 
 def exact_long(text: Column) -> Column:
     """The 64-bit integer a decimal text denotes, NULL when it is not one."""
-    p = number_parts(text)
-    zeros = F.when(p["exponent"].between(0, 19), F.repeat(F.lit("0"), p["exponent"].cast("int")))
-    plain = F.concat(F.when(p["negative"], "-").otherwise(""), p["digits"], zeros)
-    return F.when(p["digits"] == "", F.lit(0)).otherwise(plain.try_cast("long")).cast("long")
+
+    def whole(p):
+        zeros = F.when(p["exponent"].between(0, 19), F.repeat(F.lit("0"), p["exponent"].cast("int")))
+        plain = F.concat(F.when(p["negative"], "-").otherwise(""), p["digits"], zeros)
+        return F.when(p["digits"] == "", F.lit(0).cast("long")).otherwise(plain.try_cast("long"))
+
+    return let(number_parts(text), whole)
+
+
+def _same_number(text: Column, value: Column) -> Column:
+    """The value when its text denotes the same number, else NULL."""
+    return let(
+        F.struct(text.alias("t"), value.alias("v")),
+        lambda p: F.when(number_parts(p["v"].cast("string")) == number_parts(p["t"]), p["v"]),
+    )
 
 
 def exact_double(text: Column) -> Column:
     """The double whose shortest text denotes the same number, else NULL."""
-    value = text.try_cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
-    return F.when(finite & (number_parts(value.cast("string")) == number_parts(text)), value)
+    return _same_number(text, text.try_cast("double"))
 
 
 def exact_decimal(text: Column, precision: int = 38, scale: int = 18) -> Column:
     """The decimal when it holds the number without rounding, else NULL."""
-    value = text.try_cast(f"decimal({precision},{scale})")
-    return F.when(number_parts(value.cast("string")) == number_parts(text), value)
-
-
-def is_integral(value: Column) -> Column:
-    return value == F.floor(value)
+    return _same_number(text, text.try_cast(f"decimal({precision},{scale})"))
 
 
 def fits_integer(value: Column, low: int, high: int) -> Column:
     """Numeric value as an exact integer of a range, else NULL."""
-    number = value.try_cast("decimal(38,18)")
-    whole = (number == F.floor(number)) & number.between(F.lit(low).cast("decimal(38,0)"), F.lit(high).cast("decimal(38,0)"))
-    return F.when(whole, number.try_cast("long"))
+    limits = [F.lit(v).cast("decimal(38,0)") for v in (low, high)]
+    return let(
+        value.try_cast("decimal(38,18)"),
+        lambda n: F.when((n == F.floor(n)) & n.between(*limits), n.try_cast("long")),
+    )
