@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.coverage import Grid, covered
 from ..functions.crs import known, transform_xy
-from ..functions.geometry import parse_crs
+from ..functions.geometry import BOUNDS, parse_crs
 from .rasters import (
     GRID_FIELDS, INTEGER_RANGES, META, TILE, add_step, join_meta, pixel_blocks, select_bands, tile_rows,
 )
@@ -80,7 +80,7 @@ def clip_box(meta, tiles, xmin, ymin, xmax, ymax, crs=None) -> tuple[DataFrame,
     return cut_meta(planned, "clip box"), cut_tiles(tiles, planned)
 
 
-@F.arrow_udf("xmin double, ymin double, xmax double, ymax double")
+@F.arrow_udf(BOUNDS)
 def _box_bounds(
     xmin: pa.Array, ymin: pa.Array, xmax: pa.Array, ymax: pa.Array, source: pa.Array, target: pa.Array
 ) -> pa.Array:
@@ -117,8 +117,8 @@ def cut_tiles(tiles: DataFrame, planned: DataFrame) -> DataFrame:
     base = (
         base.withColumn("_x", (left - F.col("col0")).cast("int"))
         .withColumn("_y", (top - F.col("row0")).cast("int"))
-        .withColumn("_n", (F.least(right, w["c1"]) - left).cast("int"))
-        .withColumn("_m", (F.least(bottom, w["r1"]) - top).cast("int"))
+        .withColumn("_n", F.greatest(F.least(right, w["c1"]) - left, F.lit(0)).cast("int"))
+        .withColumn("_m", F.greatest(F.least(bottom, w["r1"]) - top, F.lit(0)).cast("int"))
     )
     whole = (F.col("_n") == F.col("width")) & (F.col("_m") == F.col("height"))
     rows = F.transform(
@@ -126,7 +126,7 @@ def cut_tiles(tiles: DataFrame, planned: DataFrame) -> DataFrame:
         lambda r: F.slice("pixels", r * F.col("width") + F.col("_x") + 1, F.col("_n")),
     )
     # Kept apart from the projection below, whose aliases reuse these names.
-    base = base.withColumn("_p", F.when(whole, F.col("pixels")).otherwise(F.flatten(rows)))
+    base = base.withColumn("_p", F.when(whole, F.col("pixels")).when(F.col("_m") > 0, F.flatten(rows)))
     return base.select(
         "raster_id",
         "level",

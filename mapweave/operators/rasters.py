@@ -256,8 +256,10 @@ def tiles_from_pixels(pixels: DataFrame, meta: DataFrame, raster_id: str | None
 def pixels_from_tiles(tiles: DataFrame) -> DataFrame:
     """One row per pixel: ``raster_id, level, band, x, y, v``."""
     at = F.col("pos")
+    # Tiles are never empty; the outer form only keeps the planner from copying
+    # the pixel expression into a filter.
     return tiles.select(
-        "raster_id", "level", "band", "col0", "row0", "width", F.posexplode("pixels").alias("pos", "v")
+        "raster_id", "level", "band", "col0", "row0", "width", F.posexplode_outer("pixels").alias("pos", "v")
     ).select(
         "raster_id",
         "level",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.crs import known, transform_xy
-from ..functions.geometry import parse_crs
+from ..functions.geometry import BOUNDS, parse_crs
 from .rasters import (
     INTEGER_RANGES, META, TILE, add_step, arrow_type, join_meta, pixel_blocks, pixel_lists, tile_rows, valid_mask,
 )
@@ -35,7 +35,7 @@ def _outline(x0, y0, x1, y1, n):
     )
 
 
-@F.arrow_udf("xmin double, ymin double, xmax double, ymax double")
+@F.arrow_udf(BOUNDS)
 def _raster_bounds(
     ox: pa.Array, oy: pa.Array, px: pa.Array, py: pa.Array, w: pa.Array, h: pa.Array,
     source: pa.Array, target: pa.Array,
