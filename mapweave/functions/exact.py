@@ -78,5 +78,5 @@ def fits_integer(value: Column, low: int, high: int) -> Column:
     limits = [F.lit(v).cast("decimal(38,0)") for v in (low, high)]
     return let(
         value.try_cast("decimal(38,18)"),
-        lambda n: F.when((n == F.floor(n)) & n.between(*limits), n.try_cast("long")),
+        lambda n: F.when((n % 1 == 0) & n.between(*limits), n.try_cast("long")),
     )
