@@ -314,11 +314,11 @@ def invalidity(shape: W.Shape) -> str | None:
     for ring in shape.parts:
         if len(ring) < 4 or (ring[0, :2] != ring[-1, :2]).any():
             return "Ring is not closed or too short"
-        if _area(ring) == 0:
-            return "Ring has no area"
     problem = _crossing(shape.parts)
     if problem:
         return problem
+    if any(_area(ring) == 0 for ring in shape.parts):
+        return "Ring has no area"
     shell = np.column_stack([shape.parts[0][:-1, :2], shape.parts[0][1:, :2]])
     for hole in shape.parts[1:]:
         if not _covers(shell, hole[:, :2]):

@@ -17,7 +17,9 @@ def features_per_cell(
     """
     x = F.col(x) if isinstance(x, str) else x
     y = F.col(y) if isinstance(y, str) else y
-    rows = df.withWatermark(time, watermark) if df.isStreaming else df
+    kind = df.schema[time].dataType
+    # Event time must be an instant; the result keeps the column's own type.
+    rows = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark) if df.isStreaming else df
     return (
         rows.groupBy(
             F.window(time, window).alias("w"),
@@ -25,7 +27,7 @@ def features_per_cell(
             F.floor(y / cell_y).cast("long").alias("cell_y"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), "cell_x", "cell_y", "n")
+        .select(F.col("w.start").cast(kind).alias("window_start"), "cell_x", "cell_y", "n")
     )
 
 

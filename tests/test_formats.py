@@ -347,7 +347,7 @@ def test_generate_files(spark, tmp_path):
 
 def test_ring_assembly(spark):
     def square(x, y, s):
-        return [(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]
+        return [(float(a), float(b)) for a, b in ((x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y))]
 
     rows = [(1, square(1, 1, 8)), (1, square(0, 0, 10)), (1, square(2, 2, 2)), (2, square(0, 0, 1))]
     df = spark.createDataFrame(rows, "id int, ring array<struct<x:double,y:double>>")
