@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+from json.encoder import encode_basestring
 from math import isfinite
 
 import numpy as np
@@ -53,18 +54,31 @@ def _reject(token):
     raise ValueError(f"Invalid JSON number: {token}")
 
 
+class _Decoder(json.JSONDecoder):
+    """One decoder for all rows; a task makes its own."""
+
+    def __init__(self):
+        super().__init__(parse_int=Number, parse_float=Number, parse_constant=_reject)
+
+    def __reduce__(self):
+        return _Decoder, ()
+
+
+_DECODER = _Decoder()
+
+
 def parse(text: str):
-    return json.loads(text, parse_int=Number, parse_float=Number, parse_constant=_reject)
+    return _DECODER.decode(text)
 
 
 def dump(value) -> str:
-    if isinstance(value, Number):
-        return str(value)
+    if isinstance(value, str):
+        return str(value) if isinstance(value, Number) else encode_basestring(value)
     if isinstance(value, dict):
-        return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + dump(v) for k, v in value.items()) + "}"
+        return "{" + ",".join([encode_basestring(k) + ":" + dump(v) for k, v in value.items()]) + "}"
     if isinstance(value, list):
-        return "[" + ",".join(map(dump, value)) + "]"
-    return json.dumps(value, ensure_ascii=False)
+        return "[" + ",".join([dump(v) for v in value]) + "]"
+    return "null" if value is None else "true" if value is True else "false"
 
 
 def is_number(value) -> bool:
@@ -160,11 +174,10 @@ def _dimension(obj):
 def _block(positions, dims, swap):
     if not isinstance(positions, list):
         raise ValueError("Coordinates must be an array")
-    out = np.empty((len(positions), dims))
-    for i, p in enumerate(positions):
-        if not isinstance(p, list) or len(p) != dims or not all(map(is_number, p)):
+    for p in positions:
+        if not isinstance(p, list) or len(p) != dims or not all([isinstance(v, Number) for v in p]):
             raise ValueError("Invalid position")
-        out[i] = [float(v) for v in p]
+    out = np.array([[float(v) for v in p] for p in positions], float).reshape(len(positions), dims)
     if not np.isfinite(out).all():
         raise ValueError("Non-finite coordinate")
     if swap:
@@ -186,7 +199,7 @@ def _shape(obj, dims, z, m, swap):
             raise ValueError("Member geometry does not fit its container")
         return W.Shape(kind, z, m, parts)
     if kind == W.POINT:
-        return W.Shape(kind, z, m, _block([member], dims, swap) if member else np.empty((0, dims)))
+        return W.Shape(kind, z, m, _block([member] if member else [], dims, swap))
     if kind in (W.LINESTRING, W.CIRCULARSTRING):
         block = _block(member, dims, swap)
         if len(block) == 1 or (kind == W.CIRCULARSTRING and len(block) and len(block) % 2 == 0):

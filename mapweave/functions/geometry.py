@@ -25,6 +25,9 @@ ARROW_GEOMETRY = pa.struct(
 )
 
 
+NO_BOX = (None,) * 4
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -46,15 +49,22 @@ def declared_srid(df, name: str) -> int | None:
 
 def arrow_geometries(rows) -> pa.Array:
     """Struct array from (Shape, srid) pairs; None gives NULL."""
-    out = []
+    data, srids, boxes = [], [], []
     for row in rows:
         if row is None:
-            out.append(None)
-            continue
-        shape, srid = row
-        box = W.envelope(shape) or (None,) * 4
-        out.append({"wkb": W.write(shape), "srid": srid, **dict(zip(BOUNDS.names, box))})
-    return pa.array(out, ARROW_GEOMETRY)
+            data.append(None)
+            srids.append(None)
+            boxes.append(NO_BOX)
+        else:
+            data.append(W.write(row[0]))
+            srids.append(row[1])
+            boxes.append(W.envelope(row[0]) or NO_BOX)
+    columns = list(zip(*boxes)) if boxes else [()] * 4
+    arrays = [pa.array(data, pa.binary()), pa.array(srids, pa.int32())]
+    arrays += [pa.array(c, pa.float64()) for c in columns]
+    return pa.StructArray.from_arrays(
+        arrays, fields=list(ARROW_GEOMETRY), mask=pa.array([d is None for d in data], pa.bool_())
+    )
 
 
 def shapes(array: pa.Array):

@@ -165,17 +165,48 @@ def packed_rtree(clustered: DataFrame, geom: str) -> DataFrame:
     return tree
 
 
+#: inner nodes read by the driver, and rank ranges put into the leaf scan
+SEARCH_NODES, SEARCH_RANGES = 4096, 64
+
+
 def search_rtree(tree: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
-    """Ranks of the rows whose envelope meets the box, found from the root
-    down: a level is only looked at under the hits of the level above."""
-    (top,) = tree.agg(F.max("level")).first()
+    """Ranks of the rows whose envelope meets the box.
+
+    The hits of one upper level (a bounded number of nodes) give the ranges of
+    ranks that can hold results.  The leaves are then read with these ranges
+    and the box as predicates, so a table in rank order skips the rest.
+    """
     meets = (F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin)
-    nodes = tree.filter(meets)
-    if top is None:
-        return nodes.select(F.col("node").alias("rank"))
-    hits = nodes.filter(F.col("level") == top).select("node")
-    for level in range(top - 1, -1, -1):
-        below = nodes.filter(F.col("level") == level).select("node")
-        parents = hits.withColumnRenamed("node", "_parent")
-        hits = below.join(parents, F.floor(F.col("node") / FAN_OUT) == F.col("_parent"), "left_semi")
-    return hits.select(F.col("node").alias("rank"))
+    sizes = {r["level"]: r["n"] for r in tree.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    leaves = tree.filter((F.col("level") == 0) & meets)
+    small = [k for k, n in sizes.items() if k > 0 and n <= SEARCH_NODES]
+    if small:
+        level = min(small)
+        hits = tree.filter((F.col("level") == level) & meets).select("node").collect()
+        leaves = leaves.filter(_in_ranges([r["node"] for r in hits], FAN_OUT**level))
+    return leaves.select(F.col("node").alias("rank"))
+
+
+def _in_ranges(nodes: list[int], span: int) -> Column:
+    """Predicate for the ranks below some nodes.  Beyond SEARCH_RANGES the
+    smallest gaps are closed: more is read, but nothing is lost."""
+    ranges: list[list[int]] = []
+    for node in sorted(nodes):
+        if ranges and ranges[-1][1] == node - 1:
+            ranges[-1][1] = node
+        else:
+            ranges.append([node, node])
+    if len(ranges) > SEARCH_RANGES:
+        gaps = sorted(b[0] - a[1] for a, b in zip(ranges, ranges[1:]))
+        limit = gaps[len(ranges) - SEARCH_RANGES - 1]
+        merged = [ranges[0]]
+        for low, high in ranges[1:]:
+            if low - merged[-1][1] <= limit:
+                merged[-1][1] = high
+            else:
+                merged.append([low, high])
+        ranges = merged
+    found = F.lit(False)
+    for low, high in ranges:
+        found = found | F.col("node").between(low * span, (high + 1) * span - 1)
+    return found

@@ -159,6 +159,12 @@ def raster_row(meta: DataFrame, raster_id: str):
     return rows[0]
 
 
+def with_row(df: DataFrame, like: DataFrame, row) -> DataFrame:
+    """Add the values of one metadata row as constants of the types in ``like``."""
+    found = {f.name: literal(row[f.name], f.dataType) for f in like.schema}
+    return df.withColumns({"raster_id": F.lit(row["raster_id"]), **found})
+
+
 def join_meta(df: DataFrame, meta: DataFrame, columns: dict, raster_id: str | None = None) -> DataFrame:
     """Add metadata columns to rows; a raster without metadata fails.
 
@@ -169,9 +175,7 @@ def join_meta(df: DataFrame, meta: DataFrame, columns: dict, raster_id: str | No
     """
     side = meta.select(F.col("raster_id").alias("_rid"), *[c.alias(n) for n, c in columns.items()])
     if raster_id is not None:
-        row = raster_row(meta.select("raster_id", *[c.alias(n) for n, c in columns.items()]), raster_id)
-        found = {n: literal(row[n], side.schema[n].dataType) for n in columns}
-        return df.withColumns({"raster_id": F.lit(raster_id), **found})
+        return with_row(df, side.drop("_rid"), raster_row(meta.select("raster_id", *[c.alias(n) for n, c in columns.items()]), raster_id))
     if side.limit(BROADCAST_RASTERS + 1).count() <= BROADCAST_RASTERS:
         side = F.broadcast(side)
     joined = df.join(side, F.col("raster_id") == F.col("_rid"), "left")

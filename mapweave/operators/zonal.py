@@ -31,6 +31,7 @@ from .rasters import (
     raster_row,
     tokens,
     valid_mask,
+    with_row,
 )
 from .skew import HotKeys
 
@@ -97,9 +98,14 @@ def zones_on_grid(zones, geom, meta, *, raster_id=None, crs=None, band=None, nod
     if band is not None:
         columns["_bands"] = F.col("bands")
     fixed = None
+    zones = zones.filter(F.col(geom)["xmin"].isNotNull())
     if raster_id is not None:
-        fixed = raster_row(meta, raster_id)["srid"]
-    zones = join_meta(zones.filter(F.col(geom)["xmin"].isNotNull()), meta, columns, raster_id)
+        wanted = meta.select(*[c.alias(n) for n, c in columns.items()])
+        row = raster_row(meta.select("raster_id", *[c.alias(n) for n, c in columns.items()]), raster_id)
+        fixed = row["_srid"]
+        zones = with_row(zones, wanted, row)
+    else:
+        zones = join_meta(zones, meta, columns)
     zones = zones.withColumn("_geom", in_raster_crs(zones, geom, crs, F.col("_srid"), fixed))
     if band is not None:
         if nodata is not None and np.isinf(nodata):
@@ -131,12 +137,14 @@ def tile_range(low, high, origin, step, cells, size, off):
 def touched_tiles(zones: DataFrame) -> DataFrame:
     """Tile keys in the bounds of each zone: the load per tile, known without
     reading a shape."""
+    # Bounds first, each used once: what builds the shape is pruned away.
+    zones = zones.select("raster_id", "grid", *[F.col(f"_geom.{n}").alias(f"_{n}") for n in ("xmin", "ymin", "xmax", "ymax")])
     g = F.col("grid")
     x0, x1, in_x = tile_range(
-        F.col("_geom.xmin"), F.col("_geom.xmax"), g["origin_x"], g["pixel_x"], g["width"], g["tile_size"], g["off_x"]
+        F.col("_xmin"), F.col("_xmax"), g["origin_x"], g["pixel_x"], g["width"], g["tile_size"], g["off_x"]
     )
     y0, y1, in_y = tile_range(
-        F.col("_geom.ymin"), F.col("_geom.ymax"), g["origin_y"], g["pixel_y"], g["height"], g["tile_size"], g["off_y"]
+        F.col("_ymin"), F.col("_ymax"), g["origin_y"], g["pixel_y"], g["height"], g["tile_size"], g["off_y"]
     )
     inside = in_x & in_y
     spans = zones.select(

@@ -372,7 +372,7 @@ def duplicate_keys(spark, folder):
 
 def feature_text(spark, folder, broken: bool = False) -> DataFrame:
     """One Feature text per event; every seventh cut short if asked for."""
-    e = P.table(spark, folder, "events")
+    e = P.spread(P.table(spark, folder, "events"))
     text = F.concat(
         F.lit('{"type":"Feature","id":'), F.col("event_id"),
         F.lit(',"geometry":{"type":"Point","coordinates":['), F.col("user_id"), F.lit(","), F.col("value"),
@@ -396,7 +396,7 @@ def feature_decode(spark, folder):
 
 @query
 def feature_project(spark, folder):
-    e = P.table(spark, folder, "events").select("event_id", "props")
+    e = P.spread(P.table(spark, folder, "events").select("event_id", "props"))
     mapping = features.Mapping("/k", "k", "INTEGER"), features.Mapping("/missing", "missing", "STRING")
     out = features.project_properties(e, mapping, "props")
     return out.select("event_id", "k", "missing", F.col("error.message").alias("message"))
@@ -404,7 +404,7 @@ def feature_project(spark, folder):
 
 @query
 def feature_overlay(spark, folder):
-    e = P.table(spark, folder, "events").select("event_id", "props", "event_type")
+    e = P.spread(P.table(spark, folder, "events").select("event_id", "props", "event_type"))
     mapping = features.Mapping("/kind/name", "event_type", "STRING"), features.Mapping("/id", "event_id", "INTEGER")
     out = features.overlay_properties(e, mapping, "props")
     return out.select(
@@ -415,7 +415,7 @@ def feature_overlay(spark, folder):
 
 @query
 def feature_encode(spark, folder):
-    e = P.table(spark, folder, "events").select(
+    e = P.spread(P.table(spark, folder, "events")).select(
         "event_id", F.col("event_id").cast("string").alias("feature_id_json"), F.col("props").alias("properties_json"),
         st_point("user_id", "value", 4326).alias("geometry"),
     )

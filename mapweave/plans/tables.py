@@ -19,6 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with too few splits for the cores, spread over them.
+
+    For inputs of Python kernels: a table of one small file would leave all
+    but one core idle.  A scan with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pixels(spark, folder) -> DataFrame:
     """One pixel per order: x, y, v; a pending order is NoData."""
     return table(spark, folder, "orders").select(
@@ -50,7 +60,7 @@ def zone_corners(spark, folder, shift: float = 0.0) -> DataFrame:
     """id, x0, y0, x1, y1: one rectangle per customer, some far outside."""
     k = F.col("c_custkey")
     return (
-        table(spark, folder, "customer")
+        spread(table(spark, folder, "customer").select("c_custkey"))
         .select(
             k.alias("id"),
             ((k * 7) % 100 + F.lit(shift)).cast("double").alias("x0"),
