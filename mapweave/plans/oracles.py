@@ -183,4 +183,29 @@ FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE c_custkey % 10 <>
   sum(event_id)::BIGINT AS ids FROM events GROUP BY 1""",
     "features_per_hour_cell": """SELECT date_trunc('hour', ts) AS window_start, user_id % 16 AS cell_x, floor(value / 10)::BIGINT AS cell_y,
   count(*) AS n FROM events GROUP BY 1, 2, 3""",
+    "warning_summary": """SELECT 'p_name' AS field, 'text-truncation' AS cause, count(*) AS n FROM part WHERE strlen(p_name) > 10
+UNION ALL SELECT 'price', 'rounding', count(*) FROM (SELECT (o_totalprice / 7)::VARCHAR::DECIMAL(38, 18) AS p FROM orders)
+WHERE p <> round(p, 2)""",
+    "dbf_conform": """SELECT p_partkey, left(p_name, 10) AS name, floor(p_retailprice::VARCHAR::DECIMAL(18, 6) + 0.5)::BIGINT AS price FROM part""",
+    "dbf_values": """SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS number,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+  CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS flag, ' ' || o_orderpriority AS text FROM orders""",
+    "generate_text": f"""WITH {POINTS} SELECT id, id || ',' || x::BIGINT || ',' || y::BIGINT AS text FROM points""",
+    # Rings start at the lower left corner and come out clockwise.
+    "generate_polygons": f"""WITH {zones()}, t AS (SELECT id, x0::DECIMAL(18, 1) AS a, y0::DECIMAL(18, 1) AS b,
+  x1::DECIMAL(18, 1) AS c, y1::DECIMAL(18, 1) AS d FROM zones)
+SELECT 1000 + row_number() OVER (ORDER BY id) - 1 AS id,
+  (999 + row_number() OVER (ORDER BY id)) || ' AUTO' || chr(10) || a || ' ' || b || chr(10) || a || ' ' || d || chr(10)
+  || c || ' ' || d || chr(10) || c || ' ' || b || chr(10) || a || ' ' || b || chr(10) || 'END' AS text FROM t""",
+    "geopackage_blobs": f"WITH {POINTS} SELECT id, 29 AS bytes, NULL::VARCHAR AS problem, 2056 AS srid, x, y FROM points",
+    # A multipolygon header, a polygon header and two rings of five points.
+    "ring_assembly": f"""WITH {zones()} SELECT id, 'MULTIPOLYGON' AS type, 9 + 9 + 2 * (4 + 5 * 16) AS bytes, x0 AS xmin, y0 AS ymin,
+  x1 AS xmax, y1 AS ymax FROM zones""",
+    "root_metadata": """WITH e AS (SELECT event_type, props::JSON ->> '$.k' AS k, 'c' || (event_id % 3) AS c FROM events),
+c AS (SELECT event_type, c FROM e UNION SELECT event_type, 'c0' FROM e)
+SELECT event_type, 'source' AS key, '"' || event_type || '"' AS value, false AS conflict FROM e GROUP BY 1
+UNION ALL SELECT event_type, 'k', min(k), count(DISTINCT k) > 1 FROM e GROUP BY 1
+UNION ALL SELECT event_type, 'conformsTo', '["' || string_agg(c, '","' ORDER BY c) || '"]', false FROM c GROUP BY 1""",
+    "jsonfg_validation": """SELECT CASE WHEN event_id % 3 = 0 THEN 'JSON-FG requires its 1.0 core conformsTo declaration'
+  WHEN event_id % 5 = 0 THEN 'JSON-FG interval is reversed' END AS message, count(*) AS n FROM events GROUP BY 1""",
 }

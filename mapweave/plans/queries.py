@@ -11,6 +11,8 @@ from ..functions.geometry import (
     st_type, to_iso_wkb, validate_wkb,
 )
 from ..operators import append, clip, cluster, errors, export, features, joins, overviews, rasters, resample, vector, zonal
+from ..functions.polygons import assemble_polygons
+from ..sources import dbf, generate, geojson, geopackage
 from ..streaming.cells import features_per_cell
 from . import tables as P
 
@@ -465,3 +467,115 @@ def error_route(spark, folder):
 def features_per_hour_cell(spark, folder):
     e = P.table(spark, folder, "events")
     return features_per_cell(e, "ts", F.col("user_id") % 16, "value", 1, 10)
+
+
+# -- formats -----------------------------------------------------------------------------------
+
+
+@query
+def warning_summary(spark, folder):
+    """Names cut to ten bytes and prices rounded to two places."""
+    names = P.table(spark, folder, "part").select("p_name")
+    prices = P.table(spark, folder, "orders").select((F.col("o_totalprice") / 7).alias("price"))
+    cut, _ = dbf.dbf_schema(names, {"p_name": dbf.DbfOverride(width=10)})
+    rounded, _ = dbf.dbf_schema(prices, {"price": dbf.DbfOverride(width=20, scale=2)})
+    rows = dbf.conform_dbf(names, cut).select("warnings").unionAll(dbf.conform_dbf(prices, rounded).select("warnings"))
+    return errors.summarize_warnings(rows)
+
+
+@query
+def dbf_conform(spark, folder):
+    rows = P.table(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice")
+    fields, _ = dbf.dbf_schema(
+        rows.select("p_name", "p_retailprice"),
+        {"p_name": dbf.DbfOverride(width=10), "p_retailprice": dbf.DbfOverride(target="preis-größe", width=12, scale=0)},
+    )
+    out = dbf.conform_dbf(rows, fields)
+    return out.select("p_partkey", F.col("p_name").alias("name"), F.col("preis_gro_").cast("long").alias("price"))
+
+
+@query
+def dbf_values(spark, folder):
+    """Raw field texts as they stand in a file, back to values."""
+    o = P.table(spark, folder, "orders")
+    number = F.when(F.col("o_orderkey") % 10 == 0, F.lit("********")).otherwise(F.lpad(F.col("o_orderkey").cast("string"), 8, " "))
+    day = F.when(F.col("o_orderkey") % 7 == 0, F.lit("00000000")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    flag = F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "O", "n").otherwise("?")
+    text = F.rpad(F.concat(F.lit(" "), F.col("o_orderpriority")), 20, " ")
+    raw = o.select("o_orderkey", number.alias("n"), day.alias("d"), flag.alias("l"), text.alias("c"))
+    return raw.select(
+        "o_orderkey",
+        dbf.dbf_value("n", dbf.DbfField("N", "N", 8)).alias("number"),
+        F.date_format(dbf.dbf_value("d", dbf.DbfField("D", "D", 8)), "yyyy-MM-dd").alias("day"),
+        dbf.dbf_value("l", dbf.DbfField("L", "L", 1)).alias("flag"),
+        dbf.dbf_value("c", dbf.DbfField("C", "C", 20)).alias("text"),
+    )
+
+
+@query
+def generate_text(spark, folder):
+    out = generate.generate_rows(P.points(spark, folder), "geometry", generate.GenerateOptions(), id_field="id")
+    rows, _ = errors.with_errors(out, "FAIL")
+    return rows
+
+
+@query
+def generate_polygons(spark, folder):
+    options = generate.GenerateOptions("POLYGON", decimals=1, comma=False)
+    out = generate.generate_rows(P.zones(spark, folder), "geometry", options, order_by="id", start_id=1000)
+    rows, _ = errors.with_errors(out, "FAIL")
+    return rows
+
+
+@query
+def geopackage_blobs(spark, folder):
+    p = P.points(spark, folder).select("id", geopackage.encode_gpkg("geometry").alias("blob"))
+    d = p.select("id", F.length("blob").alias("bytes"), geopackage.decode_gpkg("blob", 2056).alias("d"))
+    return d.select(
+        "id", "bytes", F.col("d.error").alias("problem"), F.col("d.geometry.srid").alias("srid"),
+        F.col("d.geometry.xmin").alias("x"), F.col("d.geometry.ymin").alias("y"),
+    )
+
+
+@query
+def ring_assembly(spark, folder):
+    """A shell and a hole per customer, from one row per ring."""
+    c = P.zone_corners(spark, folder)
+
+    def ring(d):
+        x0, y0, x1, y1 = F.col("x0") + d, F.col("y0") + d, F.col("x1") - d, F.col("y1") - d
+        corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+        return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
+
+    rings = c.select("id", ring(0.25).alias("ring")).unionAll(c.select("id", ring(0.0).alias("ring")))
+    out = assemble_polygons(rings, "id", "ring", 2056)
+    return out.select(
+        "id", st_type("geometry").alias("type"), F.length("geometry.wkb").alias("bytes"),
+        *[F.col(f"geometry.{n}").alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
+    )
+
+
+@query
+def root_metadata(spark, folder):
+    """Document members of the events of each type."""
+    e = P.table(spark, folder, "events")
+    root = F.concat(
+        F.lit('{"source":"'), F.col("event_type"), F.lit('","k":'), F.get_json_object("props", "$.k"),
+        F.lit(',"conformsTo":["c'), F.col("event_id") % 3, F.lit('","c0"]}'),
+    )
+    return geojson.merge_root_metadata(e.select("event_type", root.alias("root")), "root", ["event_type"])
+
+
+@query
+def jsonfg_validation(spark, folder):
+    """Points in the Swiss grid; every third document lacks its core class."""
+    e = P.spread(P.table(spark, folder, "events"))
+    core = F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.lit('"http://www.opengis.net/spec/json-fg-1/1.0/conf/core"'))
+    text = F.concat(
+        F.lit('{"type":"Feature","conformsTo":['), core,
+        F.lit('],"coordRefSys":"http://www.opengis.net/def/crs/EPSG/0/2056","place":{"type":"Point","coordinates":['),
+        F.col("user_id"), F.lit(","), F.col("value"), F.lit(']},"geometry":null,"properties":null,"time":{"interval":["2024-01-02",'),
+        F.when(F.col("event_id") % 5 == 0, '"2024-01-01"').otherwise('".."'), F.lit("]}}"),
+    )
+    out = features.validate_jsonfg(e.select("event_id", text.alias("t")), "t")
+    return out.groupBy(F.get("errors", F.lit(0)).alias("message")).agg(F.count(F.lit(1)).alias("n"))
