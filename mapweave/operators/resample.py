@@ -160,11 +160,40 @@ def reproject(
     )
     declared = F.element_at("_in", F.col("band"))["nodata"]
     base = base.withColumn("nodata", declared if source_nodata is None else F.lit(float(source_nodata)))
-    base = base.withColumn("out", F.element_at("_out", F.col("band"))).drop("_in", "_out", "level")
+    base = base.withColumn("out", F.element_at("_out", F.col("band")))
+    if interpolation == "BILINEAR":
+        _reject_palettes(meta)
+        base = _with_alpha(meta, base)
+    base = base.drop("_in", "_out", "level")
     shares = base.mapInArrow(_share_kernel(interpolation), SHARE)
     return new_meta, _collect(shares)
 
 
+def _reject_palettes(meta: DataFrame) -> None:
+    """Palette indexes cannot be interpolated; the colour table is not kept."""
+    if meta.filter(F.col("color") == "PALETTE").limit(1).count():
+        raise ValueError("Palette rasters need NEAREST or an expansion to RGBA first")
+
+
+def _with_alpha(meta: DataFrame, base: DataFrame) -> DataFrame:
+    """Add the alpha samples of the same tile to the colour bands.
+
+    Only done when some raster has an alpha band; the others join nothing.
+    """
+    has_alpha = F.exists("bands", lambda b: F.coalesce(b["alpha"], F.lit(False)))
+    if not meta.filter(has_alpha).limit(1).count():
+        return base.withColumn("alpha", F.lit(None).cast("array<double>"))
+    number = F.filter(
+        F.sequence(F.lit(1), F.size("_in")), lambda i: F.coalesce(F.element_at("_in", i)["alpha"], F.lit(False))
+    )
+    base = base.withColumn("_alpha_band", F.get(number, F.lit(0)))
+    key = ["raster_id", "tile_x", "tile_y"]
+    alpha = base.filter(F.col("band") == F.col("_alpha_band")).select(*key, F.col("pixels").alias("alpha"))
+    joined = base.join(alpha, key, "left")
+    colour = F.col("band") != F.col("_alpha_band")
+    return joined.withColumn("alpha", F.when(colour, F.col("alpha"))).drop("_alpha_band")
+
+
 def _output_band(band: Column, interpolation, output_type, nodata) -> Column:
     if output_type in ("FLOAT32", "FLOAT64"):
         kind = F.lit(output_type)
@@ -213,8 +242,10 @@ def _share_kernel(interpolation: str):
 
     def run(batches):
         for batch in batches:
-            names = [n for n in batch.schema.names if n != "pixels"]
+            names = [n for n in batch.schema.names if n not in ("pixels", "alpha")]
+            alphas = pixel_blocks(batch, "alpha") if "alpha" in batch.schema.names else None
             for row, pixels in zip(batch.select(names).to_pylist(), pixel_blocks(batch)):
+                row["alpha"] = next(alphas) if alphas else ()
                 for share in _tile_shares(row, pixels, interpolation):
                     yield pa.RecordBatch.from_pylist([share], schema=schema)
 
@@ -274,12 +305,15 @@ def _tile_shares(row, pixels, interpolation):
 def _contributions(row, block, usable, u, v, interpolation):
     """Weighted sum and weight that this tile's pixels give each position."""
 
+    # Colours count by their alpha, so transparent pixels leave no fringe.
+    alpha = np.asarray(row["alpha"]).reshape(block.shape) if len(row["alpha"]) else None
+
     def pick(c, r):
         c, r = c - row["col0"], r - row["row0"]
         mine = (c >= 0) & (c < row["width"]) & (r >= 0) & (r < row["height"])
         c, r = np.where(mine, c, 0), np.where(mine, r, 0)
         ok = mine & usable[r, c]
-        return np.where(ok, block[r, c], 0.0), ok
+        return np.where(ok, block[r, c], 0.0), ok if alpha is None else np.where(ok, alpha[r, c], 0.0)
 
     if interpolation == "NEAREST":
         value, ok = pick(np.floor(u).astype(np.int64), np.floor(v).astype(np.int64))
@@ -289,8 +323,8 @@ def _contributions(row, block, usable, u, v, interpolation):
     total, weight = np.zeros(len(u)), np.zeros(len(u))
     for dc, wc in ((0, 1 - fu), (1, fu)):
         for dr, wr in ((0, 1 - fv), (1, fv)):
-            value, ok = pick(cu.astype(np.int64) + dc, cv.astype(np.int64) + dr)
-            w = np.where(ok, wc * wr, 0.0)
+            value, share = pick(cu.astype(np.int64) + dc, cv.astype(np.int64) + dr)
+            w = wc * wr * share
             total += w * value
             weight += w
     return total, weight

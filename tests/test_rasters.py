@@ -323,3 +323,16 @@ def test_zonal_plan_reads_few_columns(raster):
     meta, _ = raster
     plan = rasters.raster_info(meta, "width")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_alpha_weighted_colours(spark):
+    """A transparent black pixel beside an opaque one leaves no dark fringe."""
+    meta = rasters.raster_meta(spark, [dict(raster_id="r", width=2, height=1, origin_x=0, origin_y=1, pixel_x=1, pixel_y=-1, tile_size=2,
+                                            color="RGB", bands=[dict(data_type="UINT8"), dict(data_type="UINT8", alpha=True)])])
+    rows = [("r", 1, 0, 0, 200.0), ("r", 1, 1, 0, 0.0), ("r", 2, 0, 0, 255.0), ("r", 2, 1, 0, 0.0)]
+    tiles = rasters.tiles_from_pixels(spark.createDataFrame(rows, "raster_id string, band int, x long, y long, v double"), meta)
+    out_meta, out = resample.reproject(meta, tiles, None, 2, 1, interpolation="BILINEAR", output_nodata=-1)
+    assert dense(out_meta, out, "r", 1)[0].tolist() == [[200.0]] and dense(out_meta, out, "r", 2)[0].tolist() == [[127.5]]
+    palette = meta.withColumn("color", F.lit("PALETTE"))
+    with pytest.raises(ValueError, match="Palette"):
+        resample.reproject(palette, tiles, None, 2, 1, interpolation="BILINEAR")
