@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .rasters import INTEGER_RANGES, META, TILE, arrow_type, join_meta, pixel_blocks, pixel_lists, tile_rows, valid_mask
 
 #: overview levels made by one shuffle; a parent then has at most 4^4 pieces
@@ -174,6 +175,9 @@ def build_overviews(
         count = min(per_pass, levels - done)
         pieces = _shares(_base(meta, current.withColumn("level", F.lit(0))), resampling, done, count, limit)
         made = assemble(pieces)
+        if done + count < levels:
+            # Read by the result and by the next pass, but computed once.
+            made = cut_lineage(made)
         result = made if result is None else result.unionByName(made)
         done += count
         current = made.filter(F.col("level") == done)

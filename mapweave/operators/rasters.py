@@ -8,7 +8,6 @@ of its source and needs no shuffle.
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
@@ -17,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import col
 
 TILE_SIZE = 512
 #: metadata rows (about 200 bytes each) that may be sent to all executors
@@ -356,8 +354,3 @@ def select_bands(meta: DataFrame, tiles: DataFrame, bands) -> tuple[DataFrame, D
         meta.withColumn("bands", checked).withColumn("steps", step),
         tiles.filter(F.col("band").isin(chosen)).withColumn("band", position),
     )
-
-
-def bands_from_json(text: str) -> list[dict]:
-    """Band list of :func:`raster_info` as Python values (for tests and tools)."""
-    return json.loads(text)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.crs import known, transform_xy
 from ..functions.geometry import BOUNDS, parse_crs
 from .rasters import (
-    INTEGER_RANGES, META, TILE, add_step, arrow_type, join_meta, pixel_blocks, pixel_lists, tile_rows, valid_mask,
+    INTEGER_RANGES, META, TILE, add_step, arrow_type, join_meta, pixel_blocks, tile_rows, valid_mask,
 )
 
 #: segments per outline edge of a raster, and per edge of a tile

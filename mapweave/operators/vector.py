@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import wkb as W
 from ..functions.geometry import (
-    ARROW_GEOMETRY, BOUNDS, GEOMETRY, arrow_geometries, col, parse_crs, shapes, st_hasm, st_hasz, st_type,
+    ARROW_GEOMETRY, GEOMETRY, arrow_geometries, col, parse_crs, shapes, st_hasm, st_hasz, st_type,
     with_dimension,
 )
 from .errors import ERROR
@@ -297,7 +297,3 @@ def xy_precision(
     return XYPrecision(
         step, tolerance, auto[2] if x_origin is None else x_origin, auto[2] if y_origin is None else y_origin
     )
-
-
-def bounds_struct(df: DataFrame, geom: str) -> Column:
-    return F.struct(*[F.col(f"{geom}.{n}").alias(n) for n in BOUNDS.names])

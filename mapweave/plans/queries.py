@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crs
 from ..functions.geometry import (
-    assign_crs, densify_box, geometry_field, snap_to_grid, st_box, st_envelope, st_geomfromwkb, st_isempty, st_point,
+    assign_crs, densify_box, geometry_field, snap_to_grid, st_envelope, st_geomfromwkb, st_isempty, st_point,
     st_type, to_iso_wkb, validate_wkb,
 )
 from ..operators import append, clip, cluster, errors, export, features, joins, overviews, rasters, resample, vector, zonal

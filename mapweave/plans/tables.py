@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +97,3 @@ def points(spark, folder) -> DataFrame:
         )
         .select("*", geometry_field(st_point("x", "y", 2056), "geometry", 2056))
     )
-
-
-def all_of(conditions):
-    return reduce(lambda a, b: a & b, conditions)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.crs import is_geographic
-from ..functions.geometry import st_geomfromwkb, to_iso_wkb
+from ..functions.geometry import st_geomfromwkb
 from ..operators.vector import GeometrySchema, conform_geometry, require_geometry
 
 # Labels of the edge interpolation algorithms.
@@ -125,8 +125,3 @@ def read_spatial_parquet(spark: SparkSession, path: str, geom: str, bbox=None) -
     return df.select(
         *[shape.alias(geom, metadata=declared) if c == geom else F.col(c) for c in df.columns if c != BOUNDS]
     )
-
-
-def iso_wkb(geom, schema: GeometrySchema) -> Column:
-    """ISO WKB with exactly the ordinates of the schema."""
-    return to_iso_wkb(geom, schema.z != "ABSENT", schema.m != "ABSENT")
