@@ -16,6 +16,8 @@ from mapweave.session import cut_lineage
 ARROW = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    # lists of small numbers per document are gathered by hashing
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 #: stands for a document without id wherever ids are joined or ordered
@@ -28,7 +30,7 @@ SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: units of text that one numpy pass works on
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 __all__ = ["ARROW", "CHUNK", "NO_ID", "SPACES", "WORD", "cut_lineage", "gram_hashes", "keyed", "map_batches", "read", "settle"]
 
@@ -56,7 +58,7 @@ def keyed(documents: DataFrame) -> DataFrame:
     hash, which keep rows apart that share an id) and ``text``."""
     return documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
-        F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 16)).cast("int").alias("tid"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << 16) - 1).cast("int").alias("tid"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 

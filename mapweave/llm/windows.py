@@ -9,9 +9,9 @@ Consecutive windows with one anchor form a piece.  The steps are
 2. ``pieces``: the content of the pieces that are left, copies collapsed within
    a task.  Pieces of a hot anchor are cut into single windows, each a key of
    its own, so that no key gathers more than :data:`HOT` different pieces;
-3. ``compare``: pieces are range-partitioned by anchor with sampled splitters
-   and sorted in their bucket by the units after and before the anchor; windows
-   with enough units in common on both sides are equal.
+3. ``compare``: pieces are dealt out by anchor (by range with sampled splitters,
+   or by hash) and sorted in their bucket by the units after and before the
+   anchor; windows with enough units in common on both sides are equal.
 
 All steps stream in bounded blocks, whatever the number of copies.  A splitter
 never separates equal keys, so nothing is left to compare between buckets; a
@@ -20,6 +20,7 @@ single-window key that fills more than one block hands its first row on.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -72,9 +73,9 @@ def _find(units: np.ndarray, offsets: np.ndarray, spec: Windows) -> Iterator[tup
     places = spec.width - spec.gram + 1
     for a, b in slices(offsets):
         base = int(offsets[a])
-        for low in range(base, max(base + 1, int(offsets[b])), 4 * CHUNK):
+        for low in range(base, max(base + 1, int(offsets[b])), CHUNK):
             # long texts are cut into blocks that overlap by a window
-            high = min(int(offsets[b]), low + 4 * CHUNK + spec.width - 1)
+            high = min(int(offsets[b]), low + CHUNK + spec.width - 1)
             part = units[low:high]
             n = len(part) - spec.width + 1
             if n <= 0:
@@ -82,16 +83,22 @@ def _find(units: np.ndarray, offsets: np.ndarray, spec: Windows) -> Iterator[tup
             h = gram_hashes(part, spec.gram)
             ranked = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
             at = (sliding_min(ranked, places)[:n] & np.uint64(0xFFFFFF)).astype(np.int64)
+            # windows that cross the end of a text are none
             bounds = offsets[a : b + 1] - low
-            text = np.searchsorted(bounds, np.arange(n), "right") - 1
-            whole = np.arange(n) + spec.width <= bounds[text + 1]
-            new = np.empty(n, bool)
-            new[0] = True
-            new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | ~whole[:-1]
-            new &= whole
+            inner = bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(part))]
+            crossing = np.zeros(n + 1, np.int32)
+            np.add.at(crossing, np.clip(inner - spec.width + 1, 0, n), 1)
+            np.add.at(crossing, np.clip(inner, 0, n), -1)
+            whole = np.cumsum(crossing[:-1]) == 0
+            new = whole.copy()
+            new[1:] &= (at[1:] != at[:-1]) | ~whole[:-1]
+            # a text's first window always begins a piece
+            new[inner[inner < n]] = whole[inner[inner < n]]
             starts = np.flatnonzero(new)
-            ends = np.flatnonzero(whole & np.append(new[1:] | ~whole[1:], True)) + 1
-            where = text[starts]
+            last = whole.copy()
+            last[:-1] &= new[1:] | ~whole[1:]
+            ends = np.flatnonzero(last) + 1
+            where = np.searchsorted(bounds, starts, "right") - 1
             yield a + where, starts + low - offsets[a + where], ends - starts, at[starts] - starts, h[at[starts]]
 
 
@@ -117,68 +124,121 @@ def anchors(texts: DataFrame, spec: Windows) -> DataFrame:
             units, offsets, _ = _units(batch.column("text"), spec)
             key, tid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tid"))
             for text, start, n, before, h in _find(units, offsets, spec):
-                place = ((start << N_BITS | n) << A_BITS | before) << T_BITS | tid[text].astype(np.int64)
+                place = _pack(start, n, before, tid[text].astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[text]), pa.array(place)], ["h", "key", "place"])
 
     return texts.mapInArrow(run, "h long, key long, place long")
 
 
+def _again(hot: int) -> Callable:
+    """Of anchors sorted by hash, the places of those that occur again; only
+    the last anchor of a batch is kept for the next one."""
+
+    def run(batches):
+        held = np.zeros((3, 0), np.int64)
+        going = None  # the hash of a hot anchor whose rows are passed on as they come
+
+        def emit(rows: np.ndarray, is_hot) -> pa.RecordBatch:
+            place = rows[2]
+            arrays = [pa.array(rows[1]), pa.array((place & (1 << T_BITS) - 1).astype(np.int32)), pa.array(np.where(is_hot, -place, place))]
+            return pa.RecordBatch.from_arrays(arrays, ["key", "tid", "place"])
+
+        def settled(rows: np.ndarray) -> pa.RecordBatch:
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = rows[0, 1:] != rows[0, :-1]
+            count = np.diff(np.append(np.flatnonzero(new), len(new)))[np.cumsum(new) - 1]
+            keep = count > 1
+            return emit(rows[:, keep], count[keep] > hot)
+
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy() for c in ("h", "key", "place")])
+            rows = np.concatenate([held, rows], axis=1)
+            if going is not None:
+                n = int(np.argmax(np.append(rows[0] != going, True)))
+                yield emit(rows[:, :n], True)
+                rows = rows[:, n:]
+                going = None if rows.shape[1] else going
+            held = rows
+            if rows.shape[1]:
+                # the last anchor may go on
+                end = rows.shape[1] - int(np.argmax(np.append(rows[0, ::-1] != rows[0, -1], True)))
+                yield settled(rows[:, :end])
+                held = rows[:, end:]
+                if held.shape[1] > hot:
+                    going = held[0, 0]
+                    yield emit(held, True)
+                    held = held[:, :0]
+        yield settled(held)
+
+    return run
+
+
 def repeated(found: DataFrame, hot: int = HOT) -> DataFrame:
     """Per text the places of pieces whose anchor occurs again, negative where
-    the anchor is hot.
-
-    The anchors are dealt out by hash once, for the count and for the join.
-    """
-    dealt = found.repartition("h")
-    again = dealt.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    place = F.when(F.col("_n") > hot, -F.col("place")).otherwise(F.col("place"))
-    tid = F.col("place").bitwiseAND((1 << T_BITS) - 1).cast("int")
-    places = dealt.join(again, "h").select("key", tid.alias("tid"), place.alias("place"))
+    the anchor is hot."""
+    dealt = found.repartition("h").sortWithinPartitions("h")
+    places = dealt.mapInArrow(_again(hot), "key long, tid int, place long")
     return places.groupBy("key", "tid").agg(F.collect_list("place").alias("places"))
 
 
-PIECE = "g binary, x binary, before int, n int, key long, tid int, start long, copies long"
+#: ``place`` as the anchors have it
+PIECE = "g binary, x binary, key long, place long, copies long"
 
 
 class _Kept:
-    """Pieces of a task, copies collapsed, and what is settled already."""
+    """Pieces of a task, so that copies collapse before they are sent."""
 
     def __init__(self, spec: Windows):
-        self.spec, self.rows, self.size, self.done = spec, {}, 0, []
-
-    def add(self, g: bytes | None, x: bytes, before: int, n: int, key: int, tid: int, start: int) -> None:
-        known = self.rows.get((x, before))
-        if known is None:
-            g = _digest(x) if g is None else g
-            self.rows[x, before] = [g, x, before, n, key, tid, start, 1]
-            self.size += len(x) + 200
-            return
-        known[7] += 1
-        if not self.spec.later_only or (key, start) == (known[4], known[6]):
-            if not self.spec.later_only:
-                self.settle(key, tid, start, n)
-            return
-        if (key, start) < (known[4], known[6]):
-            known[4:7], (key, tid, start) = [key, tid, start], known[4:7]
-        self.settle(key, tid, start, n)
-
-    def settle(self, key: int, tid: int, start: int, n: int) -> None:
-        if self.done and self.done[-1][:2] == [key, tid] and self.done[-1][2] + self.done[-1][3] == start:
-            self.done[-1][3] += n
-        else:
-            self.done.append([key, tid, start, n])
+        self.spec = spec
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[tuple[bytes, int], int] = {}
+        self.content: list[tuple[bytes, bytes]] = []
+        self.numbers: list[int] = []
+        self.columns: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, contents: list[tuple[bytes, bytes]], columns: np.ndarray) -> None:
+        """(anchor, piece) pairs and their key, tid, start, n and before."""
+        known, content = self.known, self.content
+        for pair, before in zip(contents, columns[4].tolist(), strict=True):
+            number = known.setdefault((pair[1], before), len(content))
+            if number == len(content):
+                content.append(pair)
+                self.size += len(pair[1]) + 200
+            self.numbers.append(number)
+        self.columns.append(columns)
 
     def full(self) -> bool:
-        return self.size > KEPT_BYTES or len(self.done) > 200_000
+        return self.size > KEPT_BYTES or len(self.numbers) > 300_000
 
     def flush(self) -> pa.RecordBatch:
-        rows = list(self.rows.values())
+        columns = np.concatenate(self.columns, axis=1) if self.columns else np.zeros((5, 0), np.int64)
+        number = np.array(self.numbers, np.int64)
+        order = np.lexsort((columns[2], columns[0], number))
+        columns, number = columns[:, order], number[order]
+        key, tid, start, n, before = columns
+        first = np.ones(len(number), bool)
+        first[1:] = number[1:] != number[:-1]
+        heads = np.flatnonzero(first)
+        copies = np.diff(np.append(heads, len(number)))
+        rest = ~first
+        if self.spec.later_only and len(heads):
+            # the same place given twice (repeated rows) is no later one
+            head = heads[np.cumsum(first) - 1]
+            rest &= (key != key[head]) | (start != start[head])
         # settled pieces travel on without content, spread evenly
-        rows += [[_digest(b"%d %d" % (key, start)), None, 0, n, key, tid, start, 0] for key, tid, start, n in self.done]
-        self.rows, self.size, self.done = {}, 0, []
-        types = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        columns = zip(*rows, strict=True) if rows else [[] for _ in types]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], _names(PIECE))
+        done = np.flatnonzero(rest)
+        rows = np.concatenate([heads, done])
+        content = [self.content[i] for i in number[heads].tolist()]
+        g = [c[0] for c in content] + [_digest(b"%d %d" % p) for p in zip(key[done].tolist(), start[done].tolist(), strict=True)]
+        x = [c[1] for c in content] + [None] * len(done)
+        place = _pack(start[rows], n[rows], before[rows], tid[rows])
+        copies = np.concatenate([copies, np.zeros(len(done), np.int64)])
+        arrays = [pa.array(g, pa.binary()), pa.array(x, pa.binary()), pa.array(key[rows]), pa.array(place), pa.array(copies)]
+        self.clear()
+        return pa.RecordBatch.from_arrays(arrays, _names(PIECE))
 
 
 def _digest(x: bytes) -> bytes:
@@ -189,6 +249,11 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+def _pack(start: np.ndarray, n: np.ndarray, before: np.ndarray, tid: np.ndarray) -> np.ndarray:
+    """One number for a place; the order of places is the order of starts."""
+    return ((start << N_BITS | n) << A_BITS | before) << T_BITS | tid
+
+
 def _unpack(places: np.ndarray) -> tuple[np.ndarray, ...]:
     """Start, number of windows, units before the anchor, hot."""
     hot = places < 0
@@ -197,31 +262,53 @@ def _unpack(places: np.ndarray) -> tuple[np.ndarray, ...]:
     return place >> N_BITS, place & (1 << N_BITS) - 1, before, hot
 
 
-def pieces(texts: DataFrame, places: DataFrame, spec: Windows) -> DataFrame:
+def pieces(texts: DataFrame, places: DataFrame, spec: Windows, splitters: list[bytes] | None = None) -> DataFrame:
     """The content of the pieces; a piece without content is settled: all its
-    windows are repeated."""
+    windows are repeated.  With splitters each also has its bucket."""
 
     def run(batches):
         kept = _Kept(spec)
         for batch in batches:
-            key, tid = (batch.column(c).to_pylist() for c in ("key", "tid"))
+            ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "tid")])
+            texts = batch.column("text").cast(pa.binary())
             for i, packed in enumerate(batch.column("places")):
-                text = batch.column("text")[i].as_py().encode()
+                text = texts[i].as_py()
                 units = text.split() if spec.words else text
-                join = b" ".join if spec.words else bytes
-                for start, n, before, hot in zip(*(c.tolist() for c in _unpack(packed.values.to_numpy())), strict=True):
-                    if hot:
-                        for s in range(start, start + n):
-                            kept.add(None, join(units[s : s + spec.width]), 0, 1, key[i], tid[i], s)
-                    else:
-                        at = start + before
-                        g = join(units[at : at + spec.gram])
-                        kept.add(_digest(g) if spec.words else g, join(units[start : start + n + spec.width - 1]), before, n, key[i], tid[i], start)
-                    if kept.full():
-                        yield kept.flush()
+                start, n, before, hot = _unpack(packed.values.to_numpy())
+                if hot.any():
+                    # every window by itself
+                    one = np.repeat(start[hot], n[hot]) + np.concatenate([np.arange(k) for k in n[hot]])
+                    contents = [_window(units, s, spec) for s in one.tolist()]
+                    kept.add(contents, _columns(ids[:, i], one, np.ones_like(one), np.zeros_like(one)))
+                    start, n, before = start[~hot], n[~hot], before[~hot]
+                at, end = start + before, start + n + spec.width - 1
+                places = zip(at.tolist(), start.tolist(), end.tolist(), strict=True)
+                if spec.words:
+                    contents = [(_digest(b" ".join(units[p : p + spec.gram])), b" ".join(units[s:e])) for p, s, e in places]
+                else:
+                    contents = [(units[p : p + spec.gram], units[s:e]) for p, s, e in places]
+                kept.add(contents, _columns(ids[:, i], start, n, before))
+                if kept.full():
+                    yield kept.flush()
         yield kept.flush()
 
-    return texts.join(places, ["key", "tid"]).mapInArrow(run, PIECE)
+    def run_dealt(batches):
+        for batch in run(batches):
+            bucket = [bisect.bisect_right(splitters, g) for g in batch.column("g").to_pylist()]
+            yield batch.append_column("bucket", pa.array(bucket, pa.int32()))
+
+    held = texts.join(places, ["key", "tid"])
+    return held.mapInArrow(run, PIECE) if splitters is None else held.mapInArrow(run_dealt, f"{PIECE}, bucket int")
+
+
+def _columns(ids: np.ndarray, start: np.ndarray, n: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return np.stack([np.full(len(start), ids[0]), np.full(len(start), ids[1]), start, n, before])
+
+
+def _window(units, start: int, spec: Windows) -> tuple[bytes, bytes]:
+    part = units[start : start + spec.width]
+    part = b" ".join(part) if spec.words else part
+    return _digest(part), part
 
 
 # ------------------------------------------------- comparing within a block
@@ -236,7 +323,8 @@ def _ranks(units: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple[n
     padded = np.zeros((rows, -(-max(width, 1) // per) * per), units.dtype.newbyteorder(">"))
     padded[:, :width] = units
     keys = padded.view(">u8").astype(np.uint64)
-    order = np.argsort(group, kind="stable")
+    # where one row continues another with zeros, the shorter one comes first
+    order = np.lexsort((lengths, group))
     part = group[order]
     # rows whose order is not decided yet, as positions in ``order``
     open_ = np.arange(rows)
@@ -279,9 +367,9 @@ class _Block:
     def __init__(self, batch: pa.Table, spec: Windows):
         self.spec = spec
         x = batch.column("x").combine_chunks()
-        number = {c: batch.column(c).to_numpy() for c in ("before", "n", "key", "tid", "start", "copies")}
-        self.before, self.n = number["before"].astype(np.int64), number["n"].astype(np.int64)
-        self.key, self.tid, self.start, self.copies = number["key"], number["tid"], number["start"], number["copies"]
+        self.key, place, self.copies = (batch.column(c).to_numpy() for c in ("key", "place", "copies"))
+        self.start, self.n, self.before, _ = _unpack(place)
+        self.tid = place & (1 << T_BITS) - 1
         g = batch.column("g").combine_chunks().dictionary_encode()
         self.group = g.indices.to_numpy().astype(np.int64)
         self.x = x.to_pylist()
@@ -306,34 +394,48 @@ class _Block:
         # by key and start, so that the first of equal windows comes first
         rank = np.empty(rows, np.int64)
         rank[np.lexsort((self.start, self.key))] = np.arange(rows)
-        # anchors with a single piece hold no equal windows
-        work = np.bincount(self.group)[self.group] > 1
         side_r, side_l = np.empty(rows, np.int64), np.empty(rows, np.int64)
-        for before in range(int(self.before.max()) + 1):
-            number = self.before - before
-            have = np.flatnonzero(work & (number >= 0) & (number < self.n))
-            if not len(have):
-                continue
-            side_r[order_r] = np.cumsum(common_r < spec.width - before)
-            side_l[order_l] = np.cumsum(common_l < before)
+
+        def alike(have: np.ndarray, right: np.ndarray, left: np.ndarray):
+            """Rows sorted by what they have in common and by rank; where
+            each group of alike rows begins; the group of each row."""
+            side_r[order_r], side_l[order_l] = np.cumsum(right), np.cumsum(left)
             same = (side_r[have] * (rows + 1) + side_l[have]) * rows + rank[have]
             sort = np.argsort(same)
             have, same = have[sort], same[sort] // rows
             first = np.ones(len(have), bool)
             first[1:] = same[1:] != same[:-1]
-            heads = np.flatnonzero(first)
-            part = np.cumsum(first) - 1
+            return have, np.flatnonzero(first), np.cumsum(first) - 1
+
+        # equal pieces first: one of them stands for all
+        have, heads, part = alike(np.arange(rows), common_r < self.right_n[order_r], common_l < self.left_n[order_l])
+        stands = have[heads]
+        copies = np.zeros(rows, np.int64)
+        copies[stands] = np.add.reduceat(self.copies[have], heads)
+        numbers = np.arange(hit.shape[1])
+        if spec.later_only:
+            # the same piece given twice (repeated rows) is no earlier one
+            later = (self.key[have] != self.key[stands][part]) | (self.start[have] != self.start[stands][part])
+            hit[have[later]] = numbers < self.n[have[later], None]
+        # anchors with one piece hold no other equal windows
+        work = np.zeros(rows, bool)
+        work[stands] = np.bincount(self.group[stands])[self.group[stands]] > 1
+        for before in range(int(self.before[work].max()) + 1 if work.any() else 0):
+            number = self.before - before
+            have = np.flatnonzero(work & (number >= 0) & (number < self.n))
+            if not len(have):
+                continue
+            have, heads, part = alike(have, common_r < spec.width - before, common_l < before)
             if spec.later_only:
-                # the same window given twice (repeated rows) is no earlier one
-                head = have[heads][part]
-                at = self.start + number
+                head, at = have[heads][part], self.start + number
                 repeat = (self.key[have] != self.key[head]) | (at[have] != at[head])
             else:
-                repeat = np.add.reduceat(self.copies[have], heads)[part] > 1
+                repeat = np.add.reduceat(copies[have], heads)[part] > 1
             hit[have, number[have]] = repeat
         if not spec.later_only:
-            # alone in the block, but collapsed from copies
-            hit |= (self.copies > 1)[:, None] & (np.arange(hit.shape[1]) < self.n[:, None])
+            hit[stands] |= (copies[stands] > 1)[:, None] & (numbers < self.n[stands, None])
+            have, heads, part = alike(np.arange(rows), common_r < self.right_n[order_r], common_l < self.left_n[order_l])
+            hit[have] = hit[stands][part]
         return hit
 
     def spans(self) -> pa.RecordBatch:
@@ -351,7 +453,7 @@ SPAN = "key long, tid int, low long, high long"
 
 
 def _spans(key, tid, low, high) -> pa.RecordBatch:
-    arrays = [pa.array(key, pa.int64()), pa.array(tid, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+    arrays = [pa.array(key, pa.int64()), pa.array(np.asarray(tid).astype(np.int32)), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, _names(SPAN))
 
 
@@ -371,7 +473,7 @@ def _blocks(batches, limit: int) -> Iterator[pa.Table]:
         if cut:
             yield table.slice(0, cut)
             held = [table.slice(cut)]
-        elif pa.compute.max(table.column("n")).as_py() == 1 and pa.compute.max(table.column("before")).as_py() == 0:
+        elif _single(table.column("place").to_numpy()):
             yield table
             held = [table.slice(0, 1)]
         else:
@@ -381,6 +483,11 @@ def _blocks(batches, limit: int) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
+def _single(places: np.ndarray) -> bool:
+    _, n, before, _ = _unpack(places)
+    return bool((n == 1).all() and (before == 0).all())
+
+
 def _compare(spec: Windows, limit: int) -> Callable:
     def run(batches):
         ready: list[pa.RecordBatch] = []
@@ -390,8 +497,9 @@ def _compare(spec: Windows, limit: int) -> Callable:
                 settled = pa.compute.is_null(batch.column("x"))
                 b = batch.filter(settled)
                 if b.num_rows:
-                    low = b.column("start").to_numpy()
-                    ready.append(_spans(b.column("key"), b.column("tid"), low, low + b.column("n").to_numpy() + spec.width - 1))
+                    place = b.column("place").to_numpy()
+                    low, n, _, _ = _unpack(place)
+                    ready.append(_spans(b.column("key"), place & (1 << T_BITS) - 1, low, low + n + spec.width - 1))
                 batch = batch.filter(pa.compute.invert(settled))
                 if batch.num_rows:
                     yield batch
@@ -407,15 +515,49 @@ def _compare(spec: Windows, limit: int) -> Callable:
 
 def compare(found: DataFrame, spec: Windows, limit: int = BLOCK_ROWS) -> DataFrame:
     """Spans of units (``key``, ``tid``, ``low``, ``high``) covered by repeated
-    windows, not merged."""
+    windows, not merged.  ``found`` has pieces, dealt out by ``bucket`` if it
+    has one and else by the hash of their anchor."""
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = found.repartitionByRange(parts, "g").sortWithinPartitions("g", "key", "start")
-    return buckets.mapInArrow(_compare(spec, limit), SPAN)
+    buckets = found.repartitionById(parts, "bucket").drop("bucket") if "bucket" in found.columns else found.repartition(parts, "g")
+    return buckets.sortWithinPartitions("g", "key", "place").mapInArrow(_compare(spec, limit), SPAN)
+
+
+#: documents whose anchors choose the splitters, and anchors of each
+SPLIT_DOCUMENTS, SPLIT_ANCHORS = 2_000, 20
+
+
+def splitters(texts: DataFrame, spec: Windows, parts: int) -> list[bytes]:
+    """``parts`` - 1 anchors that cut a sample of all anchors into ranges of
+    equal size.  The sample only balances the buckets."""
+    every = max(1, texts.count() // SPLIT_DOCUMENTS)
+    sample = texts.filter(F.pmod(F.xxhash64("key", "tid"), F.lit(every)) == 0)
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            raw, out = data.tobytes(), []
+            for text, start, _, before, h in _find(data, offsets, spec):
+                at = offsets[text] + start + before
+                # a few of each text, whatever its length
+                order = np.lexsort((h, text))
+                first = np.flatnonzero(np.diff(text[order], prepend=-1))
+                turn = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+                out += [raw[p : p + spec.gram] for p in at[order[turn < SPLIT_ANCHORS]].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["g"])
+
+    size = SPLIT_ANCHORS * 4 * SPLIT_DOCUMENTS
+    found = sample.mapInArrow(run, "g binary").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    few = found.orderBy(F.xxhash64("g")).limit(min(size, 1000 * parts)).select("g").collect()
+    grams = sorted(bytes(r.g) for r in few)
+    return sorted({grams[len(grams) * i // parts] for i in range(1, parts)} if grams else set())
 
 
 def repeated_spans(texts: DataFrame, spec: Windows, limit: int = BLOCK_ROWS, hot: int = HOT) -> DataFrame:
-    """All steps; ``texts`` as :func:`mapweave.llm.common.keyed` gives them."""
-    return compare(pieces(texts, repeated(anchors(texts, spec), hot), spec), spec, limit)
+    """All steps; ``texts`` as :func:`mapweave.llm.common.keyed` gives them.
+    Bytes go to ranges of anchors, words to the hash of their anchor."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = None if spec.words else splitters(texts, spec, parts)
+    return compare(pieces(texts, repeated(anchors(texts, spec), hot), spec, cuts), spec, limit)
 
 
 def merge(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
