@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mapweave.session import cut_lineage
+from mapweave.session import cut_lineage  # noqa: F401  shared by the operators
 
 #: Arrow batches stay small, so that a task's Python memory does not depend on
 #: the number of documents in its partition.
@@ -32,8 +33,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: units of text that one numpy pass works on
 CHUNK = 1 << 17
 
-__all__ = ["ARROW", "CHUNK", "NO_ID", "SPACES", "WORD", "cut_lineage", "gram_hashes", "keyed", "map_batches", "read", "settle"]
-
 
 def settle(spark: SparkSession) -> SparkSession:
     """Set the Arrow batch limits that the operators rely on."""
@@ -53,25 +52,20 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
-def keyed(documents: DataFrame) -> DataFrame:
+def keyed(documents: DataFrame, *more) -> DataFrame:
     """``key`` (the id, :data:`NO_ID` if NULL), ``tid`` (16 bits of the text's
-    hash, which keep rows apart that share an id) and ``text``."""
+    hash, which keep rows apart that share an id), ``text`` and further columns."""
     return documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
         F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << 16) - 1).cast("int").alias("tid"),
         F.coalesce("text", F.lit("")).alias("text"),
+        *more,
     )
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to one batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
-
-    return df.mapInArrow(run, schema)
+def widened(df: DataFrame, more: str) -> T.StructType:
+    """The schema of ``df`` with more columns at the end."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +77,6 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def lists(offsets: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
-    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-
-
 # ---------------------------------------------------------------- hashing
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

@@ -8,10 +8,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mapweave.llm import language, mixing, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
-from mapweave.llm.common import read
+from mapweave.llm.common import read, remainder
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    labels = read(spark, folder, "labels", "doc_id", "toxic")
+    model = toxicity.learn(docs, labels.filter(remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(read(spark, folder, "documents", "doc_id", "text", "source"))
 
 
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,8 +36,18 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.substring_dedup(read(spark, folder, "documents", "doc_id", "text")))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text", "lang")
+    model = language.learn(docs.filter(remainder("doc_id", 3) != 1))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_language": op9_language,
 }
 ORACLES: dict[str, str] = {}
