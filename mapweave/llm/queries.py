@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import language, mixing, toxicity
+from mapweave.llm import language, mixing, quality, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -43,11 +43,17 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.select("doc_id", held_out, "text"), model).drop("text")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels", "doc_id", "quality")
+    return quality.resample(docs, labels)[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_language": op9_language,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
