@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import language, mixing, quality, toxicity
+from mapweave.llm import decontaminate, language, mixing, quality, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -32,6 +32,13 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.digest(suffixes.suffix_dedup(read(spark, folder, "documents", "doc_id", "text")))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "benchmark", "item_id", "text")
+    found = decontaminate.find(docs, items)
+    ids = F.array_sort(F.array_distinct("matches.item_id"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), ids.alias("items"), "matches")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.substring_dedup(read(spark, folder, "documents", "doc_id", "text")))
 
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
