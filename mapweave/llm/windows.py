@@ -181,7 +181,8 @@ def repeated(found: DataFrame, hot: int = HOT) -> DataFrame:
     return places.groupBy("key", "tid").agg(F.collect_list("place").alias("places"))
 
 
-#: ``place`` as the anchors have it
+#: ``place`` as the anchors have it; without content, ``copies`` is the number
+#: of windows
 PIECE = "g binary, x binary, key long, place long, copies long"
 
 
@@ -228,21 +229,32 @@ class _Kept:
             # the same place given twice (repeated rows) is no later one
             head = heads[np.cumsum(first) - 1]
             rest &= (key != key[head]) | (start != start[head])
-        # settled pieces travel on without content, spread evenly
+        # settled windows travel on without content, runs of them as one row
         done = np.flatnonzero(rest)
+        done = done[np.lexsort((start[done], tid[done], key[done]))]
+        low, high = start[done], start[done] + n[done]
+        new = np.ones(len(done), bool)
+        new[1:] = (key[done[1:]] != key[done[:-1]]) | (tid[done[1:]] != tid[done[:-1]]) | (low[1:] > high[:-1])
+        runs = np.flatnonzero(new)
+        length = (np.maximum.reduceat(high, runs) if len(runs) else high) - low[runs]
+        done = done[runs]
         rows = np.concatenate([heads, done])
         content = [self.content[i] for i in number[heads].tolist()]
         g = [c[0] for c in content] + [_digest(b"%d %d" % p) for p in zip(key[done].tolist(), start[done].tolist(), strict=True)]
         x = [c[1] for c in content] + [None] * len(done)
-        place = _pack(start[rows], n[rows], before[rows], tid[rows])
-        copies = np.concatenate([copies, np.zeros(len(done), np.int64)])
+        place = _pack(start[rows], np.concatenate([n[heads], np.ones_like(done)]), np.concatenate([before[heads], np.zeros_like(done)]), tid[rows])
+        copies = np.concatenate([copies, length])
         arrays = [pa.array(g, pa.binary()), pa.array(x, pa.binary()), pa.array(key[rows]), pa.array(place), pa.array(copies)]
         self.clear()
         return pa.RecordBatch.from_arrays(arrays, _names(PIECE))
 
 
+#: first byte of keys that are digests; no UTF-8 text holds it
+DIGEST = b"\xff"
+
+
 def _digest(x: bytes) -> bytes:
-    return hashlib.blake2b(x, digest_size=16).digest()
+    return DIGEST + hashlib.blake2b(x, digest_size=16).digest()
 
 
 def _names(schema: str) -> list[str]:
@@ -294,7 +306,8 @@ def pieces(texts: DataFrame, places: DataFrame, spec: Windows, splitters: list[b
 
     def run_dealt(batches):
         for batch in run(batches):
-            bucket = [bisect.bisect_right(splitters, g) for g in batch.column("g").to_pylist()]
+            # digests have no order to keep: they are spread over all buckets
+            bucket = [int.from_bytes(g[1:5]) % (len(splitters) + 1) if g[:1] == DIGEST else bisect.bisect_right(splitters, g) for g in batch.column("g").to_pylist()]
             yield batch.append_column("bucket", pa.array(bucket, pa.int32()))
 
     held = texts.join(places, ["key", "tid"])
@@ -498,7 +511,7 @@ def _compare(spec: Windows, limit: int) -> Callable:
                 b = batch.filter(settled)
                 if b.num_rows:
                     place = b.column("place").to_numpy()
-                    low, n, _, _ = _unpack(place)
+                    low, n = _unpack(place)[0], b.column("copies").to_numpy()
                     ready.append(_spans(b.column("key"), place & (1 << T_BITS) - 1, low, low + n + spec.width - 1))
                 batch = batch.filter(pa.compute.invert(settled))
                 if batch.num_rows:
