@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import decontaminate, language, mixing, quality, toxicity
+from mapweave.llm import decontaminate, jaccard_join, language, mixing, quality, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -43,6 +43,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.substring_dedup(read(spark, folder, "documents", "doc_id", "text")))
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(read(spark, folder, "documents", "doc_id", "text"))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents", "doc_id", "text", "lang")
     model = language.learn(docs.filter(remainder("doc_id", 3) != 1))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
