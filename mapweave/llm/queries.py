@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbours, quality, toxicity
+from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbours, pii, quality, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -29,6 +29,11 @@ def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return pii.digest(pii.find(docs, pii.learn(docs)))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(read(spark, folder, "documents", "doc_id", "text", "source"))
 
@@ -67,6 +72,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_neighbours": op2_neighbours,
+    "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
