@@ -80,3 +80,22 @@ def fits_integer(value: Column, low: int, high: int) -> Column:
         value.try_cast("decimal(38,18)"),
         lambda n: F.when((n % 1 == 0) & n.between(*limits), n.try_cast("long")),
     )
+
+
+def _rank(p):
+    """Order of the magnitude: power of the leading digit, then the digits."""
+    zero = p["digits"] == ""
+    power = F.when(zero, F.lit(-(2**62))).otherwise(p["exponent"] + F.length(p["digits"]))
+    return F.struct(power.alias("power"), p["digits"].alias("digits"))
+
+
+def at_least(text: Column, low: Column) -> Column:
+    """Whether one decimal text is not below another, exactly and whatever the
+    number of digits; NULL when either is not a number."""
+
+    def compare(p):
+        a, b = p["a"], p["b"]
+        both = F.when(a["negative"], _rank(b) >= _rank(a)).otherwise(_rank(a) >= _rank(b))
+        return F.when(a.isNotNull() & b.isNotNull(), F.when(a["negative"] == b["negative"], both).otherwise(b["negative"]))
+
+    return let(F.struct(number_parts(text).alias("a"), number_parts(low).alias("b")), compare)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exact import exact_double, fits_integer
+from ..functions.exact import at_least, exact_double, fits_integer
 from .errors import error, first_error
 
 # Field types, their Spark types and integer ranges.
@@ -34,21 +34,23 @@ KEY_TYPES = ("INT16", "INT32", "INT64", "STRING", "GUID")
 GUID = r"^\{?[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\}?$"
 OFFSET_DATETIME = r"^-?[0-9]{4,}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2}(:[0-9]{2})?)$"
 
-# Members that each object of the schema file may have.
+# The members of each object of a version 1 schema document, as
+# "name: kind of value"; "!" marks required members.
 MEMBERS = {
-    "schema": {"$schema", "schemaVersion", "domains", "datasets", "relationships"},
-    "domain": {"name", "description", "kind", "fieldType", "values", "min", "max", "splitPolicy", "mergePolicy"},
-    "value": {"code", "label"},
-    "dataset": {"name", "kind", "fields", "geometry"},
-    "field": {"source", "name", "type", "nullable", "length", "domain"},
-    "geometry": {
-        "source", "name", "type", "dimension", "crs", "precisionMode", "xyResolution", "xyTolerance",
-        "xOrigin", "yOrigin", "spatialIndex",
-    },
-    "relationship": {
-        "name", "origin", "destination", "originKey", "foreignKey", "cardinality", "forwardLabel", "backwardLabel",
-    },
+    "schema": "$schema: text, schemaVersion: number!, domains: list of domain, datasets: list of dataset, relationships: list of relationship",
+    "domain": "name: text!, description: text, type: text!, fieldType: text!, values: list of code, minValue: text, maxValue: text, "
+    "splitPolicy: text, mergePolicy: text",
+    "code": "code: text!, label: text!",
+    "dataset": "name: text!, kind: text!, fields: list of field!, geometry: geometry",
+    "field": "source: text, name: text!, type: text!, nullable: flag, length: number, domain: text",
+    "geometry": "source: text!, name: text!, type: text!, dimension: text!, crs: text!, precisionMode: text, xyResolution: number, "
+    "xyTolerance: number, xOrigin: number, yOrigin: number, spatialIndex: flag",
+    "relationship": "name: text!, origin: text!, destination: text!, originKey: text!, foreignKey: text!, cardinality: text!, "
+    "forwardLabel: text, backwardLabel: text",
 }
+DOMAIN_TYPES = ("CODED", "RANGE")
+DATASET_KINDS = ("TABLE", "FEATURE_CLASS")
+CARDINALITIES = ("ONE_TO_ONE", "ONE_TO_MANY")
 
 #: coded values compared in the expression; longer lists are joined
 INLINE_CODES = 500
@@ -137,138 +139,149 @@ class ExportSchema:
 
 
 def load_export_schema(text: str, existing: ExportSchema | None = None) -> ExportSchema:
-    """Parse and check a schema document (version 1).
+    """Read a schema document (version 1); an error lists everything wrong.
 
-    Unknown and repeated members fail.  With an ``existing`` store its domains
-    and datasets may be referred to, and the document needs no dataset.
+    With an ``existing`` store its domains and datasets may be referred to, and
+    the document needs no dataset.  A domain equal to an existing one is reused.
     """
-
-    def unique(pairs):
+    raw = json.loads(text, object_pairs_hook=_Members)
+    problems = list(_shape(raw, "schema", "schema"))
+    if not problems:
+        problems = list(_meaning(raw, existing))
+    if problems:
+        raise ValueError("Invalid export schema: " + "; ".join(problems))
+    reused = {d.name: d for d in existing.domains} if existing else {}
+    domains = tuple(map(_domain, _items(raw, "domains")))
+    datasets = tuple(map(_dataset, _items(raw, "datasets")))
+    return ExportSchema(tuple(d for d in domains if reused.get(d.name) != d), datasets, tuple(map(_relationship, _items(raw, "relationships"))))
+
+
+class _Members(dict):
+    """An object of the document that knows its repeated members."""
+
+    def __init__(self, pairs):
+        super().__init__(pairs)
         names = [k for k, _ in pairs]
-        if len(set(names)) != len(names):
-            raise ValueError("Duplicate JSON member")
-        return dict(pairs)
-
-    raw = json.loads(text, object_pairs_hook=unique)
-    _members(raw, "schema")
-    if raw.get("schemaVersion") != 1 or isinstance(raw.get("schemaVersion"), bool):
-        raise ValueError("Expected schemaVersion 1")
-    names: set[str] = set()
-    domains = {d.name: d for d in existing.domains} if existing else {}
-    own = []
-    for item in raw.get("domains") or []:
-        _members(item, "domain")
-        domain = _domain(item)
-        if domains.get(domain.name) == domain:
-            continue  # identical domains are reused
-        _name(domain.name, names, set(domains))
-        domains[domain.name] = domain
-        own.append(domain)
-    datasets = tuple(_dataset(item, names, domains) for item in raw.get("datasets") or [])
+        self.repeated = sorted({k for k in names if names.count(k) > 1})
+
+
+_KINDS = {"text": (str, int, float), "number": (int, float), "flag": (bool,)}
+
+
+def _items(raw, member) -> list:
+    return raw.get(member) or []
+
+
+def _shape(item, kind: str, path: str):
+    """Problems with the members of an object, from the declared table."""
+    if not isinstance(item, _Members):
+        yield f"{path} is no object"
+        return
+    yield from (f"{path}.{k} is given twice" for k in item.repeated)
+    declared = dict(m.split(": ") for m in MEMBERS[kind].split(", "))
+    yield from (f"{path}.{k} is no member of a {kind}" for k in item if k not in declared)
+    for member, value_kind in declared.items():
+        value, wanted = item.get(member), value_kind.rstrip("!")
+        if value is None or value == "":
+            if value_kind.endswith("!") or value == "" and member == "source":
+                yield f"{path}.{member} is missing"
+        elif wanted.startswith("list of "):
+            if not isinstance(value, list):
+                yield f"{path}.{member} is no list"
+                continue
+            for i, part in enumerate(value):
+                yield from _shape(part, wanted.removeprefix("list of "), f"{path}.{member}[{i}]")
+        elif wanted in MEMBERS:
+            yield from _shape(value, wanted, f"{path}.{member}")
+        elif not isinstance(value, _KINDS[wanted]) or wanted != "flag" and isinstance(value, bool):
+            yield f"{path}.{member} is no {wanted}"
+
+
+def _names(places: list[tuple[str, str]], limit: int, taken=()):
+    """Problems with names that must be valid and different in one scope."""
+    used = {t.lower() for t in taken}
+    for path, name in places:
+        name = str(name)
+        if not re.fullmatch(r"[^\W\d]\w*", name) or len(name) > limit or name.upper().startswith("GDB_"):
+            yield f"{path}: {name!r} is no valid name"
+        elif name.lower() in used:
+            yield f"{path}: the name {name!r} is taken"
+        used.add(name.lower())
+
+
+def _meaning(raw, existing: ExportSchema | None):
+    """Problems between members, of a document whose shape is right."""
+    domains, datasets, relationships = (_items(raw, m) for m in ("domains", "datasets", "relationships"))
+    if raw["schemaVersion"] != 1:
+        yield f"schemaVersion is {raw['schemaVersion']}, not 1"
     if not datasets and existing is None:
-        raise ValueError("At least one dataset is required")
-    known = {d.name.lower(): d for d in (existing.datasets if existing else ())}
-    known.update({d.name.lower(): d for d in datasets})
-    relationships = tuple(_relationship(item, names, known) for item in raw.get("relationships") or [])
-    return ExportSchema(tuple(own), datasets, relationships)
-
-
-def _members(item, kind):
-    if not isinstance(item, dict):
-        raise ValueError(f"Expected a JSON object for {kind}")
-    for key in item:
-        if key not in MEMBERS[kind]:
-            raise ValueError(f"Unknown member in {kind}: {key}")
-
-
-def _name(name, used, reserved=(), limit=160):
-    valid = isinstance(name, str) and re.fullmatch(r"[^\W\d]\w*", name) and len(name) <= limit
-    if not valid or name.upper().startswith("GDB_") or name.lower() in used or name in reserved:
-        raise ValueError(f"Invalid or duplicate name: {name}")
-    used.add(name.lower())
-
-
-def _domain(item) -> Domain:
-    kind, low, high = item.get("kind"), item.get("min"), item.get("max")
-    field_type = item.get("fieldType")
-    codes = tuple((str(v["code"]), v.get("label", "")) for v in item.get("values") or [])
-    for value in item.get("values") or []:
-        _members(value, "value")
-    if kind not in ("CODED", "RANGE") or field_type not in FIELD_TYPES:
-        raise ValueError(f"Invalid domain: {item.get('name')}")
-    if kind == "CODED":
-        if not codes or low is not None or high is not None or len({c for c, _ in codes}) != len(codes):
-            raise ValueError(f"Invalid coded domain: {item.get('name')}")
-    elif low is None or high is None or codes or field_type in ("STRING", "GUID", "BINARY", "XML"):
-        raise ValueError(f"Invalid range domain: {item.get('name')}")
-    text = lambda v: None if v is None else str(v)
-    return Domain(
-        item.get("name"), field_type, codes, text(low), text(high), item.get("description") or "",
-        item.get("splitPolicy") or "DEFAULT_VALUE", item.get("mergePolicy") or "DEFAULT_VALUE",
-    )
-
-
-def _dataset(item, names, domains) -> Dataset:
-    _members(item, "dataset")
-    _name(item.get("name"), names)
-    name, kind, shape = item["name"], item.get("kind"), item.get("geometry")
-    if kind not in ("TABLE", "FEATURE_CLASS"):
-        raise ValueError(f"Unknown dataset kind: {kind}")
-    if (kind == "FEATURE_CLASS") != (shape is not None):
-        raise ValueError(f"Geometry definition does not match dataset kind: {name}")
-    if not isinstance(item.get("fields"), list):
-        raise ValueError(f"fields array required: {name}")
-    used = {"objectid"}
-    geometry = None
-    if shape is not None:
-        _members(shape, "geometry")
-        _name(shape.get("name"), used, limit=64)
-        required = [shape.get(k) for k in ("source", "type", "dimension", "crs")]
-        if any(v in (None, "") for v in required):
-            raise ValueError(f"Explicit geometry source, type, dimension and CRS required: {name}")
-        extra = {k: v for k, v in shape.items() if k not in ("source", "name", "type", "dimension", "crs")}
-        geometry = Geometry(shape["source"], shape["name"], shape["type"].upper(), shape["dimension"], shape["crs"], extra)
-    fields = []
-    for f in item["fields"]:
-        _members(f, "field")
-        _name(f.get("name"), used, limit=64)
-        if f.get("type") not in FIELD_TYPES:
-            raise ValueError(f"Unsupported explicit field type: {f.get('type')}")
-        length = f.get("length")
-        if length is not None and not 1 <= length <= 65535:
-            raise ValueError("Invalid field length")
-        if f.get("source") == "":
-            raise ValueError("Empty source field")
-        if f.get("domain") is not None:
-            domain = domains.get(f["domain"])
-            if domain is None or domain.field_type != f["type"]:
-                raise ValueError(f"Unknown or incompatible domain: {name}.{f['name']}")
-        fields.append(Field(f["name"], f["type"], bool(f.get("nullable")), length, f.get("domain"), f.get("source")))
-    return Dataset(name, kind, tuple(fields), geometry)
-
-
-def _relationship(item, names, datasets) -> Relationship:
-    _members(item, "relationship")
-    _name(item.get("name"), names)
-    if item.get("cardinality") not in ("ONE_TO_ONE", "ONE_TO_MANY"):
-        raise ValueError("Only simple 1:1 and 1:n relationships are supported")
-    keys = []
-    for side, key in (("origin", "originKey"), ("destination", "foreignKey")):
-        if str(item.get(key)).upper() == "OBJECTID":
-            raise ValueError("Relationships require explicit stable keys")
-        dataset = datasets.get(str(item.get(side)).lower())
-        if dataset is None:
-            raise ValueError(f"Unknown dataset: {item.get(side)}")
-        found = [f for f in dataset.fields if f.name == item.get(key)]
-        if not found:
-            raise ValueError(f"Unknown key: {item.get(side)}.{item.get(key)}")
-        keys.append(found[0])
-    if keys[0].type != keys[1].type or keys[0].type not in KEY_TYPES:
-        raise ValueError(f"Incompatible relationship keys: {item['name']}")
-    return Relationship(
-        item["name"], item["origin"], item["destination"], item["originKey"], item["foreignKey"],
-        item["cardinality"], item.get("forwardLabel") or "", item.get("backwardLabel") or "",
-    )
+        yield "there is no dataset"
+    old = {d.name: d for d in existing.domains} if existing else {}
+    top = [(f"domains[{i}]", d["name"]) for i, d in enumerate(domains) if d["name"] not in old]
+    top += [(f"datasets[{i}]", d["name"]) for i, d in enumerate(datasets)]
+    yield from _names(top + [(f"relationships[{i}]", r["name"]) for i, r in enumerate(relationships)], 160)
+    for i, d in enumerate(domains):
+        problem = _domain_problem(d)
+        if problem:
+            yield f"domains[{i}]: {problem}"
+        elif d["name"] in old and old[d["name"]] != _domain(d):
+            yield f"domains[{i}]: the store has another domain {d['name']!r}"
+    types = {n: d.field_type for n, d in old.items()} | {d["name"]: d["fieldType"] for d in domains}
+    fields = {d.name.lower(): {f.name: f.type for f in d.fields} for d in existing.datasets} if existing else {}
+    for i, d in enumerate(datasets):
+        path, shape = f"datasets[{i}]", d.get("geometry")
+        if d["kind"] not in DATASET_KINDS:
+            yield f"{path}: kind {d['kind']!r} is none of {', '.join(DATASET_KINDS)}"
+        elif (d["kind"] == "FEATURE_CLASS") != (shape is not None):
+            yield f"{path}: a {d['kind']} {'needs a' if shape is None else 'has no'} geometry"
+        inner = [(f"{path}.geometry", shape["name"])] if shape is not None else []
+        yield from _names(inner + [(f"{path}.fields[{j}]", f["name"]) for j, f in enumerate(d["fields"])], 64, ("objectid",))
+        for j, f in enumerate(d["fields"]):
+            if f["type"] not in FIELD_TYPES:
+                yield f"{path}.fields[{j}]: type {f['type']!r} is unknown"
+            if f.get("length") is not None and not 1 <= f["length"] <= 65535:
+                yield f"{path}.fields[{j}]: length {f['length']} is not within 1 and 65535"
+            if f.get("domain") is not None and types.get(f["domain"]) != f["type"]:
+                yield f"{path}.fields[{j}]: there is no domain {f['domain']!r} of type {f['type']}"
+        fields[d["name"].lower()] = {f["name"]: f["type"] for f in d["fields"]}
+    for i, r in enumerate(relationships):
+        ends = [fields.get(r[side].lower(), {}).get(r[key]) for side, key in (("origin", "originKey"), ("destination", "foreignKey"))]
+        if r["cardinality"] not in CARDINALITIES:
+            yield f"relationships[{i}]: cardinality {r['cardinality']!r} is none of {', '.join(CARDINALITIES)}"
+        if None in ends:
+            yield f"relationships[{i}]: both keys must be declared fields of declared datasets"
+        elif ends[0] != ends[1] or ends[0] not in KEY_TYPES:
+            yield f"relationships[{i}]: keys of types {ends[0]} and {ends[1]} cannot be related"
+
+
+def _domain_problem(d) -> str | None:
+    codes, low, high = _items(d, "values"), d.get("minValue"), d.get("maxValue")
+    if d["type"] not in DOMAIN_TYPES or d["fieldType"] not in FIELD_TYPES:
+        return "unknown type or fieldType"
+    if d["type"] == "CODED":
+        good = codes and low is None and high is None and len({str(c["code"]) for c in codes}) == len(codes)
+        return None if good else "a CODED domain has different codes and no bounds"
+    good = not codes and low is not None and high is not None and d["fieldType"] not in ("STRING", "GUID", "BINARY", "XML")
+    return None if good else "a RANGE domain has both bounds, no codes and a type with an order"
+
+
+def _domain(d) -> Domain:
+    low, high = (None if d.get(k) is None else str(d[k]) for k in ("minValue", "maxValue"))
+    policies = (d.get(k) or "DEFAULT_VALUE" for k in ("splitPolicy", "mergePolicy"))
+    return Domain(d["name"], d["fieldType"], tuple((str(c["code"]), c["label"]) for c in _items(d, "values")), low, high, d.get("description") or "", *policies)
+
+
+def _dataset(d) -> Dataset:
+    shape = d.get("geometry")
+    plain = ("source", "name", "type", "dimension", "crs")
+    geometry = shape and Geometry(*({**shape, "type": shape["type"].upper()}[k] for k in plain), {k: v for k, v in shape.items() if k not in plain})
+    fields = (Field(f["name"], f["type"], bool(f.get("nullable")), f.get("length"), f.get("domain"), f.get("source")) for f in d["fields"])
+    return Dataset(d["name"], d["kind"], tuple(fields), geometry)
+
+
+def _relationship(r) -> Relationship:
+    labels = (r.get(k) or "" for k in ("forwardLabel", "backwardLabel"))
+    return Relationship(*(r[k] for k in ("name", "origin", "destination", "originKey", "foreignKey", "cardinality")), *labels)
 
 
 # -- values --------------------------------------------------------------------
@@ -277,7 +290,8 @@ def _relationship(item, names, datasets) -> Relationship:
 def domain_error(value: Column, domain: Domain) -> Column:
     """Message for a value outside its domain; NULL is the field's business.
 
-    Codes are compared as text, range bounds as exact decimals or instants.
+    Codes are compared as text, range bounds as instants or as exact numbers of
+    any size.
     """
     message = f"Value outside domain {domain.name}"
     if domain.kind == "CODED":
@@ -286,9 +300,8 @@ def domain_error(value: Column, domain: Domain) -> Column:
         kind = FIELD_TYPES[domain.field_type]
         inside = value.cast(kind).between(F.lit(domain.low).cast(kind), F.lit(domain.high).cast(kind))
     else:
-        number = value.cast("string").try_cast("decimal(38,18)")
-        bounds = [F.lit(b).cast("decimal(38,18)") for b in (domain.low, domain.high)]
-        inside = F.coalesce(number.between(*bounds), F.lit(False))
+        number, low, high = value.cast("string"), F.lit(domain.low), F.lit(domain.high)
+        inside = F.coalesce(at_least(number, low) & at_least(high, number), F.lit(False))
     return F.when(value.isNotNull() & ~inside, message)
 
 

@@ -102,10 +102,6 @@ def geometry_profile(df: DataFrame, geom: str) -> DataFrame:
     return data.groupBy("content", "type", "z", "m", "srid").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: distinct (type, z, m, srid) combinations that an inference looks at
-PROFILE_LIMIT = 1000
-
-
 def infer_geometry_schema(df, geom: str, type=None, dimension=None, crs=None) -> GeometrySchema | None:
     """Schema from one aggregate over all features.
 
@@ -118,31 +114,32 @@ def infer_geometry_schema(df, geom: str, type=None, dimension=None, crs=None) ->
         if dimension in (None, "", "AUTO"):
             raise ValueError("Explicit geometry type requires explicit dimension")
         return GeometrySchema.explicit(type, dimension, crs or 0)
-    rows = geometry_profile(df, geom).limit(PROFILE_LIMIT + 1).collect()
-    if not rows:
+    value = F.col("content") == "VALUE"
+    known = F.when(value & (F.col("srid") != 0), F.col("srid"))
+    # one row, whatever the number of combinations; there are few types
+    found = geometry_profile(df, geom).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(F.when(value, F.col("type"))).alias("types"),
+        F.max(F.when(value, F.col("z"))).alias("z"),
+        F.max(F.when(value, F.col("m"))).alias("m"),
+        F.min(known).alias("low"),
+        F.max(known).alias("high"),
+    ).first()
+    if not found["rows"]:
         return None
-    if len(rows) > PROFILE_LIMIT:
-        raise ValueError("Too many different geometry types or SRIDs")
-    values = [r for r in rows if r["content"] == "VALUE"]
-    if not values:
-        raise ValueError("Cannot infer geometry type: all input geometries are null")
-    kinds = {r["type"] for r in values}
+    if not found["types"]:
+        raise ValueError("Every geometry is null or empty, so the type is unknown")
+    kinds = set(found["types"])
     kind = kinds.pop() if len(kinds) == 1 else _common_type(kinds)
-    srids = {r["srid"] for r in values if r["srid"]}
     if crs not in (None, ""):
         srid = parse_crs(crs)
-    elif len(srids) > 1:
-        raise ValueError(f"Conflicting geometry SRIDs: {sorted(srids)}")
+    elif found["low"] != found["high"]:
+        raise ValueError(f"Different SRIDs in one layer, from {found['low']} to {found['high']}")
     else:
-        srid = srids.pop() if srids else 0
+        srid = found["low"] or 0
     if dimension not in (None, "", "AUTO"):
         return GeometrySchema.explicit(kind, dimension, srid)
-    return GeometrySchema(
-        kind,
-        "REQUIRED" if any(r["z"] for r in values) else "ABSENT",
-        "OPTIONAL" if any(r["m"] for r in values) else "ABSENT",
-        srid,
-    )
+    return GeometrySchema(kind, "REQUIRED" if found["z"] else "ABSENT", "OPTIONAL" if found["m"] else "ABSENT", srid)
 
 
 def _common_type(kinds: set[str]) -> str:

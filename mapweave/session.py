@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,19 +34,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df``, so that positions assigned by a sort
-    stay the same when an executor is lost and its partitions are recomputed.
+    """Reliable checkpoint of ``df``, so that it stays the same when an executor
+    is lost, and is not computed again by what reads it.
 
-    The folder is the one named by ``spark.checkpoint.dir``.  Only a local
-    session without that setting gets a temporary folder.
+    The folder is the one named by ``spark.checkpoint.dir``.  A session without
+    that setting gets one in the warehouse, which driver and executors share
+    too; it is deleted when the driver ends.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
-            folder = tempfile.mkdtemp(prefix="mapweave-checkpoint-")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.checkpoints-{context.applicationId}"
+            local = folder.removeprefix("file:")
+            if local.startswith("/"):
+                atexit.register(shutil.rmtree, local, ignore_errors=True)
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

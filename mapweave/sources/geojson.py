@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import geojson as G
@@ -17,6 +20,7 @@ from .files import open_file
 ROOT_LIMIT = 64 * 1024 * 1024
 CHUNK = 1 << 20
 _TOKEN = re.compile(r'\\.|["{}\[\],]', re.S)
+_KEY = re.compile(r'\s*"(?:[^"\\]|\\.)*"\s*:', re.S)
 _FEATURES = re.compile(r'\s*"features"\s*:\s*')
 
 
@@ -204,31 +208,88 @@ def empty_collections(spark: SparkSession, paths, profile: str = "AUTO") -> Data
     return rows.filter(F.col("feature").isNull()).select("path", F.lit("empty-collection-context").alias("cause"))
 
 
+def _canonical(value):
+    """A JSON value in one form: equal numbers are equal texts, members are
+    ordered by name."""
+    if isinstance(value, G.Number):
+        number = Decimal(value)
+        sign, digits, exponent = number.as_tuple()
+        text = "".join(map(str, digits)).lstrip("0")
+        kept = text.rstrip("0")
+        return ("-" if sign and kept else "") + f"{kept or 0}e{exponent + len(text) - len(kept) if kept else 0}"
+    if isinstance(value, dict):
+        return "{" + ",".join(json.dumps(k) + ":" + _canonical(v) for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_canonical, value)) + "]"
+    return json.dumps(value)
+
+
+def _members(text: str):
+    """(key, raw text, canonical text) of a root object's members; a class list
+    is given URI by URI."""
+    for piece in split_document([text], False):
+        if piece is None:
+            raise ValueError("Root metadata must not hold features")
+        (key, value), = G.parse("{" + piece + "}").items()
+        raw = piece[_KEY.match(piece).end() :].strip()
+        if key in ("type", "bbox"):
+            continue
+        if key != "conformsTo":
+            yield key, raw, _canonical(value)
+        elif not isinstance(value, list) or not all(isinstance(u, str) and not isinstance(u, G.Number) for u in value):
+            raise ValueError("conformsTo must be an array of strings")
+        else:
+            for uri in value:
+                yield key, json.dumps(uri), json.dumps(uri)
+
+
 def merge_root_metadata(df: DataFrame, root: str, by=()) -> DataFrame:
     """Root members of a collection: the union over its rows.
 
     ``conformsTo`` is a set union; any other member must be equal in all rows,
-    else ``conflict`` is true ("partition the rows").  One row per member.
+    else ``conflict`` is true ("partition the rows").  Numbers are compared
+    exactly and returned as they are written; of equal members the smallest text
+    is returned.  One row per member.
     """
-    members = df.select(
-        *by, F.explode(F.json_object_keys(root)).alias("key"), F.col(root).alias("_root")
-    ).filter(~F.col("key").isin("type", "features", "bbox"))
-    member = F.when(
-        F.col("key") != "conformsTo",
-        F.to_json(F.element_at(F.try_parse_json("_root").cast("map<string,variant>"), F.col("key"))),
-    )
-    uris = F.from_json(F.get_json_object("_root", "$.conformsTo"), "array<string>")
-    # Distinct values first: rows of one document mostly repeat the same text.
-    plain = (
-        members.filter("key <> 'conformsTo'").select(*by, "key", member.alias("value")).distinct()
-        .groupBy(*by, "key").agg(F.min("value").alias("value"), (F.count(F.lit(1)) > 1).alias("conflict"))
+    # Distinct texts first: rows of one document mostly repeat the same root.
+    roots = df.select(*by, F.col(root).alias("_root")).filter("_root IS NOT NULL").distinct()
+    schema = T.StructType([*roots.schema.fields[:-1], *T.StructType.fromDDL("key string, value string, canonical string").fields])
+
+    def run(batches):
+        for batch in batches:
+            rows, found = [], []
+            for i, text in enumerate(batch.column("_root").to_pylist()):
+                for member in _members(text):
+                    rows.append(i)
+                    found.append(member)
+            own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in by]
+            new = [pa.array([m[j] for m in found], pa.string()) for j in range(3)]
+            yield pa.RecordBatch.from_arrays([*own, *new], schema.fieldNames())
+
+    members = roots.mapInArrow(run, schema)
+    plain = members.filter("key <> 'conformsTo'").groupBy(*by, "key").agg(
+        F.min("value").alias("value"), (F.min("canonical") != F.max("canonical")).alias("conflict")
     )
-    classes = (
-        members.filter("key = 'conformsTo'").select(*by, "key", F.explode(uris).alias("uri")).distinct()
-        .groupBy(*by, "key").agg(F.to_json(F.array_sort(F.collect_list("uri"))).alias("value"))
-        .withColumn("conflict", F.lit(False))
+    classes = members.filter("key = 'conformsTo'").select(*by, "key", "value").distinct()
+    merged = classes.groupBy(*by, "key").agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("value")), ","), F.lit("]")).alias("value")
     )
-    return plain.unionByName(classes)
+    return plain.unionByName(merged.withColumn("conflict", F.lit(False)))
+
+
+def collected_root(merged: DataFrame) -> list:
+    """All members of one collection's root, which every file repeats.
+
+    A conflict anywhere stops the job, and so does a root beyond
+    :data:`ROOT_LIMIT`, which no reader accepts.
+    """
+    clash = merged.filter("conflict").agg(F.min("key")).first()[0]
+    if clash is not None:
+        raise ValueError(f"Collection metadata '{clash}' differs between rows; partition the rows into separate files")
+    size = merged.agg(F.sum(F.octet_length("key") + F.octet_length("value"))).first()[0] or 0
+    if size > ROOT_LIMIT:
+        raise ValueError(f"Collection metadata of {size} bytes exceeds {ROOT_LIMIT}")
+    return merged.orderBy("key").collect()
 
 
 def root_text(rows, profile: str) -> str:
@@ -236,7 +297,7 @@ def root_text(rows, profile: str) -> str:
     found = {r["key"]: r["value"] for r in rows}
     if any(r["conflict"] for r in rows):
         name = next(r["key"] for r in rows if r["conflict"])
-        raise ValueError(f"Inconsistent collection metadata '{name}'; partition the rows into separate files")
+        raise ValueError(f"Collection metadata '{name}' differs between rows; partition the rows into separate files")
     if profile == "JSONFG10":
         found.setdefault("conformsTo", json.dumps([G.CONF + "core"]))
     return "".join("," + json.dumps(k) + ":" + v for k, v in found.items())
@@ -254,12 +315,9 @@ def write_geojson(
         return
     rows, _ = with_errors(encode_features(df, options, "_feature", root="_root"), "FAIL")
     merged = merge_root_metadata(rows.select("_root"), "_root")
-    # One row per distinct root member of the whole layer.
-    tail = root_text(merged.limit(10_000).collect(), options.profile)
+    tail = root_text(collected_root(merged), options.profile)
 
     def collection(batches):
-        import pyarrow as pa
-
         first = True
         for batch in batches:
             lines = []

@@ -127,6 +127,26 @@ def test_root_metadata_is_merged(spark):
         geojson.root_text(merged, "AUTO")
 
 
+def test_root_metadata_is_exact(spark):
+    long = "0.1234567890123456789012345678901234567890123456"
+    rows = spark.createDataFrame([('{"a":%s,"b":1.10,"s":"x\\"{","n":123456789012345678901234567890123456789012345}' % long,), ('{"b":11e-1}',), ('{"a" : %s }' % long,)], "root string")
+    found = {r["key"]: (r["value"], r["conflict"]) for r in geojson.merge_root_metadata(rows, "root").collect()}
+    assert found == {"a": (long, False), "b": ("1.10", False), "s": ('"x\\"{"', False), "n": ("123456789012345678901234567890123456789012345", False)}
+    near = rows.unionAll(spark.createDataFrame([('{"a":%s1}' % long,)], "root string"))
+    assert {r["key"]: r["conflict"] for r in geojson.merge_root_metadata(near, "root").collect()}["a"]
+    wrong = spark.createDataFrame([('{"conformsTo":"x"}',)], "root string")
+    with pytest.raises(Exception, match="conformsTo"):
+        geojson.merge_root_metadata(wrong, "root").collect()
+
+
+def test_many_root_members(spark):
+    rows = spark.range(12_000).select(F.concat(F.lit('{"k'), F.col("id"), F.lit('":1}')).alias("root"))
+    assert len(geojson.collected_root(geojson.merge_root_metadata(rows, "root"))) == 12_000
+    clash = rows.unionAll(spark.createDataFrame([('{"k11999":2}',)], "root string"))
+    with pytest.raises(ValueError, match="partition the rows"):
+        geojson.collected_root(geojson.merge_root_metadata(clash, "root"))
+
+
 # -- shapefile and DBF -----------------------------------------------------------------------
 
 
