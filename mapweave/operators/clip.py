@@ -188,7 +188,8 @@ def clip_polygon(
     hot = HotKeys(touched_tiles(ready), TILE_KEY, CLIPS_PER_TILE)
     cover = hot.spread(cover_tiles(wanted, ["_out"]), "_out")
     base = hot.replicate(tiles.filter(F.col("level") == 0))
-    joined = base.join(cover, [*TILE_KEY, "_part"]).select(
+    # never broadcast: the planner does not know how many rows a cover makes
+    joined = base.join(cover.hint("shuffle_hash"), [*TILE_KEY, "_part"]).select(
         "_out", "band", "tile_x", "tile_y", "col0", "row0", "width", "height", "pixels", "edges", "grid", "window", "fills"
     )
     return clipped, joined.mapInArrow(_mask_batches, TILE)

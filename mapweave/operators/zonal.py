@@ -241,17 +241,19 @@ def pack_zones(cover: ZoneCover, key: list[str], context: list[str]) -> DataFram
     )
 
 
-def join_packs(packs: DataFrame, tiles: DataFrame, band: int | None) -> DataFrame:
-    """Tiles with the packs that need them; pixels are shuffled once."""
+def join_packs(hot: HotKeys, packs: DataFrame, tiles: DataFrame, band: int | None) -> DataFrame:
+    """Tiles with the packs that need them.  A tile with many packs is copied
+    once per part, so that its packs go to different tasks.  The packs are never
+    broadcast: the planner does not know how many rows a cover makes."""
     base = tiles.filter(F.col("level") == 0)
     if band is not None:
         base = base.filter(F.col("band") == band)
-    return base.join(packs.drop("_part"), TILE_KEY)
+    return hot.replicate(base).join(packs.hint("shuffle_hash"), [*TILE_KEY, "_part"]).drop("_part")
 
 
 def tile_partials(cover: ZoneCover, tiles: DataFrame, key: list[str], band: int) -> DataFrame:
     packs = pack_zones(cover, key, ["grid", "sample"])
-    joined = join_packs(packs, tiles, band).select(
+    joined = join_packs(cover.hot, packs, tiles, band).select(
         "col0", "row0", "width", "height", "pixels", "grid", "sample", "zones"
     )
     key_fields = [cover.cover.schema[k] for k in key]

@@ -106,8 +106,8 @@ def clip_polygon(spark, folder):
 @query
 def select_bands(spark, folder):
     meta, tiles = rasters.select_bands(*P.raster(spark, folder), "1")
-    out = rasters.pixels_from_tiles(tiles).filter(F.col("v") != P.NODATA)
-    return out.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 2).alias("total"))
+    out = rasters.pixels_from_tiles(tiles)
+    return out.select("band", "x", "y", F.when(F.col("v") != P.NODATA, F.col("v")).alias("v"))
 
 
 @query
@@ -118,8 +118,11 @@ def target_grid(spark, folder):
 
 
 def _world(meta, tiles) -> DataFrame:
-    """Valid pixels by target column and row."""
-    return rasters.pixels_from_tiles(tiles).filter(F.col("v") != P.NODATA).select("x", "y", F.round("v", 6).alias("v"))
+    """Every target cell by column and row; NoData and missing tiles are NULL."""
+    rows = F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")
+    grid = meta.select("width", rows).select(F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"), "y")
+    value = F.when(F.col("v") != P.NODATA, F.round("v", 6)).alias("v")
+    return grid.join(rasters.pixels_from_tiles(tiles).select("x", "y", value), ["x", "y"], "left")
 
 
 @query
@@ -145,12 +148,12 @@ def _overview(spark, folder, method) -> DataFrame:
 
 @query
 def overview_average(spark, folder):
-    return _overview(spark, folder, "AVERAGE").filter("level <= 2")
+    return _overview(spark, folder, "AVERAGE")
 
 
 @query
 def overview_nearest(spark, folder):
-    return _overview(spark, folder, "NEAREST").filter("level <= 3")
+    return _overview(spark, folder, "NEAREST")
 
 
 @query
@@ -357,7 +360,7 @@ def relationship_check(spark, folder):
 
 @query
 def relationship_join(spark, folder):
-    origin = P.table(spark, folder, "customer").filter("c_custkey % 10 <> 0")
+    origin = P.table(spark, folder, "customer")
     both = joins.join_relationship(origin, P.table(spark, folder, "orders"), "c_custkey", "o_custkey", "left")
     return both.groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("rows"), F.count("o_orderkey").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("price")
