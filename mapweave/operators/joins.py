@@ -117,7 +117,7 @@ def _cell_cover(polygons: DataFrame, columns: list[str], cell: float) -> DataFra
     kept = [polygons.schema[c] for c in columns] + [polygons.schema["_box"]]
     schema = T.StructType(
         kept
-        + [T.StructField("_cx", T.LongType()), T.StructField("_cy", T.LongType())]
+        + [T.StructField(n, T.LongType()) for n in ("_first", "_last", "_cy")]
         + [T.StructField("_flat", T.ArrayType(T.DoubleType()))]
     )
     target = arrow_type(schema)
@@ -125,9 +125,9 @@ def _cell_cover(polygons: DataFrame, columns: list[str], cell: float) -> DataFra
 
     def flush(batch, rows, out):
         index = pa.array(rows, pa.int64())
-        cx, cy, edges = zip(*out)
+        *cells, edges = zip(*out)
         data = [batch.column(n).take(index) for n in names]
-        data += [pa.array(cx, pa.int64()), pa.array(cy, pa.int64()), nullable_lists(edges)]
+        data += [*(pa.array(c, pa.int64()) for c in cells), nullable_lists(edges)]
         return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(data, target)], schema=target)
 
     def expand(batches):
@@ -151,30 +151,45 @@ def _cell_cover(polygons: DataFrame, columns: list[str], cell: float) -> DataFra
             at(i, 1).alias("x1"), at(i, 2).alias("y1"), at(i, 3).alias("x2"), at(i, 4).alias("y2")
         ),
     )
-    return flat.withColumn("_edges", F.when(F.size("_flat") > 0, edges)).drop("_flat")
+    with_edges = flat.withColumn("_edges", F.when(F.size("_flat") > 0, edges)).drop("_flat")
+    # runs of inner cells are single rows until here
+    return with_edges.withColumn("_cx", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
 
 
 def _cells(edges: np.ndarray, cell: float):
-    """Cover of a polygon on the endless lattice of ``cell``.
+    """Cover of a polygon on the endless lattice of ``cell``: first and last
+    column, row, and the deciding edges (None: all inside).
 
-    A cell spans [i * cell, (i + 1) * cell).  A cell is only taken as wholly
-    inside when no edge meets its closed square.
+    A cell spans [i * cell, (i + 1) * cell).  Cells that an edge may meet come
+    one by one; between them the cells of a row are all inside or all outside,
+    so one test settles a run of any length.
     """
     low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
     first, last = np.floor(low / cell).astype(np.int64), np.floor(high / cell).astype(np.int64)
     xlo, xhi = np.minimum(edges[:, 0], edges[:, 2]), np.maximum(edges[:, 0], edges[:, 2])
     ylo, yhi = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     if (first == last).all():
-        yield int(first[0]), int(first[1]), edges
+        yield int(first[0]), int(first[0]), int(first[1]), edges
         return
-    for cy in range(first[1], last[1] + 1):
+    width = int(last[0] - first[0]) + 1
+    # the columns each edge may meet, with room for rounding
+    begin = np.clip(np.ceil(xlo / cell - 1e-9).astype(np.int64) - 1 - first[0], 0, width)
+    end = np.clip(np.floor(xhi / cell + 1e-9).astype(np.int64) + 1 - first[0], 0, width)
+    for cy in range(int(first[1]), int(last[1]) + 1):
         band = np.flatnonzero((ylo <= (cy + 1) * cell) & (yhi >= cy * cell))
-        for cx in range(first[0], last[0] + 1):
-            deciding = band[xhi[band] >= cx * cell]
-            if (xlo[deciding] <= (cx + 1) * cell).any():
-                yield cx, cy, edges[deciding]
-            elif len(deciding) and _inside(edges[deciding], (cx + 0.5) * cell, (cy + 0.5) * cell):
-                yield cx, cy, None
+        turns = np.zeros(width + 1, np.int64)
+        np.add.at(turns, begin[band], 1)
+        np.add.at(turns, end[band], -1)
+        met = np.cumsum(turns[:-1]) > 0
+        change = np.flatnonzero(np.diff(met)) + 1
+        for a, b in zip([0, *change.tolist()], [*change.tolist(), width]):
+            for cx in range(a, b) if met[a] else (a,):
+                deciding = edges[band[xhi[band] >= (first[0] + cx) * cell - 1e-9 * cell]]
+                x = int(first[0]) + cx
+                if met[a]:
+                    yield x, x, cy, deciding
+                elif len(deciding) and _inside(deciding, (x + 0.5) * cell, (cy + 0.5) * cell):
+                    yield x, int(first[0]) + b - 1, cy, None
 
 
 def _inside(edges, x, y) -> bool:

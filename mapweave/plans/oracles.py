@@ -219,6 +219,8 @@ c AS (SELECT event_type, c FROM e UNION SELECT event_type, 'c0' FROM e)
 SELECT event_type, 'source' AS key, '"' || event_type || '"' AS value, false AS conflict FROM e GROUP BY 1
 UNION ALL SELECT event_type, 'k', min(k), count(DISTINCT k) > 1 FROM e GROUP BY 1
 UNION ALL SELECT event_type, 'conformsTo', '["' || string_agg(c, '","' ORDER BY c) || '"]', false FROM c GROUP BY 1""",
-    "jsonfg_validation": """SELECT CASE WHEN event_id % 3 = 0 THEN 'JSON-FG requires its 1.0 core conformsTo declaration'
-  WHEN event_id % 5 = 0 THEN 'JSON-FG interval is reversed' END AS message, count(*) AS n FROM events GROUP BY 1""",
+    "jsonfg_validation": """SELECT 'core: conformsTo must be a list with the core class of version 1.0' AS message, count(*) AS n
+  FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT 'JSON-FG interval is reversed', count(*) FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT NULL, count(*) FROM events WHERE event_id % 3 <> 0 AND event_id % 5 <> 0""",
 }

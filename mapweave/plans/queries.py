@@ -581,4 +581,4 @@ def jsonfg_validation(spark, folder):
         F.when(F.col("event_id") % 5 == 0, '"2024-01-01"').otherwise('".."'), F.lit("]}}"),
     )
     out = features.validate_jsonfg(e.select("event_id", text.alias("t")), "t")
-    return out.groupBy(F.get("errors", F.lit(0)).alias("message")).agg(F.count(F.lit(1)).alias("n"))
+    return out.select(F.explode_outer("errors").alias("message")).groupBy("message").agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import geojson as G
 from ..operators.errors import with_errors
-from ..operators.features import FeatureOptions, check_jsonfg, decode_features, encode_features, profile_of
+from ..operators.feature_rules import broken_rules
+from ..operators.features import FeatureOptions, decode_features, encode_features, profile_of
 from .files import open_file
 
 ROOT_LIMIT = 64 * 1024 * 1024
@@ -111,17 +112,9 @@ def read_root(path: str) -> tuple[dict, bool]:
 
 def check_collection(root: dict, selected: str) -> None:
     """Document rules that hold even without features."""
-    profile = profile_of(selected, root, {})
-    if profile == "RFC7946" and "crs" in root:
-        raise ValueError("RFC 7946 does not accept a declared Legacy CRS")
-    if profile == "JSONFG10":
-        if "coordRefSys" in root and root["coordRefSys"] is None:
-            raise ValueError("JSON-FG coordRefSys must not be null")
-        check_jsonfg(root, root, same=True)
-    elif "place" in root:
-        raise ValueError("A FeatureCollection must not contain place")
-    if profile == "LEGACY2008" and "crs" in root and root["crs"] is None:
-        raise ValueError("Legacy crs:null has an unknown coordinate reference system")
+    wrong = broken_rules(root, None, profile_of(selected, root, {}))
+    if wrong:
+        raise ValueError("; ".join(wrong))
 
 
 class DocumentSource(DataSource):
