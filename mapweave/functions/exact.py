@@ -99,3 +99,18 @@ def at_least(text: Column, low: Column) -> Column:
         return F.when(a.isNotNull() & b.isNotNull(), F.when(a["negative"] == b["negative"], both).otherwise(b["negative"]))
 
     return let(F.struct(number_parts(text).alias("a"), number_parts(low).alias("b")), compare)
+
+
+def plain_text(value: Column) -> Column:
+    """Shortest decimal text of a double, without an exponent."""
+
+    def spell(p):
+        digits, exponent = p["digits"], p["exponent"]
+        whole = F.concat(digits, F.repeat(F.lit("0"), F.greatest(exponent, F.lit(0)).cast("int")))
+        padded = F.lpad(digits, F.greatest(F.length(digits), (1 - exponent).cast("int")), "0")
+        point = (F.length(padded) + exponent).cast("int")
+        parts = F.concat(F.substring(padded, 1, 0 + point), F.lit("."), F.substring(padded, point + 1, F.length(padded)))
+        text = F.when(digits == "", "0").when(exponent >= 0, whole).otherwise(parts)
+        return F.concat(F.when(p["negative"], "-").otherwise(""), text)
+
+    return let(number_parts(value.cast("string")), spell)

@@ -332,24 +332,42 @@ SQUARE = W.Shape(W.POLYGON, False, False, [ring((0, 0), (10, 0), (10, 10), (0, 1
         (SQUARE, generate.GenerateOptions("POLYGON"), "7,AUTO\n0,0\n0,10\n10,10\n10,0\n0,0\nEND"),
     ],
 )
-def test_generate_text(shape, options, text):
-    assert generate.feature_text(7, shape, options) == text
-
-
-def test_generate_rejections():
-    polygon = generate.GenerateOptions("POLYGON")
-    with pytest.raises(ValueError, match="reserved"):
-        generate.feature_text(-99999, SQUARE, polygon)
-    with pytest.raises(ValueError, match="holes"):
-        generate.feature_text(1, SQUARE._replace(parts=SQUARE.parts * 2), polygon)
-    with pytest.raises(ValueError, match="extra"):
-        generate.feature_text(1, LINE, generate.GenerateOptions("LINE"))
-    with pytest.raises(ValueError, match="collapses"):
-        short = W.Shape(W.LINESTRING, False, False, np.array([[0, 0], [0.1, 0]]))
-        generate.feature_text(1, short, generate.GenerateOptions("LINE", decimals=0))
-    with pytest.raises(ValueError, match="rounding"):
-        tiny = W.Shape(W.POLYGON, False, False, [ring((0, 0), (0.1, 0), (0, 0.1))])
-        generate.feature_text(1, tiny, generate.GenerateOptions("POLYGON", decimals=0))
+def test_generate_text(spark, shape, options, text):
+    assert generated(spark, [(7, shape)], options) == [(text, None)]
+
+
+def generated(spark, rows, options):
+    out = generate.encode_generate(shapes_df(spark, rows).coalesce(1), "id", "geometry", options, "e")
+    return [(r["e"]["text"], r["e"]["error"]) for r in out.collect()]
+
+
+def test_generate_numbers(spark):
+    values = [0.1, -0.0, 1e-7, 123456789.125, 1e21, -2.5e-5, 100.0, 1 / 3, 1e-300, 1.7976931348623157e308]
+    rows = [(i, W.Shape(W.POINT, False, False, np.array([[v, 1.0]]))) for i, v in enumerate(values)]
+    want = [f"{i},{np.format_float_positional(v + 0.0, trim='-')},1" for i, v in enumerate(values)]
+    assert [t for t, _ in generated(spark, rows, generate.GenerateOptions())] == want
+
+
+def test_generate_rejections(spark):
+    polygon, flat = generate.GenerateOptions("POLYGON"), generate.GenerateOptions("POLYGON", decimals=0)
+    short = W.Shape(W.LINESTRING, False, False, np.array([[0, 0], [0.1, 0]]))
+    tiny = W.Shape(W.POLYGON, False, False, [ring((0, 0), (0.1, 0), (0, 0.1))])
+    hole = SQUARE._replace(parts=SQUARE.parts * 2)
+    tilted = W.Shape(W.POLYGON, True, False, [np.array([[0, 0, 1], [9, 0, 1], [0, 9, 1], [0, 0, 2.0]])])
+    for rows, options, words in (
+        ([(-99999, SQUARE)], polygon, "reserved"),
+        ([(1, hole)], polygon, "holes"),
+        ([(None, SQUARE)], polygon, "id is missing"),
+        ([(1, None)], polygon, "no geometry"),
+        ([(1, LINE)], polygon, "no single polygon"),
+        ([(1, LINE)], generate.GenerateOptions("LINE"), "extra"),
+        ([(1, short)], generate.GenerateOptions("LINE", decimals=0), "collapses"),
+        ([(1, tiny)], flat, "rounding"),
+        ([(1, SQUARE)], generate.GenerateOptions("POLYGON", "XYZ"), "finite"),
+        ([(1, tilted)], generate.GenerateOptions("POLYGON", "XYZ"), "height"),
+    ):
+        ((text, error),) = generated(spark, rows, options)
+        assert text is None and words in error
 
 
 def test_generate_files(spark, tmp_path):
