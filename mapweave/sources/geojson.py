@@ -17,6 +17,7 @@ from ..operators.errors import with_errors
 from ..operators.feature_rules import broken_rules
 from ..operators.features import FeatureOptions, decode_features, encode_features, profile_of
 from .files import open_file
+from .publish import published
 
 ROOT_LIMIT = 64 * 1024 * 1024
 CHUNK = 1 << 20
@@ -301,10 +302,10 @@ def write_geojson(
 ) -> None:
     """Write a layer; every part file is a valid collection (DOCUMENT) or has
     one Feature per line (LINES).  Conflicting root members stop the job."""
-    mode = "overwrite" if overwrite else "errorifexists"
     if layout == "LINES":
         rows, _ = with_errors(encode_features(df, options, "_feature"), "FAIL")
-        rows.select("_feature").write.mode(mode).text(path)
+        with published(df.sparkSession, path, overwrite) as folder:
+            rows.select("_feature").write.text(folder)
         return
     rows, _ = with_errors(encode_features(df, options, "_feature", root="_root"), "FAIL")
     merged = merge_root_metadata(rows.select("_root"), "_root")
@@ -322,4 +323,5 @@ def write_geojson(
         lines = ['{"type":"FeatureCollection","features":['] if first else []
         yield pa.RecordBatch.from_pydict({"value": pa.array(lines + ["]" + tail + "}"], pa.string())})
 
-    rows.select("_feature").mapInArrow(collection, "value string").write.mode(mode).text(path)
+    with published(df.sparkSession, path, overwrite) as folder:
+        rows.select("_feature").mapInArrow(collection, "value string").write.text(folder)

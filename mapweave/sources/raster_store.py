@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.overviews import build_overviews
 from ..operators.rasters import META, TILE
+from .publish import published
 
 
 def write_raster(
@@ -21,24 +22,27 @@ def write_raster(
 ) -> DataFrame:
     """Write derived rasters and return one status row per raster.
 
-    Tiles are partitioned by raster and level.  ``overviews`` is NONE or AUTO.
-    The metadata is written last, so a raster is only found once its tiles are
-    complete; without ``overwrite`` an existing target fails.
+    Tiles are partitioned by raster and level and lie in the order of their
+    numbers, so that a reader of a window skips most of them.  ``overviews`` is
+    NONE or AUTO.  Tiles, overviews and metadata are published together; without
+    ``overwrite`` an existing target fails.
     """
     if overviews not in ("NONE", "AUTO"):
         raise ValueError("Overviews must be AUTO or NONE")
-    mode = "overwrite" if overwrite else "errorifexists"
-    tiles.select(*[f.name for f in TILE]).filter(F.col("level") == 0).write.mode(mode).option(
-        "compression", compression
-    ).partitionBy("raster_id", "level").parquet(f"{path}/tiles")
-    if overviews == "AUTO":
-        # The pyramid reads the written tiles, not the operations before them.
-        spark = meta.sparkSession
-        written = spark.read.schema(TILE).parquet(f"{path}/tiles")
-        build_overviews(meta, written, resampling).write.mode("append").option(
-            "compression", compression
-        ).partitionBy("raster_id", "level").parquet(f"{path}/tiles")
-    meta.select(*[f.name for f in META]).write.mode(mode).parquet(f"{path}/meta")
+    spark = meta.sparkSession
+
+    def write(rows: DataFrame, folder: str) -> None:
+        order = ("raster_id", "level", "tile_y", "tile_x", "band")
+        dealt = rows.select(*[f.name for f in TILE]).repartitionByRange(*order).sortWithinPartitions(*order)
+        dealt.write.mode("append").option("compression", compression).partitionBy("raster_id", "level").parquet(f"{folder}/tiles")
+
+    with published(spark, path, overwrite) as folder:
+        write(tiles.filter(F.col("level") == 0), folder)
+        if overviews == "AUTO":
+            # The pyramid reads the written tiles, not the operations before them.
+            written = spark.read.schema(TILE).parquet(f"{folder}/tiles")
+            write(build_overviews(meta, written, resampling), folder)
+        meta.select(*[f.name for f in META]).write.parquet(f"{folder}/meta")
     status = {prefix + "output_file": F.lit(path), prefix + "status": F.lit("OK")}
     written_meta = meta.sparkSession.read.schema(META).parquet(f"{path}/meta")
     return written_meta.select("raster_id", *[c.alias(n) for n, c in status.items()])

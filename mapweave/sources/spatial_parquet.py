@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.crs import is_geographic
 from ..functions.geometry import st_geomfromwkb
 from ..operators.vector import GeometrySchema, conform_geometry, require_geometry
+from .publish import published
 
 # Labels of the edge interpolation algorithms.
 ALGORITHMS = ("SPHERICAL", "VINCENTY", "THOMAS", "ANDOYER", "KARNEY")
@@ -89,16 +90,15 @@ def write_spatial_parquet(
         else _checked(f).alias(f.name)
         for f in df.schema
     ]
-    done.select(*columns, F.when(shape["xmin"].isNotNull(), box).alias(BOUNDS)).write.mode(
-        "overwrite" if overwrite else "errorifexists"
-    ).options(
-        **{
-            "compression": compression,
-            "parquet.block.size": str(row_group_bytes),
-            f"parquet.enable.dictionary#{geom}": "false",
-            f"parquet.column.statistics.enabled#{geom}": "false",
-        }
-    ).parquet(path)
+    settings = {
+        "compression": compression,
+        "parquet.block.size": str(row_group_bytes),
+        f"parquet.enable.dictionary#{geom}": "false",
+        f"parquet.column.statistics.enabled#{geom}": "false",
+    }
+    rows = done.select(*columns, F.when(shape["xmin"].isNotNull(), box).alias(BOUNDS))
+    with published(df.sparkSession, path, overwrite) as folder:
+        rows.write.options(**settings).parquet(folder)
 
 
 def read_spatial_parquet(spark: SparkSession, path: str, geom: str, bbox=None) -> DataFrame:
