@@ -14,6 +14,7 @@ from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbou
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
+from mapweave.llm.oracles import ORACLES as ORACLES
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,4 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
