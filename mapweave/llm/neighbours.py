@@ -68,14 +68,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _unit(vectors: np.ndarray) -> np.ndarray:
     # scaled first, so that squares neither overflow nor vanish
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    # row by row in double precision, the same for equal rows
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Row by row in double precision, the same for equal rows."""
-    return (_unit(vectors) * _unit(query[None])).sum(axis=1)
-
-
 # ------------------------------------------------------------ cells of Spark
 
 
@@ -126,49 +122,61 @@ def _boxes(splits: list[tuple[int, float]], dimensions: int) -> tuple[np.ndarray
 class Part:
     """A kd-tree over some vectors: leaves with boxes, in projected space."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray):
-        self.ids, self.vectors, self.points = ids, vectors, points
-        self.leaves: list[np.ndarray] = []
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, matrix: np.ndarray):
+        self.ids, self.unit = ids, _unit(vectors)
+        self.points = self.unit @ matrix
+        leaves: list[np.ndarray] = []
         stack = [np.arange(len(ids))]
         while stack:
             rows = stack.pop()
             if len(rows) <= LEAF:
-                self.leaves.append(rows)
+                leaves.append(rows)
                 continue
-            axis = int(np.ptp(points[rows], axis=0).argmax())
-            half = np.argpartition(points[rows, axis], len(rows) // 2)
+            axis = int(np.ptp(self.points[rows], axis=0).argmax())
+            half = np.argpartition(self.points[rows, axis], len(rows) // 2)
             stack += [rows[half[: len(rows) // 2]], rows[half[len(rows) // 2 :]]]
-        self.low = np.stack([points[r].min(axis=0) for r in self.leaves])
-        self.high = np.stack([points[r].max(axis=0) for r in self.leaves])
+        self.low = np.stack([self.points[r].min(axis=0) for r in leaves])
+        self.high = np.stack([self.points[r].max(axis=0) for r in leaves])
+        self.leaves = np.full((len(leaves), LEAF), -1, np.int64)
+        for i, rows in enumerate(leaves):
+            self.leaves[i, : len(rows)] = rows
 
     def search(self, own: int, query: np.ndarray, point: np.ndarray, k: int, reach: float, known: float) -> list[tuple[float, int]]:
         """The ``k`` best of all verified: (cosine, id), ties to smaller ids.
 
-        Leaves come in order of their least projected distance, and within a
-        leaf only points that the stopping test leaves are verified.  ``known``
-        is a distance within which ``k`` vectors were found elsewhere.
+        Leaves come in order of their least projected distance, in batches of
+        growing size; only points that the stopping test leaves are verified.
+        ``known`` is a distance within which ``k`` vectors were found elsewhere.
         """
         gap = np.maximum(0, np.maximum(self.low - point, point - self.high))
         far = np.sqrt((gap * gap).sum(axis=1))
-        best: dict[int, float] = {}
-        limit = known
-        for leaf in np.argsort(far, kind="stable").tolist():
-            if far[leaf] > reach * limit + 1e-9:
+        order = np.argsort(far, kind="stable")
+        far, limit = far[order], known
+        ids, scores = np.zeros(0, np.int64), np.zeros(0)
+        at, size = 0, 1
+        while at < len(order):
+            radius = reach * limit + 1e-9
+            end = min(at + size, int(np.searchsorted(far, radius, "right")))
+            if end <= at:
                 break
-            rows = self.leaves[leaf]
+            rows = self.leaves[order[at:end]].ravel()
+            rows = rows[rows >= 0]
             d = self.points[rows] - point
-            near = rows[(np.sqrt((d * d).sum(axis=1)) <= reach * limit + 1e-9) & (self.ids[rows] != own)]
-            if not len(near):
-                continue
-            for c, i in zip(cosines(self.vectors[near], query).tolist(), self.ids[near].tolist(), strict=True):
-                if c > best.get(i, -2.0):
-                    best[i] = c
-            if len(best) > 8 * k:
-                best = dict(sorted(best.items(), key=lambda b: (-b[1], b[0]))[:k])
-            if len(best) >= k:
-                worst = sorted(best.values(), reverse=True)[k - 1]
-                limit = min(limit, math.sqrt(max(0.0, 2 - 2 * worst)))
-        return [(c, i) for i, c in sorted(best.items(), key=lambda b: (-b[1], b[0]))[:k]]
+            near = rows[((d * d).sum(axis=1) <= radius * radius) & (self.ids[rows] != own)]
+            if len(ids) >= k:
+                # only what may be among the best is scored exactly
+                near = near[self.unit[near] @ query >= scores[k - 1] - 1e-12]
+            ids = np.concatenate([ids, self.ids[near]])
+            scores = np.concatenate([scores, (self.unit[near] * query).sum(axis=1)])
+            best = np.lexsort((ids, -scores))
+            # an id given more than once counts by its nearest row
+            _, first = np.unique(ids[best], return_index=True)
+            best = best[np.sort(first)[:k]]
+            ids, scores = ids[best], scores[best]
+            if len(ids) >= k:
+                limit = min(limit, math.sqrt(max(0.0, 2 - 2 * float(scores[k - 1]))))
+            at, size = end, 2 * size
+        return list(zip(scores.tolist(), ids.tolist(), strict=True))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, confidence: float = CONFIDENCE) -> DataFrame:
@@ -226,10 +234,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, confiden
         data, ask = group.filter(pa.array(~is_query)), group.filter(pa.array(is_query))
         out: list[tuple[int, int, float]] = []
         if data.num_rows and ask.num_rows:
-            vectors, matrix = _matrix(data.column("v")), projection(group.column("size")[0].as_py())
-            part = Part(data.column("id").to_numpy(), vectors, _unit(vectors) @ matrix)
-            wanted = _matrix(ask.column("v"))
-            points = _unit(wanted) @ matrix
+            matrix = projection(group.column("size")[0].as_py())
+            part = Part(data.column("id").to_numpy(), _matrix(data.column("v")), matrix)
+            wanted = _unit(_matrix(ask.column("v")))
+            points = wanted @ matrix
             for i, (own, limit) in enumerate(zip(ask.column("id").to_pylist(), ask.column("known").to_pylist(), strict=True)):
                 out += [(own, j, c) for c, j in part.search(own, wanted[i], points[i], k, reach, limit)]
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
