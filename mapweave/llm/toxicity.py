@@ -168,14 +168,20 @@ def _typical(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
     Words first, then the runs of ``MATCH`` bytes inside them: a segment is
     what is typical of a word, so common endings match nothing.
     """
-    sets = [[set(_WORD.findall(t)) for t in texts] for texts in (toxic, ordinary)]
     n1, n0 = max(1, len(toxic)), max(1, len(ordinary))
-    words = [Counter(w for s in part for w in s) for part in sets]
+    words: list[Counter[bytes]] = [Counter(), Counter()]
+    for count, texts in zip(words, (toxic, ordinary), strict=True):
+        for t in texts:
+            count.update(set(_WORD.findall(t)))
     found = sorted(((_deviations(c, words[1][w], n1, n0), w) for w, c in words[0].items() if c >= 3), reverse=True)
     found = [w for z, w in found if z >= TYPICAL]
+    del words
     grams = {g for w in found for g in _grams(w)}
-    of_word = {w: [g for g in _grams(w) if g in grams] for part in words for w in part}
-    seen = [Counter(g for s in part for g in {g for w in s for g in of_word[w]}) for part in sets]
+    # the texts are read again, as their words would fill the driver
+    seen: list[Counter[bytes]] = [Counter(), Counter()]
+    for count, texts in zip(seen, (toxic, ordinary), strict=True):
+        for t in texts:
+            count.update({g for w in set(_WORD.findall(t)) for g in _grams(w) if g in grams})
     strong = {g for g, c in seen[0].items() if c / n1 >= RATIO * (seen[1][g] + 0.5) / n0 and _deviations(c, seen[1][g], n1, n0) >= TYPICAL}
     kept, covered, size = [], set(), 0
     for word in found:
