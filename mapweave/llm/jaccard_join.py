@@ -6,12 +6,16 @@ Jaccard similarity of 0.75 or more.  The steps are
 1. documents with equal sets become one node;
 2. of a set of n shingles the first n - ceil(0.75 n) + 1 in a fixed order are
    its prefix; sets that link share a prefix shingle, so the sets that share
-   one are a list.  Equal lists are kept once.  Shingles that are frequent come
-   last in the order, which only makes lists shorter;
-3. every set goes to one of its lists; each list is joined by a signature tree,
-   which connects most groups of near copies;
-4. lists with sets of more than one component so far are joined again in full,
-   cut into blocks where they are long.
+   one are a list, cut where sizes differ too much to link.  Equal lists are kept
+   once.  Shingles that are frequent come last in the order, which only makes
+   lists shorter;
+3. in every list signatures (a few bits per shingle) are compared: pairs that
+   share too few bits to link are out, the others make plausible components;
+4. the texts of each plausible component of two sets or more go to one task,
+   which joins them exactly by a signature tree.
+
+Steps 3 and 4 join long lists twice: first in blocks around a common leader,
+which connects most groups of near copies, then what is still apart in full.
 
 A signature tree has one node per block of similar sets, with the OR of their
 token bitmaps and the range of their sizes.  A dual traversal prunes pairs of
@@ -47,6 +51,9 @@ COUNTED = 4_000_000
 #: ids that may be sent to all executors; more are joined by a shuffle
 BROADCAST_IDS = 1_000_000
 
+#: edges that one task may hold
+FEW_EDGES = 200_000
+
 #: children of a tree node
 FAN = 8
 
@@ -83,26 +90,27 @@ def _digest(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """``kind`` 0: per document ``n`` and the digest ``d1``, ``d2`` of its set;
-    ``kind`` 1: frequent shingles (``d1``) with a count (``n``)."""
+    """``kind`` 0: per document ``n``, the digest ``d1``, ``d2`` of its set and
+    its signature; ``kind`` 1: frequent shingles (``d1``) with a count (``n``)."""
 
     def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
         h, n = np.unique(np.concatenate(held), return_counts=True)
         h, n = h[n >= FREQUENT].view(np.int64), n[n >= FREQUENT]
         zero = np.zeros(len(h), np.int64)
-        return batch_of(np.ones(len(h), np.int32), zero, zero, n, h, zero)
+        return batch_of(np.ones(len(h), np.int32), zero, zero, n, h, zero, [None] * len(h))
 
-    def batch_of(kind, key, tid, n, d1, d2) -> pa.RecordBatch:
-        arrays = [pa.array(kind), pa.array(key), pa.array(np.asarray(tid).astype(np.int32)), pa.array(n), pa.array(d1), pa.array(d2)]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "tid", "n", "d1", "d2"])
+    def batch_of(kind, key, tid, n, d1, d2, signature) -> pa.RecordBatch:
+        arrays = [pa.array(kind), pa.array(key), pa.array(np.asarray(tid).astype(np.int32)), pa.array(n), pa.array(d1), pa.array(d2), pa.array(signature, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "tid", "n", "d1", "d2", "signature"])
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            n, digests = [], []
+            n, digests, signatures = [], [], []
             for found in shingles(batch.column("text"), words):
                 n.append(len(found))
                 digests.append(_digest(found))
+                signatures.append(signature(found))
                 held.append(found)
                 size += len(found)
                 if size > COUNTED:
@@ -110,11 +118,58 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
                     held, size = [], 0
             d = np.stack(digests)
             key, tid = (batch.column(c).to_numpy() for c in ("key", "tid"))
-            yield batch_of(np.zeros(len(n), np.int32), key, tid, np.array(n, np.int64), d[:, 0], d[:, 1])
+            yield batch_of(np.zeros(len(n), np.int32), key, tid, np.array(n, np.int64), d[:, 0], d[:, 1], signatures)
         if held:
             yield frequent(held)
 
-    return texts.mapInArrow(run, "kind int, key long, tid int, n long, d1 long, d2 long")
+    return texts.mapInArrow(run, "kind int, key long, tid int, n long, d1 long, d2 long, signature binary")
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """A bitmap of 2 to 4 bits per shingle, 64 at least."""
+    width = max(64, 1 << (2 * len(hashes) - 1).bit_length()) if len(hashes) else 64
+    bits = np.zeros(width, bool)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def plausible(signatures: list[bytes], sizes: np.ndarray, components: np.ndarray, sides: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of sets that may link, enough to connect all that do.
+
+    Two sets share at most |a| less the bits of a that b lacks, since each such
+    bit stands for a shingle that b does not have.  Of signatures of different
+    width the wider one is folded; sets that link differ by one fold at most.
+    """
+    width = np.array([len(s) for s in signatures])
+    joined, found = _Joined(components), []
+
+    def rows(which: np.ndarray, folds: int) -> tuple[np.ndarray, np.ndarray]:
+        bits = np.frombuffer(b"".join(signatures[i] for i in which), np.uint64).reshape(len(which), -1)
+        for _ in range(folds):
+            half = bits.shape[1] // 2
+            bits = bits[:, :half] | bits[:, half:]
+        return bits, np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+    for w in np.unique(width):
+        here = np.flatnonzero(width == w)
+        a, ones = rows(here, 0)
+        for folds in (0, 1):
+            there = here if not folds else np.flatnonzero(width == 2 * w)
+            if not len(there):
+                continue
+            b, others = rows(there, folds)
+            step = max(1, 2_000_000 // b.size)
+            for low in range(0, len(here), step):
+                part = here[low : low + step]
+                both = np.bitwise_count(a[low : low + step, None] & b[None]).sum(axis=2, dtype=np.int64)
+                na, nb = sizes[part][:, None], sizes[there][None]
+                most = np.minimum(na - ones[low : low + step, None], nb - others[None]) + both
+                good = (7 * most >= 3 * (na + nb)) & (components[part][:, None] != components[there][None])
+                good &= (sides[part][:, None] == 0) | (sides[there][None] == 0)
+                for i, j in np.argwhere(good).tolist():
+                    if joined.union(int(part[i]), int(there[j])):
+                        found.append((int(part[i]), int(there[j])))
+    return found
 
 
 def _needed(n: np.ndarray | int):
@@ -123,12 +178,12 @@ def _needed(n: np.ndarray | int):
 
 
 def _prefixes(texts: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
-    """(``h``, ``d1``) for every prefix shingle; a set once per task."""
+    """(``h``, ``n``, ``d1``) for every prefix shingle; a set once per task."""
 
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            hs, ds, sizes = [], [], []
+            hs, ds, ns, sizes = [], [], [], []
             for found in shingles(batch.column("text"), words):
                 if not len(found):
                     continue
@@ -140,6 +195,7 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
                     common = frequent[at] == found
                     found = np.concatenate([found[~common], found[common]])
+                ns.append(len(found))
                 found = found[: len(found) - _needed(len(found)) + 1]
                 hs.append(found)
                 ds.append(digest[0])
@@ -147,10 +203,10 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
             if len(seen) > 1_000_000:
                 seen.clear()
             if hs:
-                h = np.concatenate(hs).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(np.array(ds, np.int64), sizes))], ["h", "d1"])
+                columns = [np.concatenate(hs).view(np.int64), *(np.repeat(np.array(c, np.int64), sizes) for c in (ns, ds))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "n", "d1"])
 
-    return texts.mapInArrow(run, "h long, d1 long")
+    return texts.mapInArrow(run, "h long, n long, d1 long")
 
 
 #: sets of one list that are held to find equal lists; longer lists pass as they
@@ -160,24 +216,40 @@ HELD = 4096
 
 def _lists(prefixes: DataFrame) -> DataFrame:
     """(``list``, ``d1``): the sets that share a prefix shingle, two or more.
-    Rows come sorted by ``h`` and ``d1``."""
+
+    Rows come sorted by ``h`` and size.  Where a set is less than three quarters
+    of the next one, no set before links to one after: the list is cut there.
+    """
 
     def run(batches):
         seen: set[bytes] = set()
-        held = np.zeros((2, 0), np.int64)
-        going = None
+        held = np.zeros((3, 0), np.int64)
+        going = None  # shingle, last size and cuts so far of a list passed on as it comes
 
         def out(names, members) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.asarray(names, np.int64)), pa.array(members)], ["list", "d1"])
 
+        def cuts(sizes: np.ndarray, before: int) -> np.ndarray:
+            return 4 * np.append(before, sizes[:-1]) < 3 * sizes
+
+        def passed(rows: np.ndarray) -> pa.RecordBatch:
+            nonlocal going
+            h, last, number = going
+            numbers = number + np.cumsum(cuts(rows[1], last))
+            if len(numbers):
+                going = h, int(rows[1, -1]), int(numbers[-1])
+            names = mix(rows[0].view(np.uint64) + numbers.astype(np.uint64)).view(np.int64)
+            return out(names, rows[2])
+
         def lists(rows: np.ndarray) -> pa.RecordBatch:
-            new = np.ones(rows.shape[1], bool)
-            new[1:] = rows[0, 1:] != rows[0, :-1]
+            new = cuts(rows[1], 0)
+            new[:1] = True
+            new[1:] |= rows[0, 1:] != rows[0, :-1]
             first = np.flatnonzero(new)
             ends = np.append(first[1:], rows.shape[1])
             names, members = [], [np.zeros(0, np.int64)]
             for a, b in zip(first[ends - first > 1].tolist(), ends[ends - first > 1].tolist(), strict=True):
-                one = rows[1, a:b]
+                one = rows[2, a:b]
                 digest = hashlib.blake2b(one.tobytes(), digest_size=16).digest()
                 if digest not in seen:
                     seen.add(digest)
@@ -188,15 +260,15 @@ def _lists(prefixes: DataFrame) -> DataFrame:
             return out(np.concatenate(names) if names else [], np.concatenate(members))
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("h", "d1")])
+            rows = np.stack([batch.column(c).to_numpy() for c in ("h", "n", "d1")])
             same = np.zeros(rows.shape[1], bool)
             same[1:] = (rows[:, 1:] == rows[:, :-1]).all(axis=0)
             if held.shape[1] and rows.shape[1]:
                 same[0] = (rows[:, 0] == held[:, -1]).all()
             rows = np.concatenate([held, rows[:, ~same]], axis=1)
             if going is not None:
-                n = int(np.argmax(np.append(rows[0] != going, True)))
-                yield out(rows[0, :n], rows[1, :n])
+                n = int(np.argmax(np.append(rows[0] != going[0], True)))
+                yield passed(rows[:, :n])
                 rows = rows[:, n:]
                 going = None if rows.shape[1] else going
             held = rows
@@ -205,13 +277,13 @@ def _lists(prefixes: DataFrame) -> DataFrame:
                 yield lists(rows[:, :end])
                 held = rows[:, end:]
                 if held.shape[1] > HELD:
-                    going = held[0, 0]
-                    yield out(held[0], held[1])
+                    going = held[0, 0], int(held[1, 0]), 0
+                    yield passed(held)
                     held = held[:, :0]
         if held.shape[1]:
             yield lists(held)
 
-    dealt = prefixes.repartition("h").sortWithinPartitions("h", "d1")
+    dealt = prefixes.repartition("h").sortWithinPartitions("h", "n", "d1")
     return dealt.mapInArrow(run, "list long, d1 long").dropDuplicates(["list", "d1"])
 
 
@@ -303,72 +375,86 @@ def link(sets: list[np.ndarray], components: np.ndarray, sides: np.ndarray | Non
     return found
 
 
-def _join(buckets: DataFrame, words: int) -> DataFrame:
-    """Edges (``a``, ``b``) from rows (``task``, ``key``, ``component``,
-    ``side``, ``text``) that come sorted by task."""
+def _by_task(rows: DataFrame, function, schema: str) -> DataFrame:
+    """Applies ``function`` (table to record batch, or None) to every task of
+    more than one component; tasks are bounded, see :func:`_blocks`."""
 
     def run(batches):
         held: list[pa.Table] = []
 
-        def edges() -> Iterator[pa.RecordBatch]:
+        def done() -> Iterator[pa.RecordBatch]:
             table = pa.concat_tables(held)
-            task = table.column("task").to_numpy()
+            task, component = table.column("task").to_numpy(), table.column("component").to_numpy()
             cuts = np.flatnonzero(np.diff(task)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(task)], strict=True):
-                part = table.slice(a, b - a)
-                key, component, side = (part.column(c).to_numpy() for c in ("key", "component", "side"))
-                if len(np.unique(component)) < 2:
-                    continue
-                sets = list(shingles(part.column("text").combine_chunks(), words))
-                pairs = np.array(link(sets, component, side), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(key[pairs[:, 0]]), pa.array(key[pairs[:, 1]])], ["a", "b"])
+                if (component[a:b] != component[a]).any():
+                    yield function(table.slice(a, b - a))
 
         for batch in batches:
             # whole tasks only: the last one of a batch may go on
             task = batch.column("task").to_numpy()
             cut = int(np.searchsorted(task, task[-1]))
             table = pa.Table.from_batches([batch])
-            if held and held[0].column("task")[0].as_py() != task[-1]:
+            if cut or held and held[0].column("task")[0].as_py() != task[-1]:
                 held.append(table.slice(0, cut))
-                yield from edges()
-                held = [table.slice(cut)]
-            elif cut:
-                held.append(table.slice(0, cut))
-                yield from edges()
+                yield from done()
                 held = [table.slice(cut)]
             else:
                 held.append(table)
         if held:
-            yield from edges()
+            yield from done()
 
-    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return buckets.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, schema)
 
 
-def _with_text(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Joins texts to members by key and tid.  Few ids are sent to the texts,
-    so that only texts asked for are shuffled."""
+def _with(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """Joins rows (texts, signatures) to members by key and tid.  Few ids are
+    sent to the rows, so that only rows asked for are shuffled."""
     ids = members.select("key", "tid").distinct()
     wanted = ids.limit(BROADCAST_IDS + 1).count()
-    few = texts.join(F.broadcast(ids) if wanted <= BROADCAST_IDS else ids, ["key", "tid"], "left_semi")
+    few = rows.join(F.broadcast(ids) if wanted <= BROADCAST_IDS else ids, ["key", "tid"], "left_semi")
     # rows given twice are one
     return members.join(few.dropDuplicates(["key", "tid"]), ["key", "tid"])
 
 
+def _edges(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    key, pairs = table.column("key").to_numpy(), np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(key[pairs[:, 0]]), pa.array(key[pairs[:, 1]])], ["a", "b"])
+
+
+def _by_signature(table: pa.Table) -> pa.RecordBatch:
+    size, component, side = (table.column(c).to_numpy() for c in ("size", "component", "side"))
+    return _edges(table, plausible(table.column("signature").to_pylist(), size, component, side))
+
+
+def _by_text(words: int):
+    def run(table: pa.Table) -> pa.RecordBatch:
+        component, side = (table.column(c).to_numpy() for c in ("component", "side"))
+        return _edges(table, link(list(shingles(table.column("text").combine_chunks(), words)), component, side))
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``key``, ``component``): the smallest key that is reachable, for every
     key on an edge.  Alternates large and small stars (each key's larger, then
     smaller neighbours move to the smallest), which ends after few rounds."""
     edges = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    before = None
+    count, before = edges.count(), None
+
+    def together(df: DataFrame) -> DataFrame:
+        # the edges never grow in number; few of them need no shuffle
+        return df.coalesce(1) if count <= FEW_EDGES else df
+
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = together(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        edges = cut_lineage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = cut_lineage(together(small.unionByName(least.select("a", F.col("m").alias("b")))).distinct())
         after = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first())
         if after == before:
             break
@@ -382,6 +468,45 @@ def _blocks(count, total):
     return F.greatest(F.lit(1), F.ceil(count / BLOCK_SETS), F.ceil(total / BLOCK_SHINGLES)).cast("int")
 
 
+def _connect(members: DataFrame, rows: DataFrame, function) -> DataFrame:
+    """Components (``key``, ``component``) of the pairs that ``function`` finds
+    in the lists of ``members`` (``list``, ``key``, ``tid``, ``n``), with what
+    ``rows`` has for each set."""
+    # first each set in one of its lists, long lists in blocks around a leader
+    one = members.groupBy("key", "tid", "n").agg(F.min("list").alias("list"))
+    size = one.groupBy("list").agg(F.count(F.lit(1)).alias("chosen"), F.sum("n").alias("s"), F.min("key").alias("leader"))
+    size = size.withColumn("blocks", _blocks(F.col("chosen"), F.col("s")))
+    dealt = one.join(size.filter("chosen > 1"), "list")
+    block = F.when(F.col("key") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
+    tasks = dealt.select(F.explode(block).alias("block"), "list", "key", "tid").select(F.xxhash64("list", "block").alias("task"), "key", "tid", F.col("key").alias("component"), F.lit(0).cast("byte").alias("side"))
+    first = components(_by_task(_with(cut_lineage(tasks), rows), function, "a long, b long"))
+
+    # lists that were not joined whole and are not in one component yet: the
+    # sets outside the list's largest component against each other and that one
+    labelled = members.join(first, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    part = labelled.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    whole = part.groupBy("list").agg(F.max(F.struct("c", "component", "s")).alias("major"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+    whole = whole.join(size.select("list", "chosen", "blocks"), "list", "left")
+    open_ = whole.filter("major.c < c AND (chosen IS NULL OR chosen < c OR blocks > 1)").select(
+        "list",
+        F.col("major.component").alias("major"),
+        _blocks(F.col("major.c"), F.col("major.s")).alias("majors"),
+        _blocks(F.col("c") - F.col("major.c"), F.col("s") - F.col("major.s")).alias("minors"),
+    )
+    rest = labelled.join(open_, "list").withColumn("side", (F.col("component") == F.col("major")).cast("byte"))
+    blocks = F.when(F.col("side") == 1, F.col("majors")).otherwise(F.col("minors"))
+    rest = rest.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    minors = F.sequence(F.lit(0), F.col("minors") - 1)
+    # a pair of blocks is named by the smaller number first; majors come after
+    with_minor = F.transform(minors, lambda m: F.array(F.least(m, F.col("mine")), F.greatest(m, F.col("mine"))))
+    with_major = F.transform(F.sequence(F.lit(0), F.col("majors") - 1), lambda m: F.array(F.col("mine"), F.col("minors") + m))
+    to_minor = F.transform(minors, lambda m: F.array(m, F.col("minors") + F.col("mine")))
+    pairs = F.when(F.col("side") == 1, to_minor).otherwise(F.concat(with_minor, with_major))
+    tasks = rest.select(F.explode(pairs).alias("pair"), "list", "key", "tid", "component", "side").select(F.xxhash64("list", "pair").alias("task"), "key", "tid", "component", "side")
+    more = _by_task(_with(cut_lineage(tasks), rows), function, "a long, b long")
+    return components(first.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+
 def join(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``documents`` (``doc_id``, ``text``): ``doc_id``,
     ``n_shingles`` (size of its set) and ``component_id``, the smallest id
@@ -397,7 +522,7 @@ def join(documents: DataFrame, words: int = WORDS) -> DataFrame:
     settle(documents.sparkSession)
     texts = keyed(documents)
     found = cut_lineage(_sets(texts, words))
-    sets = found.filter("kind = 0")
+    sets = found.filter("kind = 0").drop("kind")
     most = found.filter("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(FREQUENT_MOST).collect()
     # most frequent last: the smallest shingles by hash lead the order
     frequent = np.sort(np.array([r.d1 for r in most], np.int64).view(np.uint64))
@@ -406,39 +531,10 @@ def join(documents: DataFrame, words: int = WORDS) -> DataFrame:
     nodes = sets.filter((F.col("key") != NO_ID) & (F.col("n") > 0)).groupBy("d1", "d2").agg(F.min(F.struct("key", "tid", "n")).alias("rep"))
     members = cut_lineage(lists.join(nodes, "d1").select("list", "rep.key", "rep.tid", "rep.n"))
 
-    # every set in one list; long lists in blocks around common leaders
-    one = members.groupBy("key", "tid", "n").agg(F.min("list").alias("list"))
-    size = one.groupBy("list").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"), F.min("key").alias("leader")).withColumn("blocks", _blocks(F.col("c"), F.col("s")))
-    dealt = one.join(size.filter("c > 1"), "list")
-    block = F.when(F.col("key") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    tasks = dealt.select(F.explode(block).alias("block"), "list", "key", "tid").select(F.xxhash64("list", "block").alias("task"), "key", "tid", F.col("key").alias("component"), F.lit(0).cast("byte").alias("side"))
-    edges = _join(_with_text(tasks, texts), words)
-    first = components(edges)
-
-    # lists that are not in one component yet, in full: the sets outside the
-    # list's largest component against each other and against that one
-    labelled = members.join(first, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    part = labelled.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
-    whole = part.groupBy("list").agg(F.max(F.struct("c", "component", "s")).alias("major"), F.sum("c").alias("c"), F.sum("s").alias("s"))
-    open_ = whole.filter("major.c < c").select(
-        "list",
-        F.col("major.component").alias("major"),
-        _blocks(F.col("major.c"), F.col("major.s")).alias("majors"),
-        _blocks(F.col("c") - F.col("major.c"), F.col("s") - F.col("major.s")).alias("minors"),
-    )
-    rest = labelled.join(open_, "list").withColumn("side", (F.col("component") == F.col("major")).cast("byte"))
-    blocks = F.when(F.col("side") == 1, F.col("majors")).otherwise(F.col("minors"))
-    rest = rest.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int"))
-    minors = F.sequence(F.lit(0), F.col("minors") - 1)
-    # a pair of blocks is named by the smaller number first; majors come after
-    with_minor = F.transform(minors, lambda m: F.array(F.least(m, F.col("mine")), F.greatest(m, F.col("mine"))))
-    with_major = F.transform(F.sequence(F.lit(0), F.col("majors") - 1), lambda m: F.array(F.col("mine"), F.col("minors") + m))
-    to_minor = F.transform(minors, lambda m: F.array(m, F.col("minors") + F.col("mine")))
-    pairs = F.when(F.col("side") == 1, to_minor).otherwise(F.concat(with_minor, with_major))
-    tasks = rest.select(F.explode(pairs).alias("pair"), "list", "key", "tid", "component", "side").select(F.xxhash64("list", "pair").alias("task"), "key", "tid", "component", "side")
-    tasks = cut_lineage(tasks)
-    more = _join(_with_text(tasks, texts), words)
-    last = components(first.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
+    near = _connect(members, sets.select("key", "tid", F.col("n").alias("size"), "signature"), _by_signature)
+    reps = nodes.select("rep.key", "rep.tid", "rep.n")
+    groups = cut_lineage(near.join(reps, "key").select(F.col("component").alias("list"), "key", "tid", "n"))
+    last = _connect(groups, texts, _by_text(words))
 
     names = nodes.select("d1", "d2", F.col("rep.key").alias("key")).join(last, "key", "left").select("d1", "d2", F.coalesce("component", "key").alias("component"))
     alone = (F.col("key") == NO_ID) | (F.col("n") == 0)

@@ -105,6 +105,29 @@ def test_tree_equals_all_pairs():
                     assert joined.find(a) == joined.find(b)
 
 
+def test_signatures_lose_nothing():
+    rng = np.random.default_rng(3)
+    apart = 0
+    for _ in range(60):
+        base = rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64)
+        sets = []
+        for _ in range(25):
+            s = base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.3, 0.9])]
+            sets.append(np.unique(np.concatenate([s, rng.integers(0, 2**63, 1 + rng.integers(0, 1 + len(base) // 5)).astype(np.uint64)])))
+        sizes, names, sides = np.array([len(s) for s in sets]), rng.integers(0, 20, 25), rng.integers(0, 2, 25)
+        joined = jj._Joined(names)
+        for a, b in jj.plausible([jj.signature(s) for s in sets], sizes, names, sides):
+            assert joined.union(a, b)
+        roots = {joined.find(i) for i in range(25)}
+        apart += len(roots)
+        for a in range(25):
+            for b in range(a):
+                o = len(np.intersect1d(sets[a], sets[b]))
+                if not (sides[a] and sides[b]) and 7 * o >= 3 * (sizes[a] + sizes[b]):
+                    assert joined.find(a) == joined.find(b)
+    assert apart > 300
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(250)]
