@@ -27,15 +27,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     documents without words belong to no group; each of them stays.
     """
     settle(spark)
-    found = jaccard_join.join(docs)
-    gone = cut_lineage(found.filter("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = cut_lineage(jaccard_join.join(docs).filter("doc_id IS NOT NULL"))
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(_sent(gone), "doc_id", "left_anti").select(*docs.columns)
     # only ids that are given more than once need a choice
-    twice = kept.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = kept.join(twice, "doc_id").select(*docs.columns)
+    twice = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(_sent(twice), "doc_id").select(*docs.columns)
     order = F.struct(F.col("text").alias("_text"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     first = again.groupBy("doc_id").agg(F.min(order).alias("first")).select("first.row.*")
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(first)
+    return kept.join(_sent(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(first)
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """Few ids go to the documents; more are joined by a shuffle."""
+    most = jaccard_join.BROADCAST_IDS
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
