@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ ARROW = {
 #: stands for a document without id wherever ids are joined or ordered
 NO_ID = -(2**63)
 
+#: keys with more than one text that go to every task
+SHARED = 100_000
+
 #: words are runs of anything but these bytes: space, tab to carriage return
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -63,6 +67,38 @@ def keyed(documents: DataFrame, *more) -> DataFrame:
     )
 
 
+def text_hash(seed: int) -> Column:
+    """64 bits of a hash of the text; each seed has its own."""
+    return F.xxhash64(F.lit(seed), F.coalesce("text", F.lit("")))
+
+
+def apart(documents: DataFrame) -> tuple[DataFrame, bool]:
+    """``key``, ``tid`` and ``text`` as :func:`keyed` gives them, but ``tid`` is
+    64 bits and differs between any two texts that share a key; and whether any
+    two texts do.
+
+    The hash is one under which no two of them are equal, judged by another one
+    of 64 bits.  ``tid`` is 0 where no other text has the key, so that it takes
+    no room where rows are dealt out; with more than :data:`SHARED` shared keys
+    every row has its hash.
+    """
+    for seed in itertools.count(1):
+        texts = keyed(documents).withColumn("tid", text_hash(seed))
+        hashes = texts.select("key", "tid", text_hash(0).alias("other"))
+        kinds = hashes.groupBy("key", "tid").agg((F.min("other") != F.max("other")).alias("clash"))
+        keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("clash").alias("clash")).filter("n > 1 OR clash")
+        found = keys.orderBy(F.desc("clash"), "key").limit(SHARED + 1).collect()
+        if not found:
+            return texts.withColumn("tid", F.lit(0).cast("long")), False
+        if found[0].clash:
+            continue
+        if len(found) > SHARED:
+            return texts, True
+        few = texts.sparkSession.createDataFrame([(r.key, True) for r in found], "key long, _shared boolean")
+        tid = F.when(F.col("_shared"), F.col("tid")).otherwise(F.lit(0).cast("long"))
+        return texts.join(F.broadcast(few), "key", "left").select("key", tid.alias("tid"), "text"), True
+
+
 def widened(df: DataFrame, more: str) -> T.StructType:
     """The schema of ``df`` with more columns at the end."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])

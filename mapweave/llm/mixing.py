@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import WORD, cut_lineage, keyed, settle
+from mapweave.llm.common import WORD, cut_lineage, keyed, settle, text_hash
 
 #: words of a block, slots of a shard, seed of the draws
 BLOCK, SHARD, SEED = 256, 4096, 11
@@ -155,10 +155,10 @@ def slots(spark: SparkSession, sources: list[tuple], weights=WEIGHTS, repeats: f
 
 
 def _sizes(documents: DataFrame) -> DataFrame:
-    """``key``, ``tid``, ``doc_id``, ``source`` and ``size`` (words, 0 for
+    """``key``, ``tid``, ``hid`` (64 bits more of the text), ``doc_id``, ``source`` and ``size`` (words, 0 for
     NULL) of every row, written once: all plans below read these few bytes."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    rows = keyed(documents.select("doc_id", "text", "source"), "doc_id", "source", size)
+    rows = keyed(documents.select("doc_id", "text", "source"), "doc_id", "source", size, text_hash(1).alias("hid"))
     return cut_lineage(rows.drop("text"))
 
 
@@ -180,7 +180,7 @@ def places(rows: DataFrame) -> DataFrame:
     sums = stepped.groupBy("source_no", "step").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source_no").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     shift = sums.select("source_no", "step", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    inner = Window.partitionBy("source_no", "step").orderBy("key", "size", "tid").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source_no", "step").orderBy("key", "size", "tid", "hid").rowsBetween(Window.unboundedPreceding, -1)
     counted = stepped.withColumn("low", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     return counted.join(shift, ["source_no", "step"]).withColumn("low", F.col("low") + F.col("shift")).drop("shift", "step")
 
@@ -227,8 +227,8 @@ def mix(documents: DataFrame, weights=WEIGHTS, repeats: float = REPEATS, block:
     # only sizes travel until the places are known; a text given twice is read
     # once and packed at both its places
     placed = places(_numbered(rows, sources)).filter("size > 0")
-    lows = placed.groupBy("key", "tid").agg(F.collect_list(F.struct("doc_id", "source_no", "low")).alias("lows"))
-    texts = keyed(documents.select("doc_id", "text")).dropDuplicates(["key", "tid"])
+    lows = placed.groupBy("key", "tid", "hid").agg(F.collect_list(F.struct("doc_id", "source_no", "low")).alias("lows"))
+    texts = keyed(documents.select("doc_id", "text"), text_hash(1).alias("hid")).dropDuplicates(["key", "tid", "hid"])
     schema = "doc_id long, source_no int, block_no long, part long, text string"
 
     def pack(batches):
@@ -253,7 +253,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, repeats: float = REPEATS, block:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
     kinds, names = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()], [c.split()[0] for c in schema.split(", ")]
-    parts = texts.join(lows, ["key", "tid"]).select("text", "lows").mapInArrow(pack, schema)
+    parts = texts.join(lows, ["key", "tid", "hid"]).select("text", "lows").mapInArrow(pack, schema)
     chosen = slots(spark, sources, weights, repeats, block, seed)
     shown = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(sources)], "source_no int, source string")
     joined = chosen.join(parts, ["source_no", "block_no"]).join(shown, "source_no")

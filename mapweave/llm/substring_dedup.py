@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import NO_ID, keyed, settle
+from mapweave.llm.common import NO_ID, apart, settle
 from mapweave.llm.suffix_dedup import _ranges
 from mapweave.llm.windows import HOT, Windows, repeated_spans
 
@@ -36,8 +36,8 @@ def substring_dedup(documents: DataFrame, width: int = WIDTH, gram: int = GRAM,
     if width > 127 or not 0 < gram < width:
         raise ValueError("gram must be less than width, width 127 or less")
     settle(documents.sparkSession)
-    texts = keyed(documents)
-    spans = repeated_spans(texts, Windows(True, width, gram, False), hot=hot)
+    texts, shared = apart(documents)
+    spans = repeated_spans(texts, Windows(True, width, gram, False), hot=hot, shared=shared)
     held = spans.groupBy("key", "tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
     def run(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import NO_ID, keyed, settle
+from mapweave.llm.common import NO_ID, apart, settle
 from mapweave.llm.windows import HOT, Windows, merge, repeated_spans
 
 #: bytes of a string that counts as repeated, and bytes of an anchor
@@ -39,8 +39,8 @@ def suffix_dedup(documents: DataFrame, width: int = WIDTH, gram: int = GRAM, hot
     if gram < 8 or width > 127 or gram >= width:
         raise ValueError("gram must be 8 or more and less than width, width 127 or less")
     settle(documents.sparkSession)
-    texts = keyed(documents)
-    spans = repeated_spans(texts, Windows(False, width, gram, True), hot=hot)
+    texts, shared = apart(documents)
+    spans = repeated_spans(texts, Windows(False, width, gram, True), hot=hot, shared=shared)
     held = spans.groupBy("key", "tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
     def run(batches):

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from mapweave.llm.common import CHUNK, gram_hashes, slices, span_hashes, text_bytes, word_spans
 
-#: bits of a packed place: start, number of windows, units before the anchor, text hash
-N_BITS, A_BITS, T_BITS = 7, 7, 16
+#: bits of a packed place: start, number of windows, units before the anchor
+N_BITS, A_BITS = 7, 7
 
 #: places of an anchor beyond which its windows are keyed one by one
 HOT = 20_000
@@ -116,18 +116,21 @@ def _units(column: pa.Array, spec: Windows):
     return values, first, (data, starts, ends, first)
 
 
-def anchors(texts: DataFrame, spec: Windows) -> DataFrame:
-    """One row per piece: ``h``, ``key`` and the packed ``place``."""
+def anchors(texts: DataFrame, spec: Windows, shared: bool = True) -> DataFrame:
+    """One row per piece: ``h``, ``key``, the packed ``place`` and, if keys are
+    shared, ``tid`` (else it is 0)."""
+    columns = {"h": "long", "key": "long", "place": "long"} | ({"tid": "long"} if shared else {})
 
     def run(batches):
         for batch in batches:
             units, offsets, _ = _units(batch.column("text"), spec)
             key, tid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tid"))
             for text, start, n, before, h in _find(units, offsets, spec):
-                place = _pack(start, n, before, tid[text].astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[text]), pa.array(place)], ["h", "key", "place"])
+                place = _pack(start, n, before)
+                arrays = [pa.array(h.view(np.int64)), pa.array(key[text]), pa.array(place), pa.array(tid[text].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays[: len(columns)], list(columns))
 
-    return texts.mapInArrow(run, "h long, key long, place long")
+    return texts.mapInArrow(run, ", ".join(map(" ".join, columns.items())))
 
 
 def _again(hot: int) -> Callable:
@@ -135,12 +138,12 @@ def _again(hot: int) -> Callable:
     the last anchor of a batch is kept for the next one."""
 
     def run(batches):
-        held = np.zeros((3, 0), np.int64)
+        held = np.zeros((4, 0), np.int64)
         going = None  # the hash of a hot anchor whose rows are passed on as they come
 
         def emit(rows: np.ndarray, is_hot) -> pa.RecordBatch:
             place = rows[2]
-            arrays = [pa.array(rows[1]), pa.array((place & (1 << T_BITS) - 1).astype(np.int32)), pa.array(np.where(is_hot, -place, place))]
+            arrays = [pa.array(rows[1]), pa.array(rows[3]), pa.array(np.where(is_hot, -place, place))]
             return pa.RecordBatch.from_arrays(arrays, ["key", "tid", "place"])
 
         def settled(rows: np.ndarray) -> pa.RecordBatch:
@@ -151,7 +154,8 @@ def _again(hot: int) -> Callable:
             return emit(rows[:, keep], count[keep] > hot)
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("h", "key", "place")])
+            tid = batch.column("tid").to_numpy() if "tid" in batch.schema.names else np.zeros(batch.num_rows, np.int64)
+            rows = np.stack([*(batch.column(c).to_numpy() for c in ("h", "key", "place")), tid])
             rows = np.concatenate([held, rows], axis=1)
             if going is not None:
                 n = int(np.argmax(np.append(rows[0] != going, True)))
@@ -177,13 +181,13 @@ def repeated(found: DataFrame, hot: int = HOT) -> DataFrame:
     """Per text the places of pieces whose anchor occurs again, negative where
     the anchor is hot."""
     dealt = found.repartition("h").sortWithinPartitions("h")
-    places = dealt.mapInArrow(_again(hot), "key long, tid int, place long")
+    places = dealt.mapInArrow(_again(hot), "key long, tid long, place long")
     return places.groupBy("key", "tid").agg(F.collect_list("place").alias("places"))
 
 
 #: ``place`` as the anchors have it; without content, ``copies`` is the number
 #: of windows
-PIECE = "g binary, x binary, key long, place long, copies long"
+PIECE = "g binary, x binary, key long, place long, copies long, tid long"
 
 
 class _Kept:
@@ -242,9 +246,9 @@ class _Kept:
         content = [self.content[i] for i in number[heads].tolist()]
         g = [c[0] for c in content] + [_digest(b"%d %d" % p) for p in zip(key[done].tolist(), start[done].tolist(), strict=True)]
         x = [c[1] for c in content] + [None] * len(done)
-        place = _pack(start[rows], np.concatenate([n[heads], np.ones_like(done)]), np.concatenate([before[heads], np.zeros_like(done)]), tid[rows])
+        place = _pack(start[rows], np.concatenate([n[heads], np.ones_like(done)]), np.concatenate([before[heads], np.zeros_like(done)]))
         copies = np.concatenate([copies, length])
-        arrays = [pa.array(g, pa.binary()), pa.array(x, pa.binary()), pa.array(key[rows]), pa.array(place), pa.array(copies)]
+        arrays = [pa.array(g, pa.binary()), pa.array(x, pa.binary()), pa.array(key[rows]), pa.array(place), pa.array(copies), pa.array(tid[rows])]
         self.clear()
         return pa.RecordBatch.from_arrays(arrays, _names(PIECE))
 
@@ -261,15 +265,15 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _pack(start: np.ndarray, n: np.ndarray, before: np.ndarray, tid: np.ndarray) -> np.ndarray:
+def _pack(start: np.ndarray, n: np.ndarray, before: np.ndarray) -> np.ndarray:
     """One number for a place; the order of places is the order of starts."""
-    return ((start << N_BITS | n) << A_BITS | before) << T_BITS | tid
+    return (start << N_BITS | n) << A_BITS | before
 
 
 def _unpack(places: np.ndarray) -> tuple[np.ndarray, ...]:
     """Start, number of windows, units before the anchor, hot."""
     hot = places < 0
-    place = np.abs(places) >> T_BITS
+    place = np.abs(places)
     before, place = place & (1 << A_BITS) - 1, place >> A_BITS
     return place >> N_BITS, place & (1 << N_BITS) - 1, before, hot
 
@@ -380,9 +384,8 @@ class _Block:
     def __init__(self, batch: pa.Table, spec: Windows):
         self.spec = spec
         x = batch.column("x").combine_chunks()
-        self.key, place, self.copies = (batch.column(c).to_numpy() for c in ("key", "place", "copies"))
+        self.key, place, self.copies, self.tid = (batch.column(c).to_numpy() for c in ("key", "place", "copies", "tid"))
         self.start, self.n, self.before, _ = _unpack(place)
-        self.tid = place & (1 << T_BITS) - 1
         g = batch.column("g").combine_chunks().dictionary_encode()
         self.group = g.indices.to_numpy().astype(np.int64)
         self.x = x.to_pylist()
@@ -462,11 +465,11 @@ class _Block:
         return _spans(self.key[row], self.tid[row], start + first, start + last + self.spec.width - 1)
 
 
-SPAN = "key long, tid int, low long, high long"
+SPAN = "key long, tid long, low long, high long"
 
 
 def _spans(key, tid, low, high) -> pa.RecordBatch:
-    arrays = [pa.array(key, pa.int64()), pa.array(np.asarray(tid).astype(np.int32)), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+    arrays = [pa.array(key, pa.int64()), pa.array(tid, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, _names(SPAN))
 
 
@@ -510,9 +513,8 @@ def _compare(spec: Windows, limit: int) -> Callable:
                 settled = pa.compute.is_null(batch.column("x"))
                 b = batch.filter(settled)
                 if b.num_rows:
-                    place = b.column("place").to_numpy()
-                    low, n = _unpack(place)[0], b.column("copies").to_numpy()
-                    ready.append(_spans(b.column("key"), place & (1 << T_BITS) - 1, low, low + n + spec.width - 1))
+                    low, n = _unpack(b.column("place").to_numpy())[0], b.column("copies").to_numpy()
+                    ready.append(_spans(b.column("key"), b.column("tid"), low, low + n + spec.width - 1))
                 batch = batch.filter(pa.compute.invert(settled))
                 if batch.num_rows:
                     yield batch
@@ -565,12 +567,12 @@ def splitters(texts: DataFrame, spec: Windows, parts: int) -> list[bytes]:
     return sorted({grams[len(grams) * i // parts] for i in range(1, parts)} if grams else set())
 
 
-def repeated_spans(texts: DataFrame, spec: Windows, limit: int = BLOCK_ROWS, hot: int = HOT) -> DataFrame:
-    """All steps; ``texts`` as :func:`mapweave.llm.common.keyed` gives them.
+def repeated_spans(texts: DataFrame, spec: Windows, limit: int = BLOCK_ROWS, hot: int = HOT, shared: bool = True) -> DataFrame:
+    """All steps; ``texts`` and ``shared`` as :func:`mapweave.llm.common.apart` gives them.
     Bytes go to ranges of anchors, words to the hash of their anchor."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = None if spec.words else splitters(texts, spec, parts)
-    return compare(pieces(texts, repeated(anchors(texts, spec), hot), spec, cuts), spec, limit)
+    return compare(pieces(texts, repeated(anchors(texts, spec, shared), hot), spec, cuts), spec, limit)
 
 
 def merge(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

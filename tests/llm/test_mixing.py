@@ -85,3 +85,16 @@ def test_empty(spark):
     no_words = frame(spark, [(1, None, "a"), (2, " \n", None)])
     assert [(r.taken, r.target) for r in mixing.taken(no_words).collect()] == [(0, 0.0), (0, 0.0)]
     assert mixing.mix(no_words).count() == 0
+
+
+@pytest.mark.parametrize("key", [None, 4])
+def test_texts_that_share_an_id_and_16_bits(spark, key):
+    """Both are in the mix, each with its own words."""
+    from mapweave.llm.common import keyed
+
+    known, pair = {}, None
+    for r in keyed(frame(spark, [(None, f"a{i} b{i} c{i}", "s") for i in range(2000)])).collect():
+        if known.setdefault(r.tid, r.text) != r.text:
+            pair = known[r.tid], r.text
+    mixed = mixing.mix(frame(spark, [(key, t, "s") for t in pair]), block=4).collect()
+    assert sorted(w for r in mixed for w in r.text.split()) == sorted(" ".join(pair).split())

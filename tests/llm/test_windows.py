@@ -133,3 +133,36 @@ def test_long_text(docs):
     rows = [(1, base), (2, "q" + again)]
     out = {r.doc_id: r.n_removed for r in strings.digest(strings.suffix_dedup(docs(rows))).collect()}
     assert out == {1: 0, 2: 1000}
+
+
+def alike(spark, long, short):
+    """A long and a short text whose 16 bits (``tid``) agree."""
+    from mapweave.llm.common import keyed
+
+    def known(make):
+        rows = spark.createDataFrame([(None, make(i)) for i in range(1500)], "doc_id long, text string")
+        return {r.tid: r.text for r in keyed(rows).collect()}
+
+    first, second = known(long), known(short)
+    tid = min(set(first) & set(second))
+    return first[tid], second[tid]
+
+
+@pytest.mark.parametrize("key", [None, 4])
+def test_texts_that_share_an_id_and_16_bits(docs, spark, key):
+    """Neither gets the places of the other."""
+    again = " ".join(f"w{i}" for i in range(40))
+    long, short = alike(spark, lambda i: f"n{i} {again}. {again}.", lambda i: f"short {i}")
+    rows = [(key, long), (key, short), (9, "other")]
+    assert got(words.digest(words.substring_dedup(docs(rows)))) == brute_words(rows)
+    assert got(strings.digest(strings.suffix_dedup(docs(rows)))) == brute_bytes(rows)
+
+
+def test_many_shared_ids(docs, monkeypatch):
+    """With more shared ids than are sent to the tasks the result is the same."""
+    from mapweave.llm import common
+
+    rows = [(i % 7, t) for i, (_, t) in enumerate(corpus(1))]
+    want = got(words.digest(words.substring_dedup(docs(rows))))
+    monkeypatch.setattr(common, "SHARED", 2)
+    assert got(words.digest(words.substring_dedup(docs(rows)))) == want == brute_words(rows)
