@@ -6,6 +6,9 @@ q-grams with it, all on diagonals (place in the document less place in the
 segment) that differ by e at most.  Shared q-grams are counted in overlapping
 diagonal bands; a region that reaches the bound is verified by a banded
 alignment.
+
+A shorter part of an item is found if it is exact: pieces of :data:`EXACT` bytes
+at every :data:`STEP`-th byte of an item are looked up by their hash and compared.
 """
 
 from __future__ import annotations
@@ -18,12 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import CHUNK, SPACES, gram_hashes, settle, slices, text_bytes, widened
+from mapweave.llm.common import CHUNK, SPACES, gram_hashes, settle, slices, span_hashes, text_bytes, widened
 
 #: bytes of a segment and between segments, of a q-gram, of the shortest item
-#: that is looked for, and edits per byte
+#: that may have edits, and edits per byte; a shorter item, of a q-gram at least,
+#: is looked for whole and between word borders
 SEGMENT, STRIDE, GRAM, SHORTEST, RATE = 80, 40, 10, 30, 0.075
 
+#: bytes of an exact piece and between such pieces: every exact passage of
+#: EXACT + STEP - 1 bytes holds one
+EXACT, STEP = 48, 8
+
 #: bytes of benchmark text that one pass over the documents looks for
 PASS_BYTES = 8 << 20
 
@@ -72,23 +80,29 @@ class Index:
     segment: np.ndarray
     place: np.ndarray
     bits: np.ndarray
+    source: np.ndarray
+    exact: np.ndarray
+    exact_at: np.ndarray
+    exact_item: np.ndarray
 
 
 def index(items: list[tuple[int, str]], rate: float = RATE) -> Index:
-    """Of (id, text) pairs; items under :data:`SHORTEST` bytes are left out."""
-    ids, segments = [], []
+    """Of (id, text) pairs; items under :data:`GRAM` bytes are left out."""
+    ids, segments, whole, owners = [], [], [], []
     for item, text in items:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         data = normal(raw, np.array([0, len(raw)]))[0] if len(raw) else raw
-        if len(data) < SHORTEST:
+        if len(data) < GRAM:
             continue
+        whole.append(data)
+        owners.append(item)
         last = max(0, len(data) - SEGMENT)
         for start in [*range(0, last, STRIDE), last]:
             ids.append(item)
             segments.append(data[start : start + SEGMENT])
     size = np.array([len(s) for s in segments], np.int64)
     # no more edits than leave a q-gram to count
-    budgets = np.minimum((size * rate).astype(np.int64), (size - GRAM) // GRAM)
+    budgets = np.minimum((size * rate).astype(np.int64), (size - GRAM) // GRAM) * (size >= SHORTEST)
     hashes = [gram_hashes(s, GRAM) for s in segments]
     h = np.concatenate([np.zeros(0, np.uint64), *hashes])
     order = np.argsort(h, kind="stable")
@@ -97,18 +111,72 @@ def index(items: list[tuple[int, str]], rate: float = RATE) -> Index:
     place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in hashes)])
     bits = np.zeros(1 << 22, bool)
     bits[(known >> np.uint64(42)).astype(np.int64)] = True
-    return Index(np.array(ids, np.int64), segments, budgets, size - GRAM + 1 - GRAM * budgets, known, np.append(first, len(h)), owner[order], place[order], bits)
-
-
-def _candidates(data: np.ndarray, known: Index) -> Iterator[np.ndarray]:
-    """(segment, lowest diagonal) of bands with enough shared q-grams."""
+    return Index(np.array(ids, np.int64), segments, budgets, size - GRAM + 1 - GRAM * budgets, known, np.append(first, len(h)), owner[order], place[order], bits, *_exact_pieces(whole, owners))
+
+
+def _exact_pieces(whole: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, ...]:
+    """All items in one, and by hash the hash, place and item of their pieces;
+    equal pieces of an item once."""
+    source = np.concatenate([np.zeros(0, np.uint8), *whole])
+    begin = np.cumsum([0, *map(len, whole)])
+    starts = [np.unique(np.append(np.arange(0, len(w) - EXACT + 1, STEP), len(w) - EXACT)) + b for w, b in zip(whole, begin, strict=False) if len(w) >= EXACT]
+    item = np.repeat(np.array([i for i, w in zip(owners, whole, strict=True) if len(w) >= EXACT], np.int64), [len(s) for s in starts])
+    at = np.concatenate([np.zeros(0, np.int64), *starts])
+    h = span_hashes(source, at, at + EXACT)
+    order = np.lexsort((at, item, h))
+    h, at, item = h[order], at[order], item[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1])
+    return source, h[new], at[new], item[new]
+
+
+def _grams_at(data: np.ndarray, known: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the known q-grams in ``data`` and where they begin."""
     h = gram_hashes(data, GRAM)
     maybe = np.flatnonzero(known.bits[(h >> np.uint64(42)).astype(np.int64)])
     if not len(maybe) or not len(known.hashes):
-        return
+        return maybe[:0], maybe[:0]
     at = np.minimum(np.searchsorted(known.hashes, h[maybe]), len(known.hashes) - 1)
     found = known.hashes[at] == h[maybe]
-    at, where = at[found], maybe[found]
+    return at[found], maybe[found]
+
+
+def _passages(data: np.ndarray, bound: np.ndarray, where: np.ndarray, known: Index) -> Iterator[tuple]:
+    """(text, item, start, end) of runs of exact pieces; all q-grams of a piece
+    are known ones, so they begin at consecutive places of ``where``."""
+    n = EXACT - GRAM
+    starts = where[: max(0, len(where) - n)][where[n:] - where[: max(0, len(where) - n)] == n]
+    text = np.searchsorted(bound, starts, "right") - 1
+    inside = starts + EXACT <= bound[text + 1]
+    starts = starts[inside]
+    if not len(starts):
+        return
+    h = span_hashes(data, starts, starts + EXACT)
+    low, high = (np.searchsorted(known.exact, h, side) for side in ("left", "right"))
+    total = np.concatenate([[0], np.cumsum(high - low)])
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS // EXACT, "right")) - 1)
+        count = (high - low)[first:last]
+        row = np.repeat(np.arange(first, last), count)
+        piece = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        step = np.arange(EXACT)
+        same = (data[starts[row][:, None] + step] == known.source[known.exact_at[piece][:, None] + step]).all(axis=1)
+        place, item = starts[row[same]], known.exact_item[piece[same]]
+        where_ = np.searchsorted(bound, place, "right") - 1
+        order = np.lexsort((place, item, where_))
+        place, item, where_ = place[order], item[order], where_[order]
+        new = np.ones(len(place), bool)
+        new[1:] = (item[1:] != item[:-1]) | (where_[1:] != where_[:-1]) | (place[1:] >= place[:-1] + EXACT)
+        runs = np.flatnonzero(new)
+        ends = place[np.append(runs[1:], len(place)) - 1] + EXACT if len(runs) else place
+        yield from zip(where_[runs].tolist(), item[runs].tolist(), place[runs].tolist(), ends.tolist(), strict=True)
+        first = last
+
+
+def _candidates(at: np.ndarray, where: np.ndarray, known: Index) -> Iterator[np.ndarray]:
+    """(segment, lowest diagonal) of bands with enough shared q-grams, given
+    those of :func:`_grams_at`."""
     count = known.first[at + 1] - known.first[at]
     total = np.concatenate([[0], np.cumsum(count)])
     low = 0
@@ -167,15 +235,19 @@ def align(data: np.ndarray, segment: np.ndarray, lows: np.ndarray, budget: int)
     return found // _COST, base + found % _COST, base + best + len(segment)
 
 
-def _matches(data: np.ndarray, offsets: np.ndarray, known: Index) -> Iterator[tuple]:
+def _matches(data: np.ndarray, offsets: np.ndarray, known: Index, passages: list | None = None) -> Iterator[tuple]:
     """(text, item, start, end, edits) with places in ``data``; of overlapping
-    places of one item those with the fewest edits."""
+    places of one item those with the fewest edits.  Exact passages, which may
+    be shorter than a segment, are added to ``passages``."""
     for a, b in slices(offsets):
         for low in range(int(offsets[a]), int(offsets[b]), CHUNK):
             # long texts are cut into blocks that overlap by more than a band
             high = min(int(offsets[b]), low + CHUNK + 8 * SEGMENT)
             part, bound = data[low:high], offsets[a : b + 1] - low
-            for segment, diagonal in _candidates(part, known):
+            at, where = _grams_at(part, known)
+            if passages is not None:
+                passages += [(a + text, item, x + low, y + low, 0) for text, item, x, y in _passages(part, bound, where, known)]
+            for segment, diagonal in _candidates(at, where, known):
                 for s in np.unique(segment).tolist():
                     pattern, budget = known.segments[s], int(known.budgets[s])
                     lows = diagonal[segment == s]
@@ -188,10 +260,16 @@ def _matches(data: np.ndarray, offsets: np.ndarray, known: Index) -> Iterator[tu
                         x2, y2 = max(x, int(bound[text])), min(y, int(bound[text + 1]))
                         if x2 != x or y2 != y:
                             e = _edits(part[x2:y2], pattern, budget)
-                        if e <= budget:
+                        if e <= budget and (len(pattern) >= SHORTEST or _apart(part, x2, y2, bound[text], bound[text + 1])):
                             yield a + text, int(known.items[s]), x2 + low, y2 + low, e
 
 
+def _apart(data: np.ndarray, start: int, end: int, low: int, high: int) -> bool:
+    """Whether a place in the text [low, high) begins and ends a word."""
+    letter = [bytes([c]).isalnum() or c > 0x7F for c in (*data[max(start - 1, low) : start].tolist(), *data[end : min(end + 1, high)].tolist())]
+    return not any(letter)
+
+
 def _edits(text: np.ndarray, pattern: np.ndarray, budget: int) -> int:
     """Least edits of the whole pattern against any part of a short text."""
     lows = np.arange(-len(pattern) - 1, len(text) + 2, budget + 1)
@@ -200,11 +278,14 @@ def _edits(text: np.ndarray, pattern: np.ndarray, budget: int) -> int:
 
 def find(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """All columns of ``documents`` with ``matches``: where a segment of a
-    benchmark item occurs with at most ``rate`` edits per byte, as ``item_id``,
+    benchmark item occurs with at most ``rate`` edits per byte, or an exact passage
+    of :data:`EXACT` bytes or more of it (always found from ``EXACT + STEP - 1``
+    bytes on), as ``item_id``,
     ``start``, ``end`` (code points of the text) and ``edits``, by place.
 
     A-Z count as lower case and runs of spaces as one space.  Items shorter
-    than :data:`SHORTEST` bytes, NULL items and items without id match nothing;
+    than :data:`SHORTEST` bytes match whole, without edits and between word
+    borders; items shorter than :data:`GRAM` bytes, NULL items and items without id match nothing;
     so does a NULL or empty text.  Equal rows get equal matches.  A column
     called ``matches`` is replaced.  The documents are not shuffled; the
     benchmark is read in parts of at most about ``pass_bytes``, one pass over
@@ -228,16 +309,19 @@ def _pass(documents: DataFrame, known: Index) -> DataFrame:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             low, bound, origin = normal(data, offsets) if len(data) else (data, offsets, offsets)
-            found: dict[int, set] = {}
-            for text, item, start, end, edits in _matches(low, bound, known) if len(low) >= GRAM else ():
-                found.setdefault(text, set()).add((item, int(origin[start]), int(origin[end - 1]) + 1, edits))
+            found: dict[int, tuple[set, set]] = {}
+            passages: list[tuple] = []
+            matches = list(_matches(low, bound, known, passages)) if len(low) >= GRAM else []
+            for kind, places in enumerate((matches, passages)):
+                for text, item, start, end, edits in places:
+                    found.setdefault(text, (set(), set()))[kind].add((item, int(origin[start]), int(origin[end - 1]) + 1, edits))
             out = batch.column("matches")
             if found:
                 lists = out.to_pylist()
                 for text, places in found.items():
                     begin = int(offsets[text])
                     point = np.cumsum((data[begin : int(offsets[text + 1])] & 0xC0) != 0x80)
-                    for item, start, end, edits in _fewest(places):
+                    for item, start, end, edits in _joined(*places):
                         lists[text].append({"item_id": item, "start": int(point[start - begin]) - 1, "end": int(point[end - 1 - begin]), "edits": edits})
                     lists[text].sort(key=lambda m: (m["start"], m["end"], m["item_id"]))
                 out = pa.array(lists, out.type)
@@ -259,6 +343,15 @@ def _fewest(places: set) -> list[tuple]:
     return [tuple(p) for p in out]
 
 
+def _joined(places: set, passages: set) -> list[tuple]:
+    """The places, and the exact passages that overlap none of their item."""
+    out = _fewest(places)
+    of_item: dict[int, list] = {}
+    for p in out:
+        of_item.setdefault(p[0], []).append(p)
+    return out + [p for p in _fewest(passages) if not any(p[1] < q[2] and q[1] < p[2] for q in of_item.get(p[0], ()))]
+
+
 def keep(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``documents`` without a match, with all their columns."""
     own = "matches" in documents.columns

@@ -134,3 +134,27 @@ def test_query(spark, folder):
         assert whole <= set(rows[r.doc_id]["items"])
         assert rows[r.doc_id].contaminated == bool(rows[r.doc_id]["items"])
         assert whole or not rows[r.doc_id].contaminated or expected(items, data.decode())
+
+
+def test_exact_passages_at_any_offset(spark, docs):
+    """An exact part of an item is found wherever it begins."""
+    rng = random.Random(8)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(400)).replace("  ", "xy").strip()
+    size = dc.EXACT + dc.STEP - 1
+    other = " ".join(f"w{k}" for k in range(20))
+    cuts = [item[i : i + size + 2].strip() for i in range(len(item) - size - 2)]
+    rows = [(i, f"{other} {c.upper()} {other}") for i, c in enumerate(cuts)] + [(-1, other + item[:40])]
+    bench = spark.createDataFrame([(7, item), (8, "w" + item[:20])], "item_id long, text string")
+    got = {r.doc_id: r.matches for r in dc.find(docs(rows), bench).collect()}
+    assert not got.pop(-1)
+    for i, c in enumerate(cuts):
+        assert len(c) >= size and [m.item_id for m in got[i]] == [7], i
+        assert norm(rows[i][1][got[i][0].start : got[i][0].end]) in c.encode() and got[i][0].end - got[i][0].start >= dc.EXACT
+
+
+def test_short_items(spark, docs):
+    """Whole words only, from a q-gram's length on."""
+    bench = spark.createDataFrame([(1, "capital of peru"), (2, "yes")], "item_id long, text string")
+    rows = [(1, "the Capital  of Peru."), (2, "capital of perul"), (3, "yes"), (4, "capital of Peru"), (5, "capital of")]
+    got = {r.doc_id: [m.item_id for m in r.matches] for r in dc.find(docs(rows), bench).collect()}
+    assert got == {1: [1], 2: [], 3: [], 4: [1], 5: []}
