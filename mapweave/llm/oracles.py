@@ -43,4 +43,17 @@ l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
 SELECT r.x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY 1"""
 
-ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD}
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+#: term counts of every document, weights of terms, and sums over the items' terms
+RANKED = f"""WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, {TERMS}) AS ts FROM documents WHERE text IS NOT NULL),
+c AS (SELECT count(*) FILTER (len(ts) > 0) AS n, sum(len(ts))::BIGINT AS l FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * c.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, c GROUP BY term, c.n),
+q AS (SELECT item_id, term, count(*) AS r FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, {TERMS})) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * t.n * c.n) // c.l))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), c GROUP BY 1, 2)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20"""
+
+ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD, "op13_lexical_search": RANKED}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbours, pii, quality, toxicity
+from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbours, pii, quality, reversed_search, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -70,6 +70,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.resample(docs, labels)[0]
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return reversed_search.search(read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_neighbours": op2_neighbours,
@@ -81,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op13_lexical_search": op13_lexical_search,
 }
