@@ -56,4 +56,26 @@ s AS (SELECT item_id, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 20"""
 
-ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD, "op13_lexical_search": RANKED}
+#: crc32 of a decimal number, byte by byte and bit by bit
+CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+#: rebuilt conversations, all their prefixes, and sums over the prefixes of nodes
+TRIE = f"""WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text, coalesce(role, '') AS role FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, turn, strlen(text) AS b, md5(strlen(role) || ':' || role || text) AS k FROM t),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, b, k) AS i FROM i),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, o.i, o.k, o.b FROM c JOIN o ON o.conv_id = c.base AND o.i <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.i, o.k, o.b FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > c.h),
+l AS (SELECT conv_id, list(k ORDER BY part, i) AS ks, list(b ORDER BY part, i) AS bs FROM r GROUP BY 1),
+s AS (SELECT conv_id, coalesce(ks, []) AS ks, bs FROM c LEFT JOIN l USING (conv_id)),
+m AS (SELECT conv_id, ks, bs, unnest(range(len(ks) + 1)) AS d FROM s),
+n AS (SELECT array_to_string(ks[1:d], '') AS k, any_value(array_to_string(ks[1:d - 1], '')) AS pk, d, any_value(coalesce(bs[d], 0)) AS b, min(conv_id) AS conv_id, count(*) AS n,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ks) = d), '')) AS ends FROM m GROUP BY 1, 3),
+f AS (SELECT pk, count(*) AS c FROM n WHERE d > 0 GROUP BY 1),
+x AS (SELECT n.*, coalesce(f.c, 0) AS c FROM n LEFT JOIN f ON f.pk = n.k),
+u AS (SELECT left(k, 32 * e) AS k, sum((n - 1) * b)::BIGINT AS saved, count(*) FILTER (c = 0) AS leaves FROM (SELECT *, unnest(range(d + 1)) AS e FROM x) GROUP BY 1)
+SELECT x.conv_id, x.d AS depth, CASE WHEN x.d > 0 THEN p.conv_id END AS parent_conv_id, x.n AS n_convs, x.c AS n_children, u.leaves AS n_leaves, u.saved AS saved_tokens, x.ends AS ends_sha256
+FROM x JOIN u USING (k) LEFT JOIN n p ON p.k = x.pk AND p.d = x.d - 1"""
+
+ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD, "op12_prefix_trie": TRIE, "op13_lexical_search": RANKED}
