@@ -72,10 +72,10 @@ def text_hash(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.coalesce("text", F.lit("")))
 
 
-def apart(documents: DataFrame) -> tuple[DataFrame, bool]:
-    """``key``, ``tid`` and ``text`` as :func:`keyed` gives them, but ``tid`` is
-    64 bits and differs between any two texts that share a key; and whether any
-    two texts do.
+def apart(documents: DataFrame, *more) -> tuple[DataFrame, bool]:
+    """``key``, ``tid``, ``text`` and further columns as :func:`keyed` gives
+    them, but ``tid`` is 64 bits and differs between any two texts that share a
+    key; and whether any two texts do.
 
     The hash is one under which no two of them are equal, judged by another one
     of 64 bits.  ``tid`` is 0 where no other text has the key, so that it takes
@@ -83,7 +83,7 @@ def apart(documents: DataFrame) -> tuple[DataFrame, bool]:
     every row has its hash.
     """
     for seed in itertools.count(1):
-        texts = keyed(documents).withColumn("tid", text_hash(seed))
+        texts = keyed(documents, *more).withColumn("tid", text_hash(seed))
         hashes = texts.select("key", "tid", text_hash(0).alias("other"))
         kinds = hashes.groupBy("key", "tid").agg((F.min("other") != F.max("other")).alias("clash"))
         keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("clash").alias("clash")).filter("n > 1 OR clash")
@@ -96,7 +96,7 @@ def apart(documents: DataFrame) -> tuple[DataFrame, bool]:
             return texts, True
         few = texts.sparkSession.createDataFrame([(r.key, True) for r in found], "key long, _shared boolean")
         tid = F.when(F.col("_shared"), F.col("tid")).otherwise(F.lit(0).cast("long"))
-        return texts.join(F.broadcast(few), "key", "left").select("key", tid.alias("tid"), "text"), True
+        return texts.join(F.broadcast(few), "key", "left").withColumn("tid", tid).drop("_shared"), True
 
 
 def widened(df: DataFrame, more: str) -> T.StructType:

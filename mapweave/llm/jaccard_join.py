@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import NO_ID, cut_lineage, gram_hashes, keyed, mix, settle, slices, span_hashes, text_bytes, word_spans
+from mapweave.llm.common import NO_ID, apart, cut_lineage, gram_hashes, mix, settle, slices, span_hashes, text_bytes, word_spans
 
 #: words of a shingle
 WORDS = 5
@@ -52,7 +52,7 @@ COUNTED = 4_000_000
 BROADCAST_IDS = 1_000_000
 
 #: edges that one task may hold
-FEW_EDGES = 200_000
+FEW_EDGES = 500_000
 
 #: children of a tree node
 FAN = 8
@@ -100,7 +100,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
         return batch_of(np.ones(len(h), np.int32), zero, zero, n, h, zero, [None] * len(h))
 
     def batch_of(kind, key, tid, n, d1, d2, signature) -> pa.RecordBatch:
-        arrays = [pa.array(kind), pa.array(key), pa.array(np.asarray(tid).astype(np.int32)), pa.array(n), pa.array(d1), pa.array(d2), pa.array(signature, pa.binary())]
+        arrays = [pa.array(kind), pa.array(key), pa.array(np.asarray(tid).astype(np.int64)), pa.array(n), pa.array(d1), pa.array(d2), pa.array(signature, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "tid", "n", "d1", "d2", "signature"])
 
     def run(batches):
@@ -122,7 +122,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
         if held:
             yield frequent(held)
 
-    return texts.mapInArrow(run, "kind int, key long, tid int, n long, d1 long, d2 long, signature binary")
+    return texts.mapInArrow(run, "kind int, key long, tid long, n long, d1 long, d2 long, signature binary")
 
 
 def signature(hashes: np.ndarray) -> bytes:
@@ -419,8 +419,8 @@ def _with(members: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _edges(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    key, pairs = table.column("key").to_numpy(), np.array(pairs, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(key[pairs[:, 0]]), pa.array(key[pairs[:, 1]])], ["a", "b"])
+    name, pairs = table.column("name").to_numpy(), np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(name[pairs[:, 0]]), pa.array(name[pairs[:, 1]])], ["a", "b"])
 
 
 def _by_signature(table: pa.Table) -> pa.RecordBatch:
@@ -436,25 +436,71 @@ def _by_text(words: int):
     return run
 
 
+class _Forest:
+    """Components of keys as they come."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, i: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(i, i)) != i:
+            parent[i] = parent[up]
+            i = up
+        return i
+
+    def union(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        if i != j:
+            self.parent[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _spanning(batches):
+    """Of a task's edges those that connect something new."""
+    forest = _Forest()
+    for batch in batches:
+        a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
+        new = np.array([forest.union(i, j) for i, j in zip(a, b, strict=True)], bool)
+        if len(forest.parent) > FEW_EDGES:
+            forest = _Forest()
+        yield batch.filter(pa.array(new))
+
+
+def _labels(batches):
+    """(``key``, ``component``) of all edges of one task."""
+    forest = _Forest()
+    for batch in batches:
+        for i, j in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            forest.union(i, j)
+    keys = list(forest.parent)
+    for start in range(0, len(keys), 100_000):
+        part = keys[start : start + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([forest.find(k) for k in part], pa.int64())], ["key", "component"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``key``, ``component``): the smallest key that is reachable, for every
-    key on an edge.  Alternates large and small stars (each key's larger, then
-    smaller neighbours move to the smallest), which ends after few rounds."""
-    edges = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    count, before = edges.count(), None
-
-    def together(df: DataFrame) -> DataFrame:
-        # the edges never grow in number; few of them need no shuffle
-        return df.coalesce(1) if count <= FEW_EDGES else df
+    key on an edge.
 
+    Every task first keeps a spanning forest of its own edges.  If these are few
+    (:data:`FEW_EDGES`), one task settles them; else large and small stars
+    alternate (each key's larger, then smaller neighbours move to the smallest),
+    which ends after few rounds.
+    """
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
+    edges = cut_lineage(edges.mapInArrow(_spanning, "a long, b long"))
+    if edges.limit(FEW_EDGES + 1).count() <= FEW_EDGES:
+        return edges.coalesce(1).mapInArrow(_labels, "key long, component long")
+    edges, before = edges.distinct(), None
     while True:
-        both = together(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        edges = cut_lineage(together(small.unionByName(least.select("a", F.col("m").alias("b")))).distinct())
+        edges = cut_lineage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         after = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first())
         if after == before:
             break
@@ -469,21 +515,21 @@ def _blocks(count, total):
 
 
 def _connect(members: DataFrame, rows: DataFrame, function) -> DataFrame:
-    """Components (``key``, ``component``) of the pairs that ``function`` finds
-    in the lists of ``members`` (``list``, ``key``, ``tid``, ``n``), with what
-    ``rows`` has for each set."""
+    """Components (``name``, ``component``) of the pairs that ``function`` finds
+    in the lists of ``members`` (``list``, ``name``, ``key``, ``tid``, ``n``),
+    with what ``rows`` has for each set."""
     # first each set in one of its lists, long lists in blocks around a leader
-    one = members.groupBy("key", "tid", "n").agg(F.min("list").alias("list"))
-    size = one.groupBy("list").agg(F.count(F.lit(1)).alias("chosen"), F.sum("n").alias("s"), F.min("key").alias("leader"))
-    size = size.withColumn("blocks", _blocks(F.col("chosen"), F.col("s")))
+    one = members.groupBy("name", "key", "tid", "n").agg(F.min("list").alias("list"))
+    size = one.groupBy("list").agg(F.count(F.lit(1)).alias("chosen"), F.sum("n").alias("s"), F.min("name").alias("leader"))
+    size = cut_lineage(size.withColumn("blocks", _blocks(F.col("chosen"), F.col("s"))))
     dealt = one.join(size.filter("chosen > 1"), "list")
-    block = F.when(F.col("key") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    tasks = dealt.select(F.explode(block).alias("block"), "list", "key", "tid").select(F.xxhash64("list", "block").alias("task"), "key", "tid", F.col("key").alias("component"), F.lit(0).cast("byte").alias("side"))
-    first = components(_by_task(_with(cut_lineage(tasks), rows), function, "a long, b long"))
+    block = F.when(F.col("name") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")))
+    tasks = dealt.select(F.explode(block).alias("block"), "list", "name", "key", "tid").select(F.xxhash64("list", "block").alias("task"), "name", "key", "tid", F.col("name").alias("component"), F.lit(0).cast("byte").alias("side"))
+    first = cut_lineage(components(_by_task(_with(cut_lineage(tasks), rows), function, "a long, b long")).withColumnRenamed("key", "name"))
 
     # lists that were not joined whole and are not in one component yet: the
     # sets outside the list's largest component against each other and that one
-    labelled = members.join(first, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    labelled = members.join(first, "name", "left").withColumn("component", F.coalesce("component", "name"))
     part = labelled.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     whole = part.groupBy("list").agg(F.max(F.struct("c", "component", "s")).alias("major"), F.sum("c").alias("c"), F.sum("s").alias("s"))
     whole = whole.join(size.select("list", "chosen", "blocks"), "list", "left")
@@ -493,18 +539,69 @@ def _connect(members: DataFrame, rows: DataFrame, function) -> DataFrame:
         _blocks(F.col("major.c"), F.col("major.s")).alias("majors"),
         _blocks(F.col("c") - F.col("major.c"), F.col("s") - F.col("major.s")).alias("minors"),
     )
+    open_ = cut_lineage(open_)
+    if open_.isEmpty():
+        return first
     rest = labelled.join(open_, "list").withColumn("side", (F.col("component") == F.col("major")).cast("byte"))
     blocks = F.when(F.col("side") == 1, F.col("majors")).otherwise(F.col("minors"))
-    rest = rest.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    rest = rest.withColumn("mine", F.pmod(F.xxhash64("name"), blocks).cast("int"))
     minors = F.sequence(F.lit(0), F.col("minors") - 1)
     # a pair of blocks is named by the smaller number first; majors come after
     with_minor = F.transform(minors, lambda m: F.array(F.least(m, F.col("mine")), F.greatest(m, F.col("mine"))))
     with_major = F.transform(F.sequence(F.lit(0), F.col("majors") - 1), lambda m: F.array(F.col("mine"), F.col("minors") + m))
     to_minor = F.transform(minors, lambda m: F.array(m, F.col("minors") + F.col("mine")))
     pairs = F.when(F.col("side") == 1, to_minor).otherwise(F.concat(with_minor, with_major))
-    tasks = rest.select(F.explode(pairs).alias("pair"), "list", "key", "tid", "component", "side").select(F.xxhash64("list", "pair").alias("task"), "key", "tid", "component", "side")
+    tasks = rest.select(F.explode(pairs).alias("pair"), "list", "name", "key", "tid", "component", "side").select(F.xxhash64("list", "pair").alias("task"), "name", "key", "tid", "component", "side")
     more = _by_task(_with(cut_lineage(tasks), rows), function, "a long, b long")
-    return components(first.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
+    return cut_lineage(components(first.select(F.col("name").alias("a"), F.col("component").alias("b")).unionByName(more)).withColumnRenamed("key", "name"))
+
+
+def distinct_sets(sets: DataFrame) -> DataFrame:
+    """One row per set that has shingles and an id: its digest, and where its
+    text is found."""
+    return sets.filter((F.col("key") != NO_ID) & (F.col("n") > 0)).groupBy("d1", "d2").agg(F.min(F.struct("key", "tid", "n")).alias("rep"))
+
+
+def same_ids(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` (``name``, ``component``) when the texts given under one id are
+    one document."""
+    names = sets.filter((F.col("key") != NO_ID) & (F.col("n") > 0)).groupBy("key").agg(F.min("d1").alias("b"), F.max("d1").alias("a")).filter("a <> b")
+    again = sets.join(names.select("key", "b"), "key").filter("n > 0").select(F.col("d1").alias("a"), "b")
+    return components(labels.select(F.col("name").alias("a"), F.col("component").alias("b")).unionByName(again)).withColumnRenamed("key", "name")
+
+
+def classes(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per row of ``sets`` its ``key``, ``tid``, ``n``, and the smallest ``key``
+    of its component as ``component_id``; a row without id or shingles has its
+    own key."""
+    nodes = distinct_sets(sets)
+    # only sets on an edge have a label, and these are few
+    known = cut_lineage(labels.join(nodes.select(F.col("d1").alias("name"), F.col("rep.key").alias("key")), "name"))
+    least = known.groupBy("component").agg(F.min("key").alias("component_id"))
+    named = known.join(least, "component").select(F.col("name").alias("d1"), "component_id").distinct()
+    names = nodes.select("d1", "d2", F.col("rep.key").alias("key")).join(named, "d1", "left").select("d1", "d2", F.coalesce("component_id", "key").alias("component_id"))
+    alone = (F.col("key") == NO_ID) | (F.col("n") == 0)
+    linked = sets.filter(~alone).join(names, ["d1", "d2"]).select("key", "tid", "n", "component_id")
+    return linked.unionByName(sets.filter(alone).select("key", "tid", "n", F.col("key").alias("component_id")))
+
+
+def link_sets(texts: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """The sets of ``texts`` (``key``, ``tid``, ``text``) and the components
+    (``name``, ``component``) of those that link; a set's name is half its digest."""
+    found = cut_lineage(_sets(texts, words))
+    sets = found.filter("kind = 0").drop("kind")
+    most = found.filter("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(FREQUENT_MOST).collect()
+    # most frequent last: the smallest shingles by hash lead the order
+    frequent = np.sort(np.array([r.d1 for r in most], np.int64).view(np.uint64))
+    known = texts.filter(F.col("key") != NO_ID)
+    lists = cut_lineage(_lists(_prefixes(known, frequent, words)))
+    nodes = distinct_sets(sets)
+    members = cut_lineage(lists.join(nodes, "d1").select("list", F.col("d1").alias("name"), "rep.key", "rep.tid", "rep.n"))
+
+    near = _connect(members, sets.select("key", "tid", F.col("n").alias("size"), "signature"), _by_signature)
+    reps = nodes.select(F.col("d1").alias("name"), "rep.key", "rep.tid", "rep.n")
+    groups = cut_lineage(near.join(reps, "name").select(F.col("component").alias("list"), "name", "key", "tid", "n"))
+    return sets, _connect(groups, texts, _by_text(words))
 
 
 def join(documents: DataFrame, words: int = WORDS) -> DataFrame:
@@ -515,29 +612,43 @@ def join(documents: DataFrame, words: int = WORDS) -> DataFrame:
     A-Z count as lower case.  A text of fewer words has its whole sequence as
     one shingle; a text without words, or NULL, has none and no links.  Rows
     with equal sets link.  A row without id takes no part: its component is
-    NULL.  A set is known by the smallest id that has it, so different texts
-    given under one id may be joined.  No rows give none; other columns are not
-    read.
+    NULL.  Texts given under one id are one document: a link of one of them is a
+    link of all.  No rows give none; other columns are not read.
     """
     settle(documents.sparkSession)
-    texts = keyed(documents)
-    found = cut_lineage(_sets(texts, words))
-    sets = found.filter("kind = 0").drop("kind")
-    most = found.filter("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(FREQUENT_MOST).collect()
-    # most frequent last: the smallest shingles by hash lead the order
-    frequent = np.sort(np.array([r.d1 for r in most], np.int64).view(np.uint64))
-    known = texts.filter(F.col("key") != NO_ID)
-    lists = cut_lineage(_lists(_prefixes(known, frequent, words)))
-    nodes = sets.filter((F.col("key") != NO_ID) & (F.col("n") > 0)).groupBy("d1", "d2").agg(F.min(F.struct("key", "tid", "n")).alias("rep"))
-    members = cut_lineage(lists.join(nodes, "d1").select("list", "rep.key", "rep.tid", "rep.n"))
+    texts, shared = apart(documents)
+    sets, labels = link_sets(texts, words)
+    found = classes(sets, same_ids(sets, labels) if shared else labels)
+    own = lambda c: F.when(F.col("key") != NO_ID, F.col(c))
+    return found.select(own("key").alias("doc_id"), F.col("n").alias("n_shingles"), own("component_id").alias("component_id"))
 
-    near = _connect(members, sets.select("key", "tid", F.col("n").alias("size"), "signature"), _by_signature)
-    reps = nodes.select("rep.key", "rep.tid", "rep.n")
-    groups = cut_lineage(near.join(reps, "key").select(F.col("component").alias("list"), "key", "tid", "n"))
-    last = _connect(groups, texts, _by_text(words))
 
-    names = nodes.select("d1", "d2", F.col("rep.key").alias("key")).join(last, "key", "left").select("d1", "d2", F.coalesce("component", "key").alias("component"))
-    alone = (F.col("key") == NO_ID) | (F.col("n") == 0)
-    own = F.when(F.col("key") != NO_ID, F.col("key"))
-    linked = sets.filter(~alone).join(names, ["d1", "d2"]).select(own.alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
-    return linked.unionByName(sets.filter(alone).select(own.alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id")))
+def keep_first(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``documents`` that stay if each group of linked texts keeps
+    one, the one with the smallest id.
+
+    Every row counts by its own text, also where ids are shared.  Of the rows of
+    a group that share the smallest id one stays (the smallest by a hash of the
+    text, then by all columns).  Rows without id, and texts without words, are in
+    no group and stay, but of exact copies of such a text under one id one stays.
+    """
+    settle(documents.sparkSession)
+    texts, _ = apart(documents, F.struct(*documents.columns).alias("_row"))
+    sets, labels = link_sets(texts.select("key", "tid", "text"), words)
+    found = cut_lineage(classes(sets, labels).filter(F.col("key") != NO_ID).groupBy("key", "tid").agg(F.first("n").alias("n"), F.first("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows")))
+    # a text goes if a smaller id is in its group, or a smaller text under its id
+    several = found.filter("n > 0 AND key = component_id").groupBy("component_id").agg(F.min("tid").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    gone = found.filter("key <> component_id").select("key", "tid")
+    twins = found.filter("key = component_id").join(several, "component_id").filter("tid <> first").select("key", "tid")
+    gone = cut_lineage(gone.unionByName(twins))
+    kept = texts.join(_sent(gone), ["key", "tid"], "left_anti")
+    again = cut_lineage(found.filter("rows > 1").join(gone, ["key", "tid"], "left_anti").select("key", "tid"))
+    if again.isEmpty():
+        return kept.select("_row.*")
+    copies = kept.join(_sent(again), ["key", "tid"]).groupBy("key", "tid").agg(F.min("_row").alias("_row"))
+    return kept.join(_sent(again), ["key", "tid"], "left_anti").select("_row.*").unionByName(copies.select("_row.*"))
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """Few ids go to the documents; more are joined by a shuffle."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from mapweave.llm import jaccard_join as jj
 from mapweave.llm import queries
@@ -148,3 +149,42 @@ def test_query(spark, folder):
     got = sorted(map(tuple, queries.op8_jaccard_join(spark, folder).collect()), key=repr)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert got == brute(rows)
+
+
+def test_shared_ids_with_equal_hash_bits(docs):
+    """Two texts under one id, one near a copy under 1, the other under 2: no
+    link is lost, whatever the bits of their hashes."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+
+    def bits(text):
+        return xxhash.xxh64(text.encode(), seed=42).intdigest() & 0xFFFF
+
+    found = {bits(f"{a} n{n}"): f"{a} n{n}" for n in range(2000)}
+    second = next(t for t in (f"{b} m{n}" for n in range(10_000)) if bits(t) in found)
+    rows = [(7, found[bits(second)]), (7, second), (1, a), (2, b), (3, "else " * 9)]
+    got = sorted(map(tuple, jj.join(docs(rows)).collect()))
+    assert [(i, c) for i, _, c in got] == [(1, 1), (2, 1), (3, 3), (7, 1), (7, 1)]
+
+
+def test_keep_first_by_text(docs):
+    """A text that shares an id with a copy, but is itself near nothing, stays."""
+    a, b = (" ".join(f"{x}{i}" for i in range(50)) for x in "ab")
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (3, b + " more"), (None, a), (4, ""), (4, None)]
+    kept = [(r.doc_id, r.text or "") for r in jj.keep_first(docs(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (2, b), (None, a), (4, "")], key=repr)
+
+
+def test_many_edges(spark, monkeypatch):
+    """Edges beyond those of one task are joined by rounds of stars."""
+    monkeypatch.setattr(jj, "FEW_EDGES", 20)
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)]
+    got = {r.key: r.component for r in jj.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    joined = jj._Joined(np.arange(300))
+    for a, b in edges:
+        joined.union(a, b)
+    assert got == {k: joined.find(k) for k in {k for e in edges for k in e if e[0] != e[1]}}
+
+
+def test_no_edges(spark):
+    assert jj.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
