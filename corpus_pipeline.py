@@ -23,27 +23,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of each group joined by 5-word shingles with a
     Jaccard similarity of 0.75 or more: the one with the smallest id.
 
-    Of rows that share an id the first by text stays.  Rows without id and
-    documents without words belong to no group; each of them stays.
+    Every row counts by its own text, so one that shares its id with a copy, but
+    is itself near nothing, stays.  Rows without id and documents without words
+    belong to no group; each of them stays.
     """
-    settle(spark)
-    found = cut_lineage(jaccard_join.join(docs).filter("doc_id IS NOT NULL"))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(_sent(gone), "doc_id", "left_anti").select(*docs.columns)
-    # only ids that are given more than once need a choice
-    twice = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    again = kept.join(_sent(twice), "doc_id").select(*docs.columns)
-    order = F.struct(F.col("text").alias("_text"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
-    first = again.groupBy("doc_id").agg(F.min(order).alias("first")).select("first.row.*")
-    return kept.join(_sent(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(first)
-
-
-def _sent(ids: DataFrame) -> DataFrame:
-    """Few ids go to the documents; more are joined by a shuffle."""
-    most = jaccard_join.BROADCAST_IDS
-    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
+    return jaccard_join.keep_first(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
