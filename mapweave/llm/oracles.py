@@ -34,15 +34,18 @@ FROM d LEFT JOIN t USING (doc_id)"""
 
 #: shingle sets, pairs by the shingles they share, and the smallest id that
 #: links reach
-JACCARD = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents WHERE text IS NOT NULL),
+_LINKED = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents WHERE text IS NOT NULL),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS k
   FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 75 * (p.n + q.n - o)),
+l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= SHARE * (p.n + q.n - o)),
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
 SELECT r.x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY 1"""
 
+JACCARD = _LINKED.replace("SHARE", "75")
+COPIES = f"SELECT *, doc_id = component_id AS kept FROM ({_LINKED.replace('SHARE', '85')})"
+
 TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
 #: term counts of every document, weights of terms, and sums over the items' terms
@@ -78,4 +81,4 @@ u AS (SELECT left(k, 32 * e) AS k, sum((n - 1) * b)::BIGINT AS saved, count(*) F
 SELECT x.conv_id, x.d AS depth, CASE WHEN x.d > 0 THEN p.conv_id END AS parent_conv_id, x.n AS n_convs, x.c AS n_children, u.leaves AS n_leaves, u.saved AS saved_tokens, x.ends AS ends_sha256
 FROM x JOIN u USING (k) LEFT JOIN n p ON p.k = x.pk AND p.d = x.d - 1"""
 
-ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD, "op12_prefix_trie": TRIE, "op13_lexical_search": RANKED}
+ORACLES = {"op5_suffix_dedup": SUFFIXES, "op7_substring_dedup": SUBSTRINGS, "op8_jaccard_join": JACCARD, "op11_near_copies": COPIES, "op12_prefix_trie": TRIE, "op13_lexical_search": RANKED}

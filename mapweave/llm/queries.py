@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import decontaminate, jaccard_join, language, mixing, neighbours, pii, prefix_trie, quality, reversed_search, toxicity
+from mapweave.llm import chosen_path, decontaminate, jaccard_join, language, mixing, neighbours, pii, prefix_trie, quality, reversed_search, toxicity
 from mapweave.llm import substring_dedup as substrings
 from mapweave.llm import suffix_dedup as suffixes
 from mapweave.llm.common import read, remainder
@@ -70,6 +70,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.resample(docs, labels)[0]
 
 
+def op11_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.join(read(spark, folder, "documents", "doc_id", "text"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_near_copies": op11_near_copies,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical_search": op13_lexical_search,
 }
