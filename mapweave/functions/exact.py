@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from decimal import ROUND_CEILING, ROUND_FLOOR, Context, Decimal
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the JSON number grammar.
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
@@ -89,16 +94,98 @@ def _rank(p):
     return F.struct(power.alias("power"), p["digits"].alias("digits"))
 
 
-def at_least(text: Column, low: Column) -> Column:
-    """Whether one decimal text is not below another, exactly and whatever the
-    number of digits; NULL when either is not a number."""
-
-    def compare(p):
-        a, b = p["a"], p["b"]
-        both = F.when(a["negative"], _rank(b) >= _rank(a)).otherwise(_rank(a) >= _rank(b))
-        return F.when(a.isNotNull() & b.isNotNull(), F.when(a["negative"] == b["negative"], both).otherwise(b["negative"]))
-
-    return let(F.struct(number_parts(text).alias("a"), number_parts(low).alias("b")), compare)
+def _compared(p):
+    a, b = p["a"], p["b"]
+    both = F.when(a["negative"], _rank(b) >= _rank(a)).otherwise(_rank(a) >= _rank(b))
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(a["negative"] == b["negative"], both).otherwise(b["negative"]))
+
+
+def _literal_parts(number: Decimal) -> Column:
+    """:func:`number_parts` of a number known when the query is made."""
+    sign, digits, power = number.as_tuple()
+    text = "".join(map(str, digits)).lstrip("0")
+    kept = text.rstrip("0")
+    exponent = power + len(text) - len(kept) if text else 0
+    return F.struct(F.lit(bool(sign and text)).alias("negative"), F.lit(kept).alias("digits"), F.lit(exponent).cast("long").alias("exponent"))
+
+
+def _nearest_float(number: Decimal, up: bool, single: bool) -> float:
+    """The first floating value, from above (or below) on, whose shortest decimal
+    text is on the asked side of ``number``; infinite if there is none."""
+    kind = np.float32 if single else np.float64
+    toward = kind(math.inf if up else -math.inf)
+    with np.errstate(over="ignore"):
+        value = kind(float(number))
+        # two steps back, then forward to the first that fits
+        value = np.nextafter(np.nextafter(value, -toward), -toward)
+        while np.isfinite(value) and (Decimal(str(value)) < number if up else Decimal(str(value)) > number):
+            value = np.nextafter(value, toward)
+    return float(value)
+
+
+def _integral(number: Decimal, places: int, up: bool) -> int:
+    """``number * 10**places`` as the next integer above (below)."""
+    wide = Context(prec=max(60, len(number.as_tuple().digits) + abs(number.as_tuple().exponent) + places + 2))
+    return int(number.scaleb(places, wide).to_integral_value(ROUND_CEILING if up else ROUND_FLOOR, wide))
+
+
+def _side(value: Column, kind: T.DataType, number: Decimal, low: bool) -> Column | bool:
+    """Whether a numeric value is not below (or not above) a bound; True or False
+    where the type alone settles it."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        single = isinstance(kind, T.FloatType)
+        edge = _nearest_float(number, low, single)
+        if math.isinf(edge):
+            # beyond the type: no finite value reaches it, or every one does
+            most = float(np.finfo(np.float32 if single else np.float64).max)
+            if (edge > 0) == low:
+                return False
+            edge = -most if low else most
+        bound = F.lit(edge).cast(kind)
+        return value >= bound if low else (value <= bound) & ~F.isnan(value)
+    places = kind.scale if isinstance(kind, T.DecimalType) else 0
+    # a bound far beyond the type is settled by its sign
+    if number and abs(number.adjusted()) > 60:
+        if number.adjusted() > 0:
+            return (number < 0) == low
+        edge = int(low and number > 0) - int(not low and number < 0)
+    else:
+        edge = _integral(number, places, low)
+    most = 10**kind.precision - 1 if isinstance(kind, T.DecimalType) else 2 ** ({T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(kind), 64) - 1) - 1
+    if edge > most or edge < -most - 1:
+        return (edge < 0) == low
+    if isinstance(kind, T.DecimalType):
+        bound = F.lit(str(Decimal(edge).scaleb(-places, Context(prec=60)))).cast(f"decimal(38,{places})")
+    else:
+        bound = F.lit(edge).cast("long")
+    return value >= bound if low else value <= bound
+
+
+def outside_range(value: Column, kind: T.DataType, low: str, high: str) -> Column:
+    """Whether a value is not NULL and outside two decimal bounds, which belong
+    to the range.
+
+    Numbers are compared in their own type with the next value of that type on
+    the safe side of the bound: a floating value stands for its shortest text.
+    Texts are compared digit by digit, as exact numbers of any size, and are
+    outside when they are no number; so is a value of any other type.
+    """
+    ends = Decimal(low), Decimal(high)
+    if isinstance(kind, T.NumericType):
+        sides = [_side(value, kind, ends[0], True), _side(value, kind, ends[1], False)]
+        if False in [s for s in sides if isinstance(s, bool)]:
+            return value.isNotNull()
+        inside = [s for s in sides if not isinstance(s, bool)]
+        within = inside[0] & inside[1] if len(inside) == 2 else inside[0] if inside else F.lit(True)
+        if len(inside) < 2 and isinstance(kind, (T.FloatType, T.DoubleType)):
+            within = within & ~F.isnan(value) & (F.abs(value) != float("inf"))
+        return value.isNotNull() & ~within
+
+    def within(parts):
+        first, last = (F.struct(a.alias("a"), b.alias("b")) for a, b in ((parts, _literal_parts(ends[0])), (_literal_parts(ends[1]), parts)))
+        return F.coalesce(let(first, _compared) & let(last, _compared), F.lit(False))
+
+    return value.isNotNull() & ~let(number_parts(value.cast("string")), within)
 
 
 def plain_text(value: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exact import at_least, exact_double, fits_integer
+from ..functions.exact import exact_double, fits_integer, outside_range
 from .errors import error, first_error
 
 # Field types, their Spark types and integer ranges.
@@ -287,22 +287,23 @@ def _relationship(r) -> Relationship:
 # -- values --------------------------------------------------------------------
 
 
-def domain_error(value: Column, domain: Domain) -> Column:
+def _outside(value: Column, domain: Domain, kind: T.DataType) -> Column:
+    """Whether a value of this type is outside its domain; NULL is not."""
+    if domain.kind == "CODED":
+        return value.isNotNull() & ~value.cast("string").isin([c for c, _ in domain.codes])
+    if domain.field_type in ("DATE", "DATETIME", "TIME", "DATETIME_WITH_OFFSET"):
+        to = FIELD_TYPES[domain.field_type]
+        return value.isNotNull() & ~value.cast(to).between(F.lit(domain.low).cast(to), F.lit(domain.high).cast(to))
+    return outside_range(value, kind, domain.low, domain.high)
+
+
+def domain_error(value: Column, domain: Domain, kind: T.DataType) -> Column:
     """Message for a value outside its domain; NULL is the field's business.
 
     Codes are compared as text, range bounds as instants or as exact numbers of
     any size.
     """
-    message = f"Value outside domain {domain.name}"
-    if domain.kind == "CODED":
-        inside = value.cast("string").isin([c for c, _ in domain.codes])
-    elif domain.field_type in ("DATE", "DATETIME", "TIME", "DATETIME_WITH_OFFSET"):
-        kind = FIELD_TYPES[domain.field_type]
-        inside = value.cast(kind).between(F.lit(domain.low).cast(kind), F.lit(domain.high).cast(kind))
-    else:
-        number, low, high = value.cast("string"), F.lit(domain.low), F.lit(domain.high)
-        inside = F.coalesce(at_least(number, low) & at_least(high, number), F.lit(False))
-    return F.when(value.isNotNull() & ~inside, message)
+    return F.when(_outside(value, domain, kind), f"Value outside domain {domain.name}")
 
 
 def validate_domains(df: DataFrame, fields: dict[str, Domain], required=()) -> DataFrame:
@@ -317,10 +318,10 @@ def validate_domains(df: DataFrame, fields: dict[str, Domain], required=()) -> D
             codes = df.sparkSession.createDataFrame([(c,) for c, _ in domain.codes], "_code string")
             codes = codes.withColumn(mark, F.lit(True))
             df = df.join(codes, F.col(name).cast("string") == F.col("_code"), "left").drop("_code")
-            message = F.when(F.col(name).isNotNull() & F.col(mark).isNull(), f"Value outside domain {domain.name}")
+            wrong = F.col(name).isNotNull() & F.col(mark).isNull()
         else:
-            message = domain_error(F.col(name), domain)
-        errors.append(F.when(message.isNotNull(), error("DOMAIN", name, message)))
+            wrong = _outside(F.col(name), domain, df.schema[name].dataType)
+        errors.append(F.when(wrong, error("DOMAIN", name, f"Value outside domain {domain.name}")))
     marks = [c for c in df.columns if c.startswith("_in_")]
     return df.withColumn("error", first_error(*errors)).drop(*marks)
 
@@ -411,7 +412,7 @@ def convert_fields(
             raise ValueError(f"Incompatible input type for {f.name}: {kind.simpleString()} -> {f.type}")
         value, message = convert_field(f, F.col(f.source_name), kind, whole_seconds)
         if f.domain is not None:
-            message = F.coalesce(message, domain_error(value, domains[f.domain]))
+            message = F.coalesce(message, domain_error(value, domains[f.domain], T.DataType.fromDDL(FIELD_TYPES[f.type])))
         outputs.append(value.alias(f.name))
         errors.append(F.when(message.isNotNull(), error("EXPORT", f"{dataset.name}.{f.name}", message)))
     if dataset.geometry is not None:
