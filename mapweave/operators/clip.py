@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 from ..functions.coverage import Grid, covered
 from ..functions.crs import known, transform_xy
 from ..functions.geometry import BOUNDS, parse_crs
+from .errors import error
 from .rasters import (
     GRID_FIELDS, INTEGER_RANGES, META, TILE, add_step, join_meta, pixel_blocks, select_bands, tile_rows,
 )
 from .skew import HotKeys
-from .zonal import TILE_KEY, cover_tiles, touched_tiles, zones_on_grid
+from .tile_order import in_windows
+from .zonal import TILE_KEY, cover_tiles, needed_tiles, touched_tiles, zones_on_grid
 
 #: zones that share one copy of a tile before it is replicated
 CLIPS_PER_TILE = 256
@@ -23,8 +25,9 @@ CLIPS_PER_TILE = 256
 WINDOW = T.StructType([T.StructField(n, T.LongType()) for n in ("c0", "r0", "c1", "r1")])
 
 
-def pixel_window(xmin, ymin, xmax, ymax) -> Column:
-    """Column and row range (end exclusive) of the pixels that overlap a box."""
+def pixel_window(xmin, ymin, xmax, ymax, strict: bool = True) -> Column:
+    """Column and row range (end exclusive) of the pixels that overlap a box; a
+    box beyond the raster fails, or gives NULL if not ``strict``."""
 
     def span(low, high, origin, step, cells):
         a, b = (low - origin) / step, (high - origin) / step
@@ -35,8 +38,13 @@ def pixel_window(xmin, ymin, xmax, ymax) -> Column:
     c0, c1 = span(xmin, xmax, F.col("origin_x"), F.col("pixel_x"), F.col("width"))
     r0, r1 = span(ymin, ymax, F.col("origin_y"), F.col("pixel_y"), F.col("height"))
     window = F.struct(c0.alias("c0"), r0.alias("r0"), c1.alias("c1"), r1.alias("r1"))
-    disjoint = F.raise_error(F.concat(F.lit("Clip area does not overlap raster "), F.col("raster_id")))
-    return F.when((c0 >= c1) | (r0 >= r1), disjoint.cast(WINDOW)).otherwise(window)
+    if not strict:
+        return F.when((c0 < c1) & (r0 < r1), window)
+    return F.when((c0 >= c1) | (r0 >= r1), F.raise_error(_disjoint()).cast(WINDOW)).otherwise(window)
+
+
+def _disjoint() -> Column:
+    return F.concat(F.lit("Clip area does not overlap raster "), F.col("raster_id"))
 
 
 def cut_meta(meta: DataFrame, step: str) -> DataFrame:
@@ -77,7 +85,7 @@ def clip_box(meta, tiles, xmin, ymin, xmax, ymax, crs=None) -> tuple[DataFrame,
         box = _box_bounds(*bounds, F.lit(code), F.col("srid"))
         bounds = [box[n] for n in ("xmin", "ymin", "xmax", "ymax")]
     planned = meta.withColumn("window", pixel_window(*bounds))
-    return cut_meta(planned, "clip box"), cut_tiles(tiles, planned)
+    return cut_meta(planned, "clip box"), cut_tiles(in_windows(tiles, planned), planned)
 
 
 @F.arrow_udf(BOUNDS)
@@ -152,21 +160,31 @@ def clip_polygon(
     crs=None,
     nodata: float | None = None,
     bands="ALL",
-) -> tuple[DataFrame, DataFrame]:
+    errors: str = "FAIL",
+) -> tuple[DataFrame, ...]:
     """One clipped raster per zone, named by the ``out_id`` column.
 
     Pixels whose centre the polygon covers are kept, the boundary included;
     the others become NoData.  Tiles without a covered centre are left out,
     which means NoData.  Integer bands need a sentinel.
+
+    An empty zone, or one beyond its raster, stops the job.  With ``errors`` =
+    ROUTE_TO_ERROR it gives no raster but a row (``out_id``, ``error``) of a
+    third DataFrame.
     """
+    if errors not in ("FAIL", "ROUTE_TO_ERROR"):
+        raise ValueError("Clip errors are FAIL or ROUTE_TO_ERROR")
     if nodata is not None and np.isinf(nodata):
         raise ValueError("Infinite NoData")
+    strict = errors == "FAIL"
     meta, tiles = select_bands(meta, tiles, bands)
     columns = [F.col(out_id).cast("string").alias("_out"), F.col(geom)]
     zones = zones.select(*columns, *([] if raster_id else ["raster_id"]))
     empty = F.col(geom).isNull() | F.col(f"{geom}.xmin").isNull()
-    failing = F.raise_error(F.lit("Clip geometry is empty")).cast("string")
-    zones = zones.withColumn("_out", F.when(empty, failing).otherwise(F.col("_out")))
+    without = zones.filter(empty).select(F.col("_out").alias(out_id), error("CLIP", geom, "Clip geometry is empty").alias("error"))
+    if strict:
+        failing = F.raise_error(F.lit("Clip geometry is empty")).cast("string")
+        zones = zones.withColumn("_out", F.when(empty, failing).otherwise(F.col("_out")))
     ready = zones_on_grid(zones, geom, _with_sentinel(meta, nodata), raster_id=raster_id, crs=crs)
 
     info = join_meta(
@@ -174,25 +192,31 @@ def clip_polygon(
         {f.name: F.col(f.name) for f in META if f.name != "raster_id"}, raster_id,
     )
     box = [F.col(f"_geom.{n}") for n in ("xmin", "ymin", "xmax", "ymax")]
-    planned = info.withColumn("window", pixel_window(*box))
+    planned = info.withColumn("window", pixel_window(*box, strict))
+    beyond = planned.filter("window IS NULL").select(F.col("_out").alias(out_id), error("CLIP", geom, _disjoint()).alias("error"))
+    if not strict:
+        planned = planned.filter("window IS NOT NULL")
     clipped = cut_meta(planned.withColumn("raster_id", F.col("_out")), "clip polygon")
 
     spans = join_meta(
         ready, _with_sentinel(meta, nodata),
         {"_bands": F.col("bands"), **{n: F.col(n) for n in GRID_FIELDS}}, raster_id,
-    ).withColumn("window", pixel_window(*box))
+    ).withColumn("window", pixel_window(*box, strict))
+    if not strict:
+        spans = spans.filter("window IS NOT NULL")
     sentinel = F.transform("_bands", lambda b: F.coalesce(b["nodata"], F.lit(float("nan"))))
     wanted = spans.select(
         "_out", "raster_id", "grid", "window", sentinel.alias("fills"), F.col("_geom.wkb").alias("wkb")
     )
     hot = HotKeys(touched_tiles(ready), TILE_KEY, CLIPS_PER_TILE)
     cover = hot.spread(cover_tiles(wanted, ["_out"]), "_out")
-    base = hot.replicate(tiles.filter(F.col("level") == 0))
+    base = hot.replicate(needed_tiles(tiles, ready).filter(F.col("level") == 0))
     # never broadcast: the planner does not know how many rows a cover makes
     joined = base.join(cover.hint("shuffle_hash"), [*TILE_KEY, "_part"]).select(
         "_out", "band", "tile_x", "tile_y", "col0", "row0", "width", "height", "pixels", "edges", "grid", "window", "fills"
     )
-    return clipped, joined.mapInArrow(_mask_batches, TILE)
+    masked = joined.mapInArrow(_mask_batches, TILE)
+    return (clipped, masked) if strict else (clipped, masked, without.unionByName(beyond))
 
 
 def _with_sentinel(meta: DataFrame, nodata) -> DataFrame:

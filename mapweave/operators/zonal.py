@@ -34,6 +34,7 @@ from .rasters import (
     with_row,
 )
 from .skew import HotKeys
+from .tile_order import BLOCKS, ordered, under_shapes
 
 STATISTICS = ("mean", "min", "max", "sum", "stddev", "count")
 #: zones that share one copy of a tile's pixels
@@ -71,7 +72,7 @@ def zonal_stats(
         zones.select(*key, geom, *([] if raster_id else ["raster_id"])),
         geom, meta, key=key, raster_id=raster_id, crs=crs, band=band, nodata=nodata,
     )
-    partials = tile_partials(cover, tiles, key, band)
+    partials = tile_partials(cover, needed_tiles(tiles, cover.zones), key, band)
     totals = merge_partials(partials, key)
     return attach(zones, geom, totals, key, names, prefix)
 
@@ -134,9 +135,9 @@ def tile_range(low, high, origin, step, cells, size, off):
     return F.floor((first + off) / size).cast("int"), F.floor((last + off) / size).cast("int"), first <= last
 
 
-def touched_tiles(zones: DataFrame) -> DataFrame:
-    """Tile keys in the bounds of each zone: the load per tile, known without
-    reading a shape."""
+def tile_spans(zones: DataFrame) -> DataFrame:
+    """``raster_id`` and the tile numbers ``x0``, ``x1``, ``y0``, ``y1`` in the
+    bounds of each zone, known without reading a shape; NULL beyond the raster."""
     # Bounds first, each used once: what builds the shape is pruned away.
     zones = zones.select("raster_id", "grid", *[F.col(f"_geom.{n}").alias(f"_{n}") for n in ("xmin", "ymin", "xmax", "ymax")])
     g = F.col("grid")
@@ -147,11 +148,13 @@ def touched_tiles(zones: DataFrame) -> DataFrame:
         F.col("_ymin"), F.col("_ymax"), g["origin_y"], g["pixel_y"], g["height"], g["tile_size"], g["off_y"]
     )
     inside = in_x & in_y
-    spans = zones.select(
-        "raster_id",
-        F.when(inside, F.sequence(x0, x1)).alias("xs"),
-        F.when(inside, F.sequence(y0, y1)).alias("ys"),
-    )
+    spans = {"x0": x0, "x1": x1, "y0": y0, "y1": y1}
+    return zones.select("raster_id", "grid", *[F.when(inside, c).alias(n) for n, c in spans.items()])
+
+
+def touched_tiles(zones: DataFrame) -> DataFrame:
+    """Tile keys in the bounds of each zone: the load per tile."""
+    spans = tile_spans(zones).select("raster_id", F.sequence("x0", "x1").alias("xs"), F.sequence("y0", "y1").alias("ys"))
     # The outer form keeps the planner from copying the range expressions into
     # a filter on the scan.
     return (
@@ -161,6 +164,18 @@ def touched_tiles(zones: DataFrame) -> DataFrame:
     )
 
 
+def needed_tiles(tiles: DataFrame, zones: DataFrame) -> DataFrame:
+    """The tiles that lie under the zones (as :func:`zones_on_grid` gives them),
+    if the tiles are numbered so that a scan can skip the others."""
+    if not ordered(tiles):
+        return tiles
+    g = F.col("grid")
+    side = F.greatest((g["width"] + g["off_x"]) / g["tile_size"], (g["height"] + g["off_y"]) / g["tile_size"])
+    shift = F.greatest(F.ceil(F.log2(F.ceil(side + 1) / BLOCKS)), F.lit(0)).cast("int")
+    spans = tile_spans(zones).filter("x0 IS NOT NULL").select("raster_id", "x0", "x1", "y0", "y1", shift.alias("shift"))
+    return under_shapes(tiles, spans)
+
+
 def cover_zones(zones, geom, meta, *, key, raster_id=None, crs=None, band=1, nodata=None) -> ZoneCover:
     ready = zones_on_grid(zones, geom, meta, raster_id=raster_id, crs=crs, band=band, nodata=nodata)
     ready = ready.select(*key, "raster_id", "grid", "sample", "_geom")

@@ -105,8 +105,9 @@ WHERE x >= 10 AND x < 77 AND y >= 3 AND y < 61""",
 inside AS (SELECT zones.* FROM zones, size WHERE y0 < h AND x0 < 100)
 SELECT id, (least(100, any_value(x1)) - any_value(x0))::BIGINT AS width,
   (least((SELECT h FROM size), any_value(y1)) - any_value(y0))::BIGINT AS height,
-  count(v) AS pixels, round(sum(v), 4) AS total
-FROM inside LEFT JOIN pixels ON {TRIANGLE} GROUP BY id""",
+  count(v) AS pixels, round(sum(v), 4) AS total, NULL::VARCHAR AS error
+FROM inside LEFT JOIN pixels ON {TRIANGLE} GROUP BY id
+UNION ALL SELECT id, NULL, NULL, NULL, NULL, 'Clip area does not overlap raster orders' FROM zones WHERE id NOT IN (SELECT id FROM inside)""",
     "select_bands": f"WITH {PIXELS} SELECT 1 AS band, x, y, v FROM pixels",
     "target_grid": """WITH s AS (SELECT max(o_orderkey) // 100 + 1 AS h FROM orders)
 SELECT 'orders' AS raster_id, 0.0::DOUBLE AS origin_x, (ceil(h / 7.0) * 7)::DOUBLE AS origin_y, 3.0::DOUBLE AS pixel_x,

@@ -88,19 +88,19 @@ def clip_box(spark, folder):
 @query
 def clip_polygon(spark, folder):
     meta, tiles = P.raster(spark, folder)
-    # Zones beyond the raster would be an error, as for a single clip.
-    inside = F.col("geometry.ymin") < meta.first()["height"]
-    zones = P.triangles(spark, folder).filter(inside & (F.col("geometry.xmin") < 100))
-    clipped, out = clip.clip_polygon(meta, tiles, zones, "geometry", out_id="id", raster_id=P.RASTER)
+    zones = P.triangles(spark, folder)
+    clipped, out, beyond = clip.clip_polygon(meta, tiles, zones, "geometry", out_id="id", raster_id=P.RASTER, errors="ROUTE_TO_ERROR")
     found = rasters.pixels_from_tiles(out).filter(F.col("v") != P.NODATA)
     per_zone = found.groupBy("raster_id").agg(
         F.count(F.lit(1)).alias("pixels"), F.round(F.sum("v"), 4).alias("total")
     )
     sizes = clipped.select("raster_id", "width", "height")
-    return sizes.join(per_zone, "raster_id", "left").select(
+    done = sizes.join(per_zone, "raster_id", "left").select(
         F.col("raster_id").cast("long").alias("id"), "width", "height",
-        F.coalesce("pixels", F.lit(0)).alias("pixels"), "total",
+        F.coalesce("pixels", F.lit(0)).alias("pixels"), "total", F.lit(None).cast("string").alias("error"),
     )
+    failed = beyond.select(F.col("id").cast("long").alias("id"), F.col("error.message").alias("error"))
+    return done.unionByName(failed, allowMissingColumns=True)
 
 
 @query
