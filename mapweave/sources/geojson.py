@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import itertools
 import json
 import re
 from decimal import Decimal
@@ -16,11 +18,14 @@ from ..functions import geojson as G
 from ..operators.errors import with_errors
 from ..operators.feature_rules import broken_rules
 from ..operators.features import FeatureOptions, decode_features, encode_features, profile_of
-from .files import open_file
+from . import json_ranges
+from .files import open_file, size
 from .publish import published
 
 ROOT_LIMIT = 64 * 1024 * 1024
 CHUNK = 1 << 20
+#: documents beyond so many bytes are read by more than one task
+LARGE = 64 * 1024 * 1024
 _TOKEN = re.compile(r'\\.|["{}\[\],]', re.S)
 _KEY = re.compile(r'\s*"(?:[^"\\]|\\.)*"\s*:', re.S)
 _FEATURES = re.compile(r'\s*"features"\s*:\s*')
@@ -28,20 +33,21 @@ _FEATURES = re.compile(r'\s*"features"\s*:\s*')
 
 def _chunks(path: str):
     """Decoded text of a file; a chunk never ends inside an escape."""
-    import codecs
+    with open_file(path) as f:
+        yield from _decoded(iter(lambda: f.read(CHUNK), b""))
+
 
+def _decoded(blocks):
     decoder, rest = codecs.getincrementaldecoder("utf-8")(), ""
-    with open_file(path) as f:
-        while True:
-            data = f.read(CHUNK)
-            text = rest + decoder.decode(data, final=not data)
-            if not data:
-                if text:
-                    yield text
-                return
-            slashes = len(text) - len(text.rstrip("\\"))
-            rest = text[len(text) - 1 :] if slashes % 2 else ""
-            yield text[: len(text) - len(rest)]
+    for data in itertools.chain(blocks, [b""]):
+        text = rest + decoder.decode(data, final=not data)
+        if not data:
+            if text:
+                yield text
+            return
+        slashes = len(text) - len(text.rstrip("\\"))
+        rest = text[len(text) - 1 :] if slashes % 2 else ""
+        yield text[: len(text) - len(rest)]
 
 
 def split_document(chunks, features: bool):
@@ -99,8 +105,12 @@ def split_document(chunks, features: bool):
 
 def read_root(path: str) -> tuple[dict, bool]:
     """Root members of a document and whether it has a features array."""
+    return _root_of(_chunks(path))
+
+
+def _root_of(chunks) -> tuple[dict, bool]:
     pieces, size, collection = [], 0, False
-    for piece in split_document(_chunks(path), False):
+    for piece in split_document(chunks, False):
         if piece is None:
             collection = True
             continue
@@ -144,25 +154,79 @@ class DocumentReader(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition):
-        path = partition.value
-        root, collection = read_root(path)
-        if collection != (root.get("type") == "FeatureCollection"):
-            raise ValueError("FeatureCollection requires a features array; Feature must not have one")
-        if not collection:
-            if root.get("type") != "Feature":
-                raise ValueError("Expected a Feature or FeatureCollection")
-            yield path, None, G.dump(root)
-            return
-        check_collection(root, self.profile)
-        context = G.dump({k: v for k, v in root.items() if k not in ("type", "bbox")})
-        empty = True
-        for piece in split_document(_chunks(path), True):
-            empty = False
-            if not piece.lstrip().startswith("{"):
-                raise ValueError("Feature array element must be an object")
-            yield path, context, piece
-        if empty and any(k not in ("type", "conformsTo", "bbox") for k in root):
-            yield path, context, None
+        yield from document_rows(partition.value, self.profile)
+
+
+def document_rows(path: str, profile: str):
+    """``path, root, feature`` of a whole document."""
+    root, collection = read_root(path)
+    if collection != (root.get("type") == "FeatureCollection"):
+        raise ValueError("FeatureCollection requires a features array; Feature must not have one")
+    if not collection:
+        if root.get("type") != "Feature":
+            raise ValueError("Expected a Feature or FeatureCollection")
+        yield path, None, G.dump(root)
+        return
+    yield from _feature_rows(path, root, split_document(_chunks(path), True), profile)
+
+
+def _feature_rows(path: str, root: dict, pieces, profile: str, alone: bool = True):
+    """Rows of the elements; ``alone``: no other task has elements of this
+    document, so that none here means an empty collection."""
+    check_collection(root, profile)
+    context = G.dump({k: v for k, v in root.items() if k not in ("type", "bbox")})
+    empty = alone
+    for piece in pieces:
+        empty = False
+        if not piece.lstrip().startswith("{"):
+            raise ValueError("Feature array element must be an object")
+        yield path, context, piece
+    if empty and any(k not in ("type", "conformsTo", "bbox") for k in root):
+        yield path, context, None
+
+
+def _range_rows(row, profile: str):
+    """Rows of the elements that begin in one range of a large document."""
+    path, first, last = row["path"], row["first"], row["last"]
+    if first is None:
+        # no features array, or several: the document is read as a whole
+        if row["start"] == 0:
+            yield from document_rows(path, profile)
+        return
+    if last is None:
+        raise ValueError("Trailing or missing JSON data")
+    if row["end"] <= first or row["start"] >= last:
+        return
+    root, collection = _root_of(_decoded(json_ranges.rest_of(path, first, last)))
+    if not collection or root.get("type") != "FeatureCollection":
+        raise ValueError("FeatureCollection requires a features array; Feature must not have one")
+    pieces = json_ranges.elements(path, row["start"], row["end"], row["quoted"], row["depth"], first, last)
+    yield from _feature_rows(path, root, pieces, profile, alone=row["start"] <= first)
+
+
+def document_features(spark: SparkSession, paths: list[str], profile: str) -> DataFrame:
+    """``path, root, feature`` of documents: small ones by one task each, large
+    ones by a task per byte range."""
+    large = [p for p in paths if size(p) > LARGE]
+    small = [p for p in paths if p not in set(large)]
+    spark.dataSource.register(DocumentSource)
+    rows = None
+    if small or not large:
+        rows = spark.read.format("feature_documents").options(paths=json.dumps(small), profile=profile).load()
+    if large:
+        ranges = json_ranges.document_ranges(spark, large)
+        tasks = min(sum(-(-size(p) // json_ranges.RANGE) for p in large), json_ranges.MOST_TASKS)
+
+        def run(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    found = _range_rows(row, profile)
+                    while part := list(itertools.islice(found, 1000)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*part, strict=True)], ["path", "root", "feature"])
+
+        many = ranges.repartitionByRange(tasks, "path", "start").mapInArrow(run, "path string, root string, feature string")
+        rows = many if rows is None else rows.unionByName(many)
+    return rows
 
 
 def read_geojson(
@@ -170,18 +234,16 @@ def read_geojson(
 ):
     """Features with the fixed columns of the options.
 
-    DOCUMENT reads collections or single Features, one task per file.  LINES
-    reads one Feature per line and splits large files.
+    DOCUMENT reads collections or single Features; a document beyond
+    :data:`LARGE` bytes is read by many tasks (see ``json_ranges``), a smaller
+    one by one.  LINES reads one Feature per line and splits large files.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if layout == "LINES":
         rows = spark.read.text(paths).filter(F.trim("value") != "").withColumnRenamed("value", "_feature")
         done = decode_features(rows, "_feature", options)
     elif layout == "DOCUMENT":
-        spark.dataSource.register(DocumentSource)
-        rows = spark.read.format("feature_documents").options(
-            paths=json.dumps(paths), profile=options.profile
-        ).load()
+        rows = document_features(spark, paths, options.profile)
         rows = rows.filter(F.col("feature").isNotNull()).select(
             F.col("feature").alias("_feature"), F.col("root").alias("_root")
         )
@@ -197,8 +259,7 @@ def read_geojson(
 def empty_collections(spark: SparkSession, paths, profile: str = "AUTO") -> DataFrame:
     """Documents whose root metadata no feature carries (a warning)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    spark.dataSource.register(DocumentSource)
-    rows = spark.read.format("feature_documents").options(paths=json.dumps(paths), profile=profile).load()
+    rows = document_features(spark, paths, profile)
     return rows.filter(F.col("feature").isNull()).select("path", F.lit("empty-collection-context").alias("cause"))
 
 
