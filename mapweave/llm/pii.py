@@ -318,12 +318,13 @@ SPANS = "base array<struct<kind: string, start: long, end: long>>, spans array<s
 
 def learn(documents: DataFrame, sample: int = SAMPLE) -> Field:
     """A field trained on at most ``sample`` documents that hold a digit or
-    ``@`` (by a hash of the id), none longer than :data:`LONGEST`."""
+    ``@`` (by a hash of the id), none longer than :data:`LONGEST`; of
+    several such texts under one id the smallest."""
     spark = settle(documents.sparkSession)
     some = documents.filter(f"doc_id IS NOT NULL AND length(text) <= {LONGEST}").filter(F.col("text").rlike("[0-9@]"))
     ids = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     few = spark.createDataFrame([(r.doc_id,) for r in ids], "doc_id long").distinct()
-    rows = some.select("doc_id", "text").join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    rows = some.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     return train([r.text for r in rows])
 
 

@@ -1,15 +1,17 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one that also
-holds the words typical of toxic text.  A text is cut into short windows; a
-window that the toxic dictionary makes shorter by more than a calibrated number
-of bytes speaks for toxic text.  A logistic model over the sizes and the number
-of such windows gives the score.
-
-Both dictionaries begin with the ordinary content; the toxic one ends with its
-own part, the ordinary one with as many zero bytes.  A window that shares no
-``MATCH`` bytes with that part compresses alike under both, so only the others
-are compressed.
+Two zstandard dictionaries hold ordinary content, which the zstandard trainer
+picks from windows of ordinary text; one of them ends with a part of its own:
+segments of words typical of toxic text.  A text is cut into short windows; a
+window that the toxic dictionary makes shorter by more than a calibrated number of
+bytes speaks for toxic text.  A logistic model over the sizes and the number of
+such windows gives the score.
+
+The toxic part is chosen here by document frequencies, not by the zstandard
+trainer: a trainer that is given toxic text keeps what is frequent in it, which is
+ordinary (README gives the figures of both).  The ordinary dictionary ends with as
+many zero bytes instead.  A window that shares no ``MATCH`` bytes with that
+part compresses alike under both, so only the others are compressed.
 """
 
 from __future__ import annotations
@@ -277,7 +279,8 @@ def train(rows: list[tuple[str | None, int]], prior: float | None = None) -> Mod
 
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from a sample of at most ``sample`` labelled documents of each
-    class (by a hash of the id), none longer than :data:`LONGEST` characters.
+    class (by a hash of the id), none longer than :data:`LONGEST` characters; of
+    several texts under one id the smallest.
 
     ``labels`` has ``doc_id`` and ``toxic``; NULL labels and ids do not count,
     and a document with both labels is toxic.
@@ -287,7 +290,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     sizes = {r.toxic: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = [r for y in (0, 1) for r in known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
     few = spark.createDataFrame(chosen, "doc_id long, toxic int")
-    found = documents.select("doc_id", "text").join(F.broadcast(few), "doc_id").filter(f"text IS NULL OR length(text) <= {LONGEST}").dropDuplicates(["doc_id"])
+    found = documents.select("doc_id", "text").join(F.broadcast(few), "doc_id").filter(f"text IS NULL OR length(text) <= {LONGEST}").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
     rows = [(r.text, r.toxic) for r in found.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").select("text", "toxic").collect()]
     total = sizes.get(0, 0) + sizes.get(1, 0)
     return train(rows, sizes.get(1, 0) / total if total else None)
