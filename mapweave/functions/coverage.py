@@ -125,24 +125,94 @@ class Grid:
         return (c0, r0, c1, r1) if c0 <= c1 and r0 <= r1 else None
 
 
-def tile_cover(edges: np.ndarray, grid: Grid):
+    def tiles(self, box):
+        """First and last tile numbers (x0, y0, x1, y1) of a box, or None."""
+        span = self.cells(box)
+        if span is None:
+            return None
+        c0, r0, c1, r1 = span
+        return (c0 + self.off_x) // self.tile, (r0 + self.off_y) // self.tile, (c1 + self.off_x) // self.tile, (r1 + self.off_y) // self.tile
+
+    def centres(self, window):
+        """First and last centre of a window of tiles in x, lowest and highest in
+        y, and the centre of its first row."""
+        tx0, ty0, tx1, ty1 = window
+        left, right = max(0, tx0 * self.tile - self.off_x), min(self.width, (tx1 + 1) * self.tile - self.off_x) - 1
+        top, bottom = max(0, ty0 * self.tile - self.off_y), min(self.height, (ty1 + 1) * self.tile - self.off_y) - 1
+        x0, x1 = (self.ox + (c + 0.5) * self.px for c in (left, right))
+        y0, y1 = (self.oy + (r + 0.5) * self.py for r in (top, bottom))
+        return x0, x1, min(y0, y1), max(y0, y1), y0
+
+
+def bounds_of(edges: np.ndarray) -> tuple[float, float, float, float]:
+    """Bounds of closed rings, of which the start points are enough."""
+    low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
+    return float(low[0]), float(low[1]), float(high[0]), float(high[1])
+
+
+def _upright(edges: np.ndarray) -> np.ndarray:
+    """Edges to the right of all centres of a window, as few upright ones.
+
+    A ray to the right only counts how often it crosses them, and only odd counts
+    matter: where an even number of them share a height, none is left.
+    """
+    low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+    ends, counts = np.unique(np.concatenate([low, high])[np.tile(low < high, 2)], return_counts=True)
+    ends = ends[counts % 2 == 1]
+    x = np.full(len(ends) // 2, edges[:, [0, 2]].max() if len(edges) else 0.0)
+    return np.column_stack([x, ends[::2], x, ends[1::2]])
+
+
+def quarters(edges: np.ndarray | None, grid: Grid, window, cut: bool):
+    """Yield (edges, window, cut) for the quarters of a window of tiles that may
+    hold covered centres.
+
+    ``edges`` None: the window is wholly covered.  Else a quarter gets the edges
+    near it, and those to its right in as few upright ones as have the same effect;
+    ``cut`` tells that edges to the left were left out.
+    """
+    tx0, ty0, tx1, ty1 = window
+    mx, my = (tx0 + tx1) // 2, (ty0 + ty1) // 2
+    for y0, y1 in ((ty0, my), (my + 1, ty1)):
+        for x0, x1 in ((tx0, mx), (mx + 1, tx1)):
+            if x0 > x1 or y0 > y1:
+                continue
+            part = x0, y0, x1, y1
+            if edges is None:
+                yield None, part, cut
+                continue
+            left, right, low, high, first = grid.centres(part)
+            xlo, xhi = np.minimum(edges[:, 0], edges[:, 2]), np.maximum(edges[:, 0], edges[:, 2])
+            band = (np.minimum(edges[:, 1], edges[:, 3]) <= high) & (np.maximum(edges[:, 1], edges[:, 3]) >= low)
+            deciding = band & (xhi >= left)
+            near = deciding & (xlo <= right)
+            beyond = _upright(edges[deciding & ~near])
+            if near.any():
+                yield np.vstack([edges[near], beyond]), part, cut or bool((band & ~deciding).any())
+            elif len(beyond) and covered(beyond, np.array([left]), np.array([first]))[0, 0]:
+                yield None, part, cut
+
+
+def tile_cover(edges: np.ndarray | None, grid: Grid, window=None, cut: bool = False):
     """Yield (tile_x, tile_y, edges or None, cut) for every tile that may hold
     a covered centre.  None means that no edge comes near the tile and all its
     centres are covered.  Otherwise only the edges that decide the tile are
     given: those in its rows and not wholly to its left; ``cut`` tells that
     edges to the left were left out.
+
+    With a ``window`` only its tiles are given; ``edges`` and ``cut`` are then
+    those of :func:`quarters`.
     """
-    # Rings are closed, so the start points alone give the bounds.
-    low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
-    span = grid.cells((float(low[0]), float(low[1]), float(high[0]), float(high[1])))
+    if edges is None:
+        yield from ((tx, ty, None, False) for ty in range(window[1], window[3] + 1) for tx in range(window[0], window[2] + 1))
+        return
+    span = window or grid.tiles(bounds_of(edges))
     if span is None:
         return
-    c0, r0, c1, r1 = span
+    tx0, ty0, tx1, ty1 = span
     size = grid.tile
-    tx0, tx1 = (c0 + grid.off_x) // size, (c1 + grid.off_x) // size
-    ty0, ty1 = (r0 + grid.off_y) // size, (r1 + grid.off_y) // size
     if tx0 == tx1 and ty0 == ty1:
-        yield tx0, ty0, edges, False
+        yield tx0, ty0, edges, cut
         return
     xlo, xhi = np.minimum(edges[:, 0], edges[:, 2]), np.maximum(edges[:, 0], edges[:, 2])
     ylo, yhi = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
@@ -158,6 +228,6 @@ def tile_cover(edges: np.ndarray, grid: Grid):
             x1 = grid.ox + (right + 0.5) * grid.px
             deciding = band[xhi[band] >= x0]
             if (xlo[deciding] <= x1).any():
-                yield tx, ty, edges[deciding], len(deciding) < len(band)
+                yield tx, ty, edges[deciding], cut or len(deciding) < len(band)
             elif len(deciding) and covered(edges[deciding], np.array([x0]), ys[:1])[0, 0]:
                 yield tx, ty, None, False

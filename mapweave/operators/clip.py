@@ -17,7 +17,7 @@ from .rasters import (
 )
 from .skew import HotKeys
 from .tile_order import in_windows
-from .zonal import TILE_KEY, cover_tiles, needed_tiles, touched_tiles, zones_on_grid
+from .zonal import TILE_KEY, cover_tiles, most_tiles, needed_tiles, touched_tiles, zones_on_grid
 
 #: zones that share one copy of a tile before it is replicated
 CLIPS_PER_TILE = 256
@@ -209,7 +209,7 @@ def clip_polygon(
         "_out", "raster_id", "grid", "window", sentinel.alias("fills"), F.col("_geom.wkb").alias("wkb")
     )
     hot = HotKeys(touched_tiles(ready), TILE_KEY, CLIPS_PER_TILE)
-    cover = hot.spread(cover_tiles(wanted, ["_out"]), "_out")
+    cover = hot.spread(cover_tiles(wanted, ["_out"], most_tiles(ready)), "_out")
     base = hot.replicate(needed_tiles(tiles, ready).filter(F.col("level") == 0))
     # never broadcast: the planner does not know how many rows a cover makes
     joined = base.join(cover.hint("shuffle_hash"), [*TILE_KEY, "_part"]).select(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import wkb as W
-from ..functions.coverage import Grid, covered, edges_of, tile_cover
+from ..functions.coverage import Grid, bounds_of, covered, edges_of, quarters, tile_cover
 from ..functions.crs import in_raster_crs
 from ..functions.geometry import col
 from .rasters import (
@@ -39,6 +39,9 @@ from .tile_order import BLOCKS, ordered, under_shapes
 STATISTICS = ("mean", "min", "max", "sum", "stddev", "count")
 #: zones that share one copy of a tile's pixels
 ZONES_PER_PACK = 512
+#: tiles in the bounds of a zone from which on its cover is dealt out, and the
+#: quarters of each round
+SPLIT_TILES = 16_384
 #: cover rows buffered before a batch is sent back to the JVM
 COVER_ROWS = 4096
 
@@ -180,12 +183,20 @@ def cover_zones(zones, geom, meta, *, key, raster_id=None, crs=None, band=1, nod
     ready = zones_on_grid(zones, geom, meta, raster_id=raster_id, crs=crs, band=band, nodata=nodata)
     ready = ready.select(*key, "raster_id", "grid", "sample", "_geom")
     hot = HotKeys(touched_tiles(ready), TILE_KEY, ZONES_PER_PACK)
-    return ZoneCover(ready, hot, cover_tiles(ready.withColumn("wkb", F.col("_geom.wkb")).drop("_geom"), key))
+    return ZoneCover(ready, hot, cover_tiles(ready.withColumn("wkb", F.col("_geom.wkb")).drop("_geom"), key, most_tiles(ready)))
 
 
-def cover_tiles(zones: DataFrame, key: list[str]) -> DataFrame:
+def cover_tiles(zones: DataFrame, key: list[str], biggest: int | None = None) -> DataFrame:
     """One row per zone and touched tile: the deciding edges (NULL when the
-    tile is wholly covered), the position in the zone's tiles and their number."""
+    tile is wholly covered), the position in the zone's tiles and their number.
+
+    Zones over more than :data:`SPLIT_TILES` tiles are cut into quarters first, a
+    round at a time, and the quarters are dealt out again, each with the edges
+    near it.  ``biggest``: the tiles in the bounds of the largest zone.
+    """
+    rounds = 0
+    while biggest is not None and biggest > SPLIT_TILES * 4**rounds:
+        rounds += 1
     carried = [f for f in zones.schema.fields if f.name != "wkb"]
     schema = T.StructType(
         carried
@@ -199,15 +210,27 @@ def cover_tiles(zones: DataFrame, key: list[str]) -> DataFrame:
     )
     target = arrow_type(schema)
     names = [f.name for f in carried]
+    zones = _quartered(zones, rounds) if rounds else zones
+
+    def pieces(batch, i, lattice, data):
+        """(number, tile_x, tile_y, edges, cut) of a zone or a part of it."""
+        if data is not None:
+            yield from ((no, *found) for no, found in enumerate(tile_cover(edges_of(W.read(data)), lattice)))
+            return
+        window, whole, cut = batch.column("_window")[i].as_py(), batch.column("_whole")[i].as_py(), batch.column("_cut")[i].as_py()
+        edges = None if whole else batch.column("_edges")[i].values.to_numpy().reshape(-1, 4)
+        x0, y0, across = batch.column("_zone")[i].as_py()
+        for tx, ty, *found in tile_cover(edges, lattice, tuple(window), cut):
+            yield ((ty - y0) * across + tx - x0, tx, ty, *found)
 
     def expand(batches):
         for batch in batches:
             grids = _grids(batch.column("grid"))
             rows, out = [], []
             for i, (lattice, data) in enumerate(zip(grids, batch.column("wkb").to_pylist())):
-                for no, found in enumerate(tile_cover(edges_of(W.read(data)), lattice)):
+                for found in pieces(batch, i, lattice, data):
                     rows.append(i)
-                    out.append((no, *found))
+                    out.append(found)
                     if len(out) >= COVER_ROWS:
                         yield _cover_batch(batch, names, rows, out, target)
                         rows, out = [], []
@@ -217,6 +240,65 @@ def cover_tiles(zones: DataFrame, key: list[str]) -> DataFrame:
     return zones.mapInArrow(expand, schema)
 
 
+# Parts of a zone: a window of tiles (x0, y0, x1, y1), the edges near it (or
+# ``_whole``), and the first tile and the tiles across of the zone itself.
+_PART = "_window array<int>, _whole boolean, _cut boolean, _zone array<long>, _edges array<double>"
+
+
+def _quartered(zones: DataFrame, rounds: int) -> DataFrame:
+    """Zones in parts of few tiles; a zone that needs no cutting keeps its
+    ``wkb``.  Every round deals the parts out anew."""
+    fields = [f for f in zones.schema.fields if f.name != "wkb"]
+    part = T.StructType.fromDDL(_PART)
+    schema = T.StructType([*fields, T.StructField("wkb", T.BinaryType()), *part])
+    target = arrow_type(schema)
+    names = [f.name for f in fields]
+    tasks = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def small(window) -> bool:
+        return (window[2] - window[0] + 1) * (window[3] - window[1] + 1) <= SPLIT_TILES
+
+    def cut_in_four(batches):
+        for batch in batches:
+            shapes, grids = batch.column("wkb").to_pylist(), list(_grids(batch.column("grid")))
+            for i, data in enumerate(shapes):
+                keep = batch.select(names).slice(i, 1)
+                for row in _quarter_rows(batch, i, data, grids[i], small):
+                    columns = [*keep.columns, *(pa.array([v], f.type) for v, f in zip(row, list(target)[len(names) :]))]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
+
+    parts = zones.select(*names, "wkb", *[F.lit(None).cast(f.dataType).alias(f.name) for f in part])
+    for _ in range(rounds):
+        parts = parts.mapInArrow(cut_in_four, schema)
+        # a part goes by its place, so that the parts of one zone are spread
+        parts = parts.repartition(tasks, "_window", "_zone")
+    return parts
+
+
+def _quarter_rows(batch, i, data, grid, small):
+    if data is not None:
+        edges = edges_of(W.read(data))
+        window = grid.tiles(bounds_of(edges)) if len(edges) else None
+        if window is None or small(window):
+            yield data, None, None, None, None, None
+            return
+        zone, cut = [window[0], window[1], window[2] - window[0] + 1], False
+    else:
+        window, zone, cut = tuple(batch.column("_window")[i].as_py()), batch.column("_zone")[i].as_py(), batch.column("_cut")[i].as_py()
+        edges = None if batch.column("_whole")[i].as_py() else batch.column("_edges")[i].values.to_numpy().reshape(-1, 4)
+        if small(window):
+            yield None, list(window), edges is None, cut, zone, None if edges is None else edges.ravel()
+            return
+    for near, place, left_out in quarters(edges, grid, window, cut):
+        yield None, list(place), near is None, left_out, zone, None if near is None else near.ravel()
+
+
+def most_tiles(zones: DataFrame) -> int:
+    """Tiles in the bounds of the largest zone, known without reading a shape."""
+    tiles = (F.col("x1") - F.col("x0") + 1).cast("long") * (F.col("y1") - F.col("y0") + 1)
+    return tile_spans(zones).agg(F.max(tiles)).first()[0] or 0
+
+
 def _grids(column):
     """One Grid per row; equal rows share it."""
     cache = {}
