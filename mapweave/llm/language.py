@@ -24,8 +24,9 @@ DIMENSIONS, SEED = 1024, 7
 #: the language of a text without letters
 UNKNOWN = "und"
 
-#: letters of one numpy pass; dense trigram tables up to so many cells
-LETTERS, DENSE = 1 << 20, 1 << 22
+#: letters of one numpy pass; dense tables (trigrams, or texts by trigrams) up to
+#: so many cells; trigrams that are bound together beyond that
+LETTERS, DENSE, BOUND = 1 << 19, 1 << 22, 8192
 
 
 @lru_cache(1)
@@ -40,7 +41,7 @@ def _letters() -> np.ndarray:
     return table
 
 
-@lru_cache(4096)
+@lru_cache(65_536)
 def _vector(letter: int, dimensions: int, turn: int) -> np.ndarray:
     bits = np.random.Generator(np.random.PCG64([SEED, letter])).integers(0, 2, dimensions, dtype=np.int8)
     return np.roll(bits * 2 - 1, turn)
@@ -90,27 +91,63 @@ def _bind(grams: np.ndarray, dimensions: int) -> np.ndarray:
     return out
 
 
+def _cut(text: str):
+    """Parts of a long text, cut where no trigram goes across: behind a character
+    that is no letter (a longer run of letters stays in one part)."""
+    start = 0
+    while len(text) - start > LETTERS:
+        end = start + LETTERS
+        while end > start and text[end - 1].isalpha():
+            end -= 1
+        if end == start:
+            end = start + LETTERS
+            while end < len(text) and text[end].isalpha():
+                end += 1
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 def _slices(texts: list[str]):
-    """Groups of texts of bounded length; a longer text comes in parts."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > LETTERS:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    yield start, len(texts)
+    """(numbers of texts, parts of them) of bounded length together."""
+    numbers, parts, size = [], [], 0
+    for i, text in enumerate(texts):
+        for part in _cut(text):
+            if size and size + len(part) > LETTERS:
+                yield numbers, parts
+                numbers, parts, size = [], [], 0
+            numbers.append(i)
+            parts.append(part)
+            size += len(part)
+    if parts:
+        yield numbers, parts
 
 
 def profiles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
-    """The profile of every text, not normalised; zero without letters."""
+    """The profile of every text, not normalised; zero without letters.
+
+    Few trigrams are bound once and multiplied with their counts per text; of
+    many, as ideographs make, only those that a text holds are bound, in
+    bounded runs.  Both give the same whole numbers.
+    """
     out = np.zeros((len(texts), dimensions), np.float32)
-    for a, b in _slices(texts):
-        grams, row, text, _ = _trigrams(texts[a:b])
-        if not len(grams):
+    for numbers, parts in _slices(texts):
+        grams, row, text, _ = _trigrams(parts)
+        n = len(grams)
+        if not n:
+            continue
+        numbers = np.array(numbers)
+        if len(parts) * n <= DENSE:
+            counts = np.bincount(text * n + row, minlength=len(parts) * n).reshape(len(parts), n)
+            # whole numbers far below 2**24: exact in any order
+            np.add.at(out, numbers, counts.astype(np.float32) @ _bind(grams, dimensions).astype(np.float32))
             continue
-        counts = np.bincount(text * len(grams) + row, minlength=(b - a) * len(grams)).reshape(b - a, len(grams))
-        # whole numbers far below 2**24: exact in any order
-        out[a:b] = counts.astype(np.float32) @ _bind(grams, dimensions).astype(np.float32)
+        pairs, counts = np.unique(text * n + row, return_counts=True)
+        for start in range(0, len(pairs), BOUND):
+            part, times = pairs[start : start + BOUND], counts[start : start + BOUND, None]
+            vectors = _bind(grams[part % n], dimensions) * times.astype(np.float32)
+            first = np.flatnonzero(np.append(True, np.diff(part // n) > 0))
+            np.add.at(out, numbers[part[first] // n], np.add.reduceat(vectors, first, axis=0))
     return out
 
 
@@ -137,15 +174,15 @@ def learn(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str],
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             names = sorted(set(langs))
-            for a, b in _slices(texts):
-                grams, row, text, _ = _trigrams(texts[a:b])
-                lang = np.array([names.index(x) for x in langs[a:b]], np.int64)
-                counts = np.bincount(lang[text] * len(grams) + row, minlength=len(names) * len(grams)).reshape(len(names), -1)
+            for numbers, parts in _slices(texts):
+                grams, row, text, _ = _trigrams(parts)
+                lang = np.array([names.index(langs[i]) for i in numbers], np.int64)
+                found, counts = np.unique(lang[text] * len(grams) + row, return_counts=True)
                 words = ["".join(map(chr, g)) for g in grams.tolist()]
-                for name, line in zip(names, counts, strict=True):
-                    table = totals.setdefault(name, {})
-                    for i in np.flatnonzero(line).tolist():
-                        table[words[i]] = table.get(words[i], 0) + int(line[i])
+                for at, n in zip(found.tolist(), counts.tolist(), strict=True):
+                    table = totals.setdefault(names[at // len(grams)], {})
+                    word = words[at % len(grams)]
+                    table[word] = table.get(word, 0) + n
             if sum(map(len, totals.values())) > 200_000:
                 yield rows()
         yield rows()

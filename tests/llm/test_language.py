@@ -59,3 +59,35 @@ def test_cases(spark, docs):
     none = language.learn(docs([]))
     assert none[0] == [] and {r.lang_pred for r in language.identify(df, none).collect()} == {"und"}
     assert language.identify(docs([]), model).count() == 0
+
+
+def test_many_trigrams_and_long_texts(monkeypatch):
+    """Sparse and dense tables, and texts in parts, give the same profiles."""
+    import random
+
+
+    rng = random.Random(1)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(80)) for _ in range(30)]
+    texts += ["", "ab c", "Größe und Maß, " * 40, "x" * 300, "a " * 200 + "b"]
+    want = language.profiles(texts)
+    monkeypatch.setattr(language, "DENSE", 1)
+    monkeypatch.setattr(language, "BOUND", 7)
+    assert (language.profiles(texts) == want).all()
+    monkeypatch.setattr(language, "LETTERS", 50)
+    assert (language.profiles(texts) == want).all()
+    assert all(max(map(len, parts)) <= 300 for _, parts in language._slices(texts))
+    assert np.abs(want[-5]).sum() == 0
+
+
+def test_memory_of_ideographs():
+    """A batch of many ideographs stays far below a gigabyte."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(2)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(500)) for _ in range(400)]
+    tracemalloc.start()
+    language.profiles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * 2**20
