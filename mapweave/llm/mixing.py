@@ -1,6 +1,7 @@
 """Mixing sources to target weights.
 
-The words of each source form one stream, packed into blocks of ``BLOCK`` words.
+The words of each source form one stream, packed into blocks of ``BLOCK`` words
+(fewer in a source of few words, so that a block is a small share of it).
 The mix is a row of slots, dealt to output shards; each shard draws how many
 slots a source gets from a multinomial, given how
 many slots it has in all.  A source's slots are numbered through
@@ -22,6 +23,9 @@ from mapweave.llm.common import WORD, cut_lineage, keyed, settle, text_hash
 #: words of a block, slots of a shard, seed of the draws
 BLOCK, SHARD, SEED = 256, 4096, 11
 
+#: blocks of a source at least, as far as it has the words
+FINE = 200
+
 #: weights by the rank of a source, repeating; most repeats of a source
 WEIGHTS, REPEATS = (5, 2, 1), 3
 
@@ -113,16 +117,22 @@ def _split(rng: np.random.Generator, have: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _block(size: int, block: int) -> int:
+    """Words of a block of a source with ``size`` words."""
+    return max(1, min(block, size // FINE))
+
+
 def _plan(sources: list[tuple], weights, repeats: float, block: int) -> list[dict]:
-    """Per source: target, blocks and slots."""
+    """Per source: target, words of a block, blocks and slots."""
     sizes = [s for _, s in sources]
     share = targets(sizes, [weights[i % len(weights)] for i in range(len(sources))], repeats)
     plan = []
     for (name, size), target in zip(sources, share, strict=True):
-        blocks = -(-size // block)
+        length = _block(size, block)
+        blocks = -(-size // length)
         # a last block that is not full makes a slot shorter on average
         slots = min(round(target * blocks / size), int(repeats * blocks)) if size else 0
-        plan.append({"source": name, "size": size, "target": target, "blocks": blocks, "slots": slots})
+        plan.append({"source": name, "size": size, "target": target, "block": length, "blocks": blocks, "slots": slots})
     return plan
 
 
@@ -162,21 +172,21 @@ def _sizes(documents: DataFrame) -> DataFrame:
     return cut_lineage(rows.drop("text"))
 
 
-def _numbered(rows: DataFrame, sources: list[tuple]) -> DataFrame:
-    """Adds ``source_no`` by a join with the table of sources."""
-    table = rows.sparkSession.createDataFrame([(i, n) for i, (n, _) in enumerate(sources)], "source_no int, _name string")
+def _numbered(rows: DataFrame, sources: list[tuple], block: int) -> DataFrame:
+    """Adds ``source_no`` and ``block`` (words) by a join with the table of sources."""
+    table = rows.sparkSession.createDataFrame([(i, n, _block(s, block)) for i, (n, s) in enumerate(sources)], "source_no int, _name string, block long")
     return rows.join(table, rows["source"].eqNullSafe(table["_name"])).drop("_name", "source")
 
 
 def places(rows: DataFrame) -> DataFrame:
     """Adds ``low``, the number of words in the source's stream before the row.
 
-    The stream goes by a hash of the id and then by id, so that the running
-    counts are made in groups of about :data:`STEP` rows and shifted by the
-    sums of the groups before.
+    The stream goes by a hash of id and text and then by id, so that the running
+    counts are made in groups of about :data:`STEP` rows, also where many rows
+    share an id or have none, and shifted by the sums of the groups before.
     """
     steps = F.lit(max(1, rows.count() // STEP))
-    stepped = rows.withColumn("step", F.pmod(F.xxhash64("key"), steps))
+    stepped = rows.withColumn("step", F.pmod(F.xxhash64("key", "tid", "hid"), steps))
     sums = stepped.groupBy("source_no", "step").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source_no").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     shift = sums.select("source_no", "step", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
@@ -199,9 +209,10 @@ def taken(documents: DataFrame, weights=WEIGHTS, repeats: float = REPEATS, block
     rows = _sizes(documents)
     sources = _sources(rows)
     plan = _plan(sources, weights, repeats, block)
-    placed = places(_numbered(rows, sources))
-    covers = placed.filter("size > 0").withColumn("block_no", F.explode(F.expr(f"sequence(low div {block}, (low + size - 1) div {block})")))
-    overlap = F.least(F.col("low") + F.col("size"), (F.col("block_no") + 1) * block) - F.greatest(F.col("low"), F.col("block_no") * block)
+    placed = places(_numbered(rows, sources, block))
+    covers = placed.filter("size > 0").withColumn("block_no", F.explode(F.expr("sequence(low div block, (low + size - 1) div block)")))
+    words = F.col("block")
+    overlap = F.least(F.col("low") + F.col("size"), (F.col("block_no") + 1) * words) - F.greatest(F.col("low"), F.col("block_no") * words)
     times = slots(spark, sources, weights, repeats, block, seed).groupBy("source_no", "block_no").agg(F.count(F.lit(1)).alias("times"))
     parts = covers.join(times, ["source_no", "block_no"]).select("source_no", "key", "low", (overlap * F.col("times")).alias("n"))
     # a document is known by its place in the stream
@@ -226,8 +237,8 @@ def mix(documents: DataFrame, weights=WEIGHTS, repeats: float = REPEATS, block:
     sources = _sources(rows)
     # only sizes travel until the places are known; a text given twice is read
     # once and packed at both its places
-    placed = places(_numbered(rows, sources)).filter("size > 0")
-    lows = placed.groupBy("key", "tid", "hid").agg(F.collect_list(F.struct("doc_id", "source_no", "low")).alias("lows"))
+    placed = places(_numbered(rows, sources, block)).filter("size > 0")
+    lows = placed.groupBy("key", "tid", "hid").agg(F.collect_list(F.struct("doc_id", "source_no", "low", "block")).alias("lows"))
     texts = keyed(documents.select("doc_id", "text"), text_hash(1).alias("hid")).dropDuplicates(["key", "tid", "hid"])
     schema = "doc_id long, source_no int, block_no long, part long, text string"
 
@@ -237,7 +248,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, repeats: float = REPEATS, block:
             texts = batch.column("text").cast(pa.binary())
             every = [(i, *p.values()) for i, ps in enumerate(batch.column("lows").to_pylist()) for p in ps]
             size = 0
-            for i, doc, number, low in every:
+            for i, doc, number, low, block in every:
                 words = texts[i].as_py().split()
                 at = 0
                 while at < len(words):

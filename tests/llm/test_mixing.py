@@ -98,3 +98,16 @@ def test_texts_that_share_an_id_and_16_bits(spark, key):
             pair = known[r.tid], r.text
     mixed = mixing.mix(frame(spark, [(key, t, "s") for t in pair]), block=4).collect()
     assert sorted(w for r in mixed for w in r.text.split()) == sorted(" ".join(pair).split())
+
+
+def test_small_sources_come_near_their_targets(spark):
+    """Sources of less than a block take what their targets say."""
+    for sizes in ([200, 150, 400], [40, 5000, 9], [1, 2, 3], [30_000, 700, 60]):
+        data = [(100 * k + i, " ".join(["w"] * len(range(i, n, 10))), "abc"[k]) for k, n in enumerate(sizes) for i in range(10)]
+        got = mixing.taken(frame(spark, data)).collect()
+        want = mixing.targets(sizes, [5, 2, 1])
+        used = [sum(r.taken for r in got if r.source_size == n and r.target == t) for n, t in zip(sizes, want)]
+        for n, t, u in zip(sizes, want, used):
+            assert abs(u - t) <= 1 + 0.01 * n, (sizes, want, used)
+        mixed = mixing.mix(frame(spark, data)).collect()
+        assert sum(len(r.text.split()) for r in mixed) == sum(used)
