@@ -52,7 +52,7 @@ COUNTED = 4_000_000
 BROADCAST_IDS = 1_000_000
 
 #: edges that one task may hold
-FEW_EDGES = 500_000
+FEW_EDGES = 300_000
 
 #: children of a tree node
 FAN = 8
@@ -121,6 +121,8 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
             yield batch_of(np.zeros(len(n), np.int32), key, tid, np.array(n, np.int64), d[:, 0], d[:, 1], signatures)
         if held:
             yield frequent(held)
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, "kind int, key long, tid long, n long, d1 long, d2 long, signature binary")
 
@@ -205,6 +207,7 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
             if hs:
                 columns = [np.concatenate(hs).view(np.int64), *(np.repeat(np.array(c, np.int64), sizes) for c in (ns, ds))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "n", "d1"])
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, "h long, n long, d1 long")
 
@@ -376,8 +379,8 @@ def link(sets: list[np.ndarray], components: np.ndarray, sides: np.ndarray | Non
 
 
 def _by_task(rows: DataFrame, function, schema: str) -> DataFrame:
-    """Applies ``function`` (table to record batch, or None) to every task of
-    more than one component; tasks are bounded, see :func:`_blocks`."""
+    """Applies ``function`` (table to edges) to every task of more than one
+    component; tasks are bounded, see :func:`_blocks`."""
 
     def run(batches):
         held: list[pa.Table] = []
@@ -404,8 +407,13 @@ def _by_task(rows: DataFrame, function, schema: str) -> DataFrame:
         if held:
             yield from done()
 
+    def connecting(batches):
+        # in the same worker: of a task's edges only those that connect something
+        yield from _spanning(run(batches))
+        pa.default_memory_pool().release_unused()
+
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, schema)
+    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(connecting, schema)
 
 
 def _with(members: DataFrame, rows: DataFrame) -> DataFrame:
@@ -483,15 +491,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(``key``, ``component``): the smallest key that is reachable, for every
     key on an edge.
 
-    Every task first keeps a spanning forest of its own edges.  If these are few
-    (:data:`FEW_EDGES`), one task settles them; else large and small stars
-    alternate (each key's larger, then smaller neighbours move to the smallest),
-    which ends after few rounds.
+    Few edges (:data:`FEW_EDGES`) are settled by one task.  Of more, every task
+    first keeps a spanning forest of its own; if these are still many, large and
+    small stars alternate (each key's larger, then smaller neighbours move to the
+    smallest), which ends after few rounds.
     """
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    edges = cut_lineage(edges.mapInArrow(_spanning, "a long, b long"))
-    if edges.limit(FEW_EDGES + 1).count() <= FEW_EDGES:
-        return edges.coalesce(1).mapInArrow(_labels, "key long, component long")
+    edges = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b"))
+    for step in range(2):
+        if edges.limit(FEW_EDGES + 1).count() <= FEW_EDGES:
+            return edges.coalesce(1).mapInArrow(_labels, "key long, component long")
+        if step == 0:
+            edges = cut_lineage(edges.mapInArrow(_spanning, "a long, b long"))
     edges, before = edges.distinct(), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
