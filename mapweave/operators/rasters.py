@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 TILE_SIZE = 512
 #: metadata rows (about 200 bytes each) that may be sent to all executors
 BROADCAST_RASTERS = 50_000
+#: entries of all their colour tables together
+BROADCAST_COLOURS = 2_000_000
 
 BAND = T.StructType(
     [
@@ -31,6 +33,8 @@ BAND = T.StructType(
         T.StructField("alpha", T.BooleanType()),
     ]
 )
+#: the colour table of a palette, 16 bits a channel
+PALETTE = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("red", "green", "blue")]))
 META = T.StructType(
     [
         T.StructField("raster_id", T.StringType()),
@@ -49,6 +53,8 @@ META = T.StructType(
         T.StructField("color", T.StringType()),
         T.StructField("bands", T.ArrayType(BAND)),
         T.StructField("steps", T.ArrayType(T.StringType())),
+        T.StructField("palette", PALETTE),
+        T.StructField("premultiplied", T.BooleanType()),
     ]
 )
 TILE = T.StructType(
@@ -85,7 +91,8 @@ def raster_meta(spark: SparkSession, rasters: list[dict]) -> DataFrame:
     rows = []
     for raster in rasters:
         row = dict(
-            path=None, srid=0, crs="", tile_size=TILE_SIZE, off_x=0, off_y=0, color="NUMERIC", steps=[]
+            path=None, srid=0, crs="", tile_size=TILE_SIZE, off_x=0, off_y=0, color="NUMERIC", steps=[],
+            palette=None, premultiplied=False,
         )
         row.update(raster)
         row["bands"] = [
@@ -168,13 +175,16 @@ def join_meta(df: DataFrame, meta: DataFrame, columns: dict, raster_id: str | No
 
     With a literal ``raster_id`` its one metadata row is read first and becomes
     constants, so there is no join.  Otherwise the rows are joined by their own
-    ``raster_id``: metadata of up to BROADCAST_RASTERS rasters is broadcast, so
-    that pixels are not shuffled; more of it is joined by a shuffle.
+    ``raster_id``: metadata of up to BROADCAST_RASTERS rasters, with up to
+    BROADCAST_COLOURS colours, is broadcast, so that pixels are not shuffled;
+    more of it is joined by a shuffle.
     """
     side = meta.select(F.col("raster_id").alias("_rid"), *[c.alias(n) for n, c in columns.items()])
     if raster_id is not None:
         return with_row(df, side.drop("_rid"), raster_row(meta.select("raster_id", *[c.alias(n) for n, c in columns.items()]), raster_id))
-    if side.limit(BROADCAST_RASTERS + 1).count() <= BROADCAST_RASTERS:
+    entries = F.sum(F.greatest(F.size("palette"), F.lit(0))) if "palette" in columns else F.lit(0)
+    rasters, entries = side.limit(BROADCAST_RASTERS + 1).agg(F.count(F.lit(1)), entries).first()
+    if rasters <= BROADCAST_RASTERS and (entries or 0) <= BROADCAST_COLOURS:
         side = F.broadcast(side)
     joined = df.join(side, F.col("raster_id") == F.col("_rid"), "left")
     missing = F.raise_error(F.concat(F.lit("Missing raster: "), F.coalesce("raster_id", F.lit("NULL"))))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.crs import known, transform_xy
 from ..functions.geometry import BOUNDS, parse_crs
+from .colour import expand_palettes, has_colour, has_palettes, is_colour, weighted_tiles, with_alpha_band
 from .rasters import (
     INTEGER_RANGES, META, TILE, add_step, arrow_type, join_meta, pixel_blocks, tile_rows, valid_mask,
 )
@@ -128,6 +129,12 @@ def reproject(
     BILINEAR weighs up to four neighbours, leaves invalid ones out and
     renormalises.  Cells without a valid contribution are NoData; target tiles
     without any are left out.
+
+    Colour rasters keep their type whatever ``output_type`` says and get no
+    sentinel: RGB leaves with an alpha band, cells without a contribution are 0
+    and transparent, and so is a target tile that is left out.  Colours weigh by
+    their opacity.  NEAREST keeps the indexes and the table of a palette; BILINEAR
+    expands it to RGBA with 16 bits a channel.
     """
     interpolation, output_type = interpolation.upper(), output_type.upper()
     if interpolation not in ("NEAREST", "BILINEAR"):
@@ -137,10 +144,15 @@ def reproject(
     for value in (source_nodata, output_nodata):
         if value is not None and np.isinf(value):
             raise ValueError("Infinite NoData")
+    if interpolation == "BILINEAR" and has_palettes(meta):
+        meta, tiles = expand_palettes(meta, tiles)
+    weighed = has_colour(meta)
+    if weighed:
+        tiles, meta = weighted_tiles(meta, tiles, source_nodata), with_alpha_band(meta)
+    colour = F.coalesce(is_colour(), F.lit(False))
     planned = target_grid(meta, crs, rx, ry, extent, crs_field)
-    bands = F.transform(
-        "bands", lambda b: _output_band(b, interpolation, output_type, output_nodata)
-    )
+    numeric = F.transform("bands", lambda b: _output_band(b, interpolation, output_type, output_nodata))
+    bands = F.when(colour, F.col("bands")).otherwise(numeric) if weighed else numeric
     t = F.col("target")
     changed = {n: t[n] for n in ("origin_x", "origin_y", "pixel_x", "pixel_y", "width", "height", "srid")}
     changed.update(
@@ -155,45 +167,17 @@ def reproject(
         planned.withColumn("out", bands),
         {
             "source": source, "target": F.col("target"), "tile_size": F.col("tile_size"),
-            "_in": F.col("bands"), "_out": F.col("out"),
+            "_in": F.col("bands"), "_out": F.col("out"), "colour": colour,
         },
     )
-    declared = F.element_at("_in", F.col("band"))["nodata"]
-    base = base.withColumn("nodata", declared if source_nodata is None else F.lit(float(source_nodata)))
+    declared = F.element_at("_in", F.col("band"))["nodata"] if source_nodata is None else F.lit(float(source_nodata))
+    base = base.withColumn("nodata", F.when(~F.col("colour"), declared))
     base = base.withColumn("out", F.element_at("_out", F.col("band")))
-    if interpolation == "BILINEAR":
-        _reject_palettes(meta)
-        base = _with_alpha(meta, base)
     base = base.drop("_in", "_out", "level")
     shares = base.mapInArrow(_share_kernel(interpolation), SHARE)
     return new_meta, _collect(shares)
 
 
-def _reject_palettes(meta: DataFrame) -> None:
-    """Palette indexes cannot be interpolated; the colour table is not kept."""
-    if meta.filter(F.col("color") == "PALETTE").limit(1).count():
-        raise ValueError("Palette rasters need NEAREST or an expansion to RGBA first")
-
-
-def _with_alpha(meta: DataFrame, base: DataFrame) -> DataFrame:
-    """Add the alpha samples of the same tile to the colour bands.
-
-    Only done when some raster has an alpha band; the others join nothing.
-    """
-    has_alpha = F.exists("bands", lambda b: F.coalesce(b["alpha"], F.lit(False)))
-    if not meta.filter(has_alpha).limit(1).count():
-        return base.withColumn("alpha", F.lit(None).cast("array<double>"))
-    number = F.filter(
-        F.sequence(F.lit(1), F.size("_in")), lambda i: F.coalesce(F.element_at("_in", i)["alpha"], F.lit(False))
-    )
-    base = base.withColumn("_alpha_band", F.get(number, F.lit(0)))
-    key = ["raster_id", "tile_x", "tile_y"]
-    alpha = base.filter(F.col("band") == F.col("_alpha_band")).select(*key, F.col("pixels").alias("alpha"))
-    joined = base.join(alpha, key, "left")
-    colour = F.col("band") != F.col("_alpha_band")
-    return joined.withColumn("alpha", F.when(colour, F.col("alpha"))).drop("_alpha_band")
-
-
 def _output_band(band: Column, interpolation, output_type, nodata) -> Column:
     if output_type in ("FLOAT32", "FLOAT64"):
         kind = F.lit(output_type)
@@ -233,6 +217,7 @@ SHARE = T.StructType(
         T.StructField("full_height", T.LongType()),
         T.StructField("data_type", T.StringType()),
         T.StructField("nodata", T.DoubleType()),
+        T.StructField("colour", T.BooleanType()),
     ]
 )
 
@@ -299,6 +284,7 @@ def _tile_shares(row, pixels, interpolation):
                     pos=pos[hit].astype(np.int32), total=total[hit], weight=weight[hit],
                     tile_size=size, full_width=t["width"], full_height=t["height"],
                     data_type=row["out"]["data_type"], nodata=row["out"]["nodata"],
+                    colour=row["colour"],
                 )
 
 
@@ -317,7 +303,7 @@ def _contributions(row, block, usable, u, v, interpolation):
 
     if interpolation == "NEAREST":
         value, ok = pick(np.floor(u).astype(np.int64), np.floor(v).astype(np.int64))
-        return value, ok.astype(float)
+        return value, (ok > 0).astype(float)
     cu, cv = np.floor(u - 0.5), np.floor(v - 0.5)
     fu, fv = u - 0.5 - cu, v - 0.5 - cv
     total, weight = np.zeros(len(u)), np.zeros(len(u))
@@ -332,7 +318,7 @@ def _contributions(row, block, usable, u, v, interpolation):
 
 def _collect(shares: DataFrame) -> DataFrame:
     keys = ["raster_id", "band", "tile_x", "tile_y"]
-    context = ["tile_size", "full_width", "full_height", "data_type", "nodata"]
+    context = ["tile_size", "full_width", "full_height", "data_type", "nodata", "colour"]
     grouped = shares.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("from_y", "from_x", "pos", "total", "weight"))).alias("shares"),
         *[F.first(c).alias(c) for c in context],
@@ -353,6 +339,8 @@ def _collect(shares: DataFrame) -> DataFrame:
                     total[at] += t
                     weight[at] += w
                 block = finish(total, weight, row["data_type"], row["nodata"])
+                if row["colour"]:
+                    block = np.where(weight > 0, block, 0.0)
                 rows.append({**row, "level": 0, "col0": col0, "row0": row0, "width": n, "height": m})
                 blocks.append(block)
             if rows:

@@ -119,6 +119,16 @@ SELECT g.x, g.y, round(v, 6) AS v FROM g, s LEFT JOIN pixels p ON p.x = g.x * 3
     "resample_bilinear": f"""WITH {PIXELS}, s AS (SELECT ceil((max(y) + 1) / 2.0)::BIGINT AS rows, max(y) + 1 AS h FROM pixels), {_grid(50)},
 a AS (SELECT x // 2 AS x, y // 2 AS y, avg(v) AS v FROM pixels, s WHERE y // 2 * 2 + 1 < h GROUP BY 1, 2)
 SELECT g.x, g.y, round(v, 6) AS v FROM g, s LEFT JOIN a ON a.x = g.x AND a.y = rows - 1 - g.y""",
+    "resample_palette": f"""WITH {PIXELS}, s AS (SELECT ceil((max(y) + 1) / 2.0)::BIGINT AS rows, max(y) + 1 AS h FROM pixels), {_grid(50)},
+p AS (SELECT x, y, floor(v)::BIGINT % 16 AS i FROM pixels),
+a AS (SELECT x // 2 AS x, y // 2 AS y, avg(i * 4000) AS red, avg(60000 - i * 3000) AS green, avg(i * i * 250) AS blue,
+  65535 * count(i) / 4.0 AS alpha FROM p, s WHERE y // 2 * 2 + 1 < h GROUP BY 1, 2)
+SELECT g.x, g.y, coalesce(round_even(red, 0), 0)::BIGINT AS red, coalesce(round_even(green, 0), 0)::BIGINT AS green,
+  coalesce(round_even(blue, 0), 0)::BIGINT AS blue, coalesce(round_even(alpha::DOUBLE, 0), 0)::BIGINT AS alpha
+FROM g, s LEFT JOIN a ON a.x = g.x AND a.y = rows - 1 - g.y""",
+    "resample_palette_nearest": f"""WITH {PIXELS}, s AS (SELECT ceil((max(y) + 1) / 3.0)::BIGINT AS rows FROM pixels), {_grid(34)},
+p AS (SELECT x, y, floor(v)::BIGINT % 16 AS i FROM pixels WHERE v IS NOT NULL)
+SELECT g.x, g.y, i AS v, 60000 - i * 3000 AS green FROM g, s JOIN p ON p.x = g.x * 3 + 1 AND p.y = (rows - 1 - g.y) * 3 + 1""",
     "resample_finer": f"""WITH {PIXELS}, s AS (SELECT (max(y) + 1) * 2 AS rows FROM pixels), {_grid(200)}
 SELECT g.x, g.y, round(v, 6) AS v FROM g, s LEFT JOIN pixels p ON p.x = g.x // 2 AND p.y = (rows - 1 - g.y) // 2""",
     "overview_average": f"WITH RECURSIVE {LEVELS}, {PIXELS} " + _levels(_average),

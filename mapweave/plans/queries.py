@@ -135,6 +135,26 @@ def resample_bilinear(spark, folder):
     return _world(*resample.reproject(*P.raster(spark, folder), None, 2, 2, interpolation="BILINEAR"))
 
 
+@query
+def resample_palette(spark, folder):
+    """A palette between its pixels: 16-bit colours and opacity of every cell."""
+    meta, tiles = resample.reproject(*P.palette(spark, folder), None, 2, 2, interpolation="BILINEAR")
+    rows = F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")
+    grid = meta.select("width", rows).select(F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"), "y")
+    found = rasters.pixels_from_tiles(tiles).groupBy("x", "y").pivot("band", [1, 2, 3, 4]).agg(F.max("v"))
+    named = [F.coalesce(F.col(str(i + 1)), F.lit(0.0)).cast("long").alias(n) for i, n in enumerate(("red", "green", "blue", "alpha"))]
+    return grid.join(found, ["x", "y"], "left").select("x", "y", *named)
+
+
+@query
+def resample_palette_nearest(spark, folder):
+    """A palette by its nearest indexes; the colours come from the kept table."""
+    meta, tiles = resample.reproject(*P.palette(spark, folder), None, 3, 3)
+    cells = rasters.join_meta(rasters.pixels_from_tiles(tiles), meta, {"palette": F.col("palette")})
+    colour = F.get("palette", F.col("v").cast("int"))
+    return cells.filter("v <> 255").select("x", "y", F.col("v").cast("long").alias("v"), colour["green"].cast("long").alias("green"))
+
+
 @query
 def resample_finer(spark, folder):
     return _world(*resample.reproject(*P.raster(spark, folder), None, 0.5, 0.5))

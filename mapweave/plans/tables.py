@@ -54,6 +54,16 @@ def raster(spark, folder) -> tuple[DataFrame, DataFrame]:
     return meta, tiles_from_pixels(pixels(spark, folder), meta, RASTER)
 
 
+def palette(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """The same pixels as indexes of a palette of 16 colours."""
+    (last,) = table(spark, folder, "orders").agg(F.max("o_orderkey")).first()
+    colours = [dict(red=i * 4000, green=60000 - i * 3000, blue=i * i * 250) for i in range(16)]
+    grid = dict(width=100, height=last // 100 + 1, origin_x=0, origin_y=0, pixel_x=1, pixel_y=1, crs="LOCAL", tile_size=TILE)
+    meta = raster_meta(spark, [dict(raster_id=RASTER, **grid, color="PALETTE", palette=colours, bands=[dict(data_type="UINT8", nodata=255.0)])])
+    index = F.when(F.col("v").isNotNull(), (F.floor("v") % 16).cast("double")).alias("v")
+    return meta, tiles_from_pixels(pixels(spark, folder).select("raster_id", "band", "x", "y", index), meta, RASTER)
+
+
 def zone_corners(spark, folder, shift: float = 0.0) -> DataFrame:
     """id, x0, y0, x1, y1: one rectangle per customer, some far outside."""
     k = F.col("c_custkey")

@@ -126,6 +126,7 @@ def describe(path: str, raster_id: str, tile_size: int) -> dict:
         raster_id=raster_id, path=path, width=width, height=height, origin_x=origin_x, origin_y=origin_y,
         pixel_x=scale[0], pixel_y=-scale[1], srid=srid, crs=f"EPSG:{srid}" if srid else "", tile_size=tile_size,
         off_x=0, off_y=0, color=color, bands=bands, steps=[],
+        palette=_palette(tags.get(320)) if color == "PALETTE" else None, premultiplied=bool(extra) and extra[0] == 1,
     )
     tiled = 322 in tags
     bw, bh = (one(322), one(323)) if tiled else (width, min(one(278, height), height))
@@ -155,6 +156,14 @@ def _srid(keys) -> int:
     return 0 if code == 32767 else code
 
 
+def _palette(table) -> list[dict] | None:
+    """Colours of a colour map: all reds, then all greens, then all blues."""
+    if not table:
+        return None
+    n = len(table) // 3
+    return [dict(red=table[i], green=table[n + i], blue=table[2 * n + i]) for i in range(n)]
+
+
 def _scaling(xml: str) -> tuple[dict, dict]:
     """Scale and offset per band of the metadata items."""
     out = {"scale": {}, "offset": {}}
