@@ -78,7 +78,9 @@ def spatial_join(
     )
     hot = HotKeys(p.select("_cx", "_cy"), ["_cx", "_cy"], POINTS_PER_CELL)
     left = hot.spread(p, F.col(point_geom)["xmin"], F.col(point_geom)["ymin"], *points.columns[:1])
-    joined = left.join(hot.replicate(cover), ["_cx", "_cy", "_part"])
+    # never broadcast: the planner does not know how many rows a cover makes; the
+    # merge spills where a cell has many polygons
+    joined = left.join(hot.replicate(cover).hint("merge"), ["_cx", "_cy", "_part"])
     x, y = F.col(f"{point_geom}.xmin"), F.col(f"{point_geom}.ymin")
     inside = F.col("_edges").isNull() | (
         (x >= F.col("_box.xmin")) & (x <= F.col("_box.xmax")) & (y >= F.col("_box.ymin")) & (y <= F.col("_box.ymax"))

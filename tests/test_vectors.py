@@ -240,6 +240,15 @@ def test_join_on_boundaries_and_hot_cell(spark, monkeypatch):
     assert got == {i for i in range(400) if inside(i // 20 / 2, i % 20 / 2)}
 
 
+def test_spatial_join_sends_no_cover_whole(spark):
+    """A cover has an unknown number of rows, so it is shuffled, however small."""
+    pts = spark.range(10).select("id", st_point(F.col("id") / 10, 1 + F.col("id") / 10).alias("p"))
+    tri = W.Shape(W.POLYGON, False, False, [np.array([[0, 0], [4, 0], [0, 4], [0, 0.0]])])
+    joined = joins.spatial_join(pts, "p", frame(spark, [tri]).select(F.col("id").alias("z"), "g"), "g", 1.5, ["z"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and joined.count() == 10
+
+
 def test_relationship_findings(spark):
     origin = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dest = spark.createDataFrame([(1,), (1,), (3,), (3,), (None,)], "f int")
