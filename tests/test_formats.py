@@ -13,6 +13,7 @@ from mapweave.functions.geometry import st_box, st_geomfromwkb, st_isempty, st_p
 from mapweave.functions.polygons import assemble_polygons
 from mapweave.operators.errors import summarize_warnings, with_errors
 from mapweave.operators.features import FeatureOptions
+from mapweave.operators.colour import expand_palettes
 from mapweave.operators.rasters import pixels_from_tiles, raster_meta, tiles_from_pixels
 from mapweave.operators.zonal import zonal_stats
 from mapweave.sources import dbf, generate, geojson, geopackage
@@ -399,7 +400,7 @@ def test_ring_assembly(spark):
 # -- TIFF -------------------------------------------------------------------------------------------------
 
 
-def write_tiff(path, array, *, nodata=None, deflate=False, tiled=0, scale=(1.0, 1.0), origin=(0.0, 0.0), epsg=2056, metadata=""):
+def write_tiff(path, array, *, nodata=None, deflate=False, tiled=0, scale=(1.0, 1.0), origin=(0.0, 0.0), epsg=2056, metadata="", palette=None):
     """Little-endian TIFF of one band, strips of two rows or square tiles."""
     h, w = array.shape
     kind = {"u1": (1, 8), "f4": (3, 32), "f8": (3, 64), "i2": (2, 16)}[array.dtype.str[1:]]
@@ -428,6 +429,8 @@ def write_tiff(path, array, *, nodata=None, deflate=False, tiled=0, scale=(1.0,
         tags.update({273: ("I", offsets), 278: ("I", [2]), 279: ("I", [len(b) for b in blocks])})
     if nodata is not None:
         tags[42113] = ("s", str(nodata).encode() + b"\0")
+    if palette is not None:
+        tags.update({262: ("H", [3]), 320: ("H", palette.T.ravel().tolist())})
     if metadata:
         tags[42112] = ("s", metadata.encode() + b"\0")
     entries, at = b"", 8 + len(body)
@@ -471,6 +474,21 @@ def test_tiff_layouts(spark, tmp_path, deflate, tiled):
     assert (band["scale"], band["offset"], band["data_type"]) == (0.5, 100.0, "FLOAT32")
 
 
+def test_tiff_palette(spark, tmp_path):
+    """The colour map lists all reds, then all greens, then all blues."""
+    palette = np.random.default_rng(2).integers(0, 65536, (256, 3))
+    array = np.arange(256, dtype="u1").reshape(16, 16)
+    write_tiff(tmp_path / "p.tif", array, nodata=9, palette=palette, origin=(0.0, 16.0))
+    meta, tiles = read_tiff(spark, str(tmp_path / "p.tif"), tile_size=8)
+    assert meta.first()["color"] == "PALETTE" and [tuple(c) for c in meta.first()["palette"]] == [tuple(c) for c in palette.tolist()]
+    rgba = np.zeros((256, 4))
+    for r in pixels_from_tiles(expand_palettes(meta, tiles)[1]).collect():
+        rgba[r["y"] * 16 + r["x"], r["band"] - 1] = r["v"]
+    want = np.column_stack([palette, np.full(256, 65535)])
+    want[9] = 0
+    assert np.array_equal(rgba, want)
+
+
 def test_unsupported_tiff(spark, tmp_path):
     (tmp_path / "x.tif").write_bytes(b"II+\0" + bytes(20))
     with pytest.raises(Exception, match="classic TIFF"):
