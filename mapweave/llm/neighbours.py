@@ -24,7 +24,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import settle
+from mapweave.llm.common import cut_lineage, settle
 
 #: projected dimensions, seed of the projection, probability of the stopping
 #: test, neighbours
@@ -33,6 +33,10 @@ DIMENSIONS, SEED, CONFIDENCE, NEIGHBOURS = 12, 5, 0.995, 5
 #: vectors the splits are fitted on, vectors of a cell's part, of a leaf
 SAMPLE, PART, LEAF = 20_000, 8192, 64
 
+#: queries that search a part in one group; more are cut into blocks, each with
+#: a copy of the part
+QUERIES = 8192
+
 
 def chi_square(p: float, m: int) -> float:
     """The value a chi-square variable of ``m`` (even) degrees exceeds with
@@ -243,9 +247,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, confiden
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
 
-    def run(targets: DataFrame) -> DataFrame:
-        both = items.unionByName(targets)
-        return both.groupBy("size", "cell", "part").applyInArrow(within, "query_id long, vec_id long, score double")
+    def run(targets: DataFrame, asking: DataFrame) -> DataFrame:
+        """``asking``: how many queries ``n`` search each cell.  A group has at
+        most about PART vectors and QUERIES queries; a part that no query
+        searches is not sent."""
+        blocks = asking.select("size", "cell", F.ceil(F.col("n") / QUERIES).cast("int").alias("blocks"))
+        each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        copies = items.join(F.broadcast(blocks), ["size", "cell"]).select(*items.columns, each)
+        dealt_out = targets.join(F.broadcast(blocks), ["size", "cell"]).select(*items.columns, F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks")).cast("int").alias("block"))
+        both = copies.unionByName(dealt_out)
+        return both.groupBy("size", "cell", "part", "block").applyInArrow(within, "query_id long, vec_id long, score double")
 
     def ranked(found: DataFrame) -> DataFrame:
         once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -256,7 +267,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, confiden
     # two vectors of length one is 2
     everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     home = homes.join(F.broadcast(parts), ["size", "cell"]).select("size", "cell", everywhere, F.col("vec_id").alias("id"), "v", F.lit(2.0).alias("known"))
-    near = ranked(run(home)).select("query_id", "vec_id", "score")
+    at_home = homes.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n"))
+    near = cut_lineage(ranked(run(home, at_home)).select("query_id", "vec_id", "score"))
+    if not any(splits.values()):
+        return ranked(near).select("query_id", "rank", "vec_id", "score")
     worst = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
     known = F.when(F.col("n") >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("worst")))).otherwise(F.lit(2.0))
 
@@ -274,8 +288,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, confiden
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "v", "size", "known")), pa.array(cells, pa.list_(pa.int64()))], ["vec_id", "v", "size", "known", "cells"])
 
     bounded = homes.join(worst, homes["vec_id"] == worst["query_id"], "left").select("vec_id", "v", "size", "cell", known.alias("known"))
-    visits = bounded.mapInArrow(visit, "vec_id long, v array<double>, size int, known double, cells array<long>")
+    visits = cut_lineage(bounded.mapInArrow(visit, "vec_id long, v array<double>, size int, known double, cells array<long>"))
+    visiting = visits.select("size", F.explode("cells").alias("cell")).groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n"))
     other = visits.select("size", F.explode("cells").alias("cell"), F.col("vec_id").alias("id"), "v", "known")
     other = other.join(F.broadcast(parts), ["size", "cell"]).select("size", "cell", everywhere, "id", "v", "known")
-    result = near.unionByName(run(other)) if any(splits.values()) else near
-    return ranked(result).select("query_id", "rank", "vec_id", "score")
+    return ranked(near.unionByName(run(other, visiting))).select("query_id", "rank", "vec_id", "score")

@@ -89,3 +89,33 @@ def test_query(spark):
     assert len(rows) == 5 * len(want) and recall(rows, want) > 0.95
     exact = {(q, i): s for q, best in want.items() for i, s in best}
     assert all(abs(r.score - exact[r.query_id, r.vec_id]) < 1e-12 for r in rows if (r.query_id, r.vec_id) in exact)
+
+
+def test_groups_are_bounded(spark, monkeypatch):
+    """Neither the vectors nor the queries of a group grow with the input, and
+    blocks of queries find what one group finds."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 16)))], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 3 = 0")
+    monkeypatch.setattr(nn, "PART", 100)
+    want = nn.search(df, asked).collect()
+    sizes = spark.sparkContext.accumulator(0)
+    most = 40
+
+    class Counted(nn.Part):
+        def __init__(self, ids, vectors, matrix):
+            super().__init__(ids, vectors, matrix)
+            self.asked = 0
+
+        def search(self, *arguments):
+            self.asked += 1
+            if self.asked > most:
+                sizes.add(1)
+            return super().search(*arguments)
+
+    monkeypatch.setattr(nn, "QUERIES", 20)
+    monkeypatch.setattr(nn, "Part", Counted)
+    got = nn.search(df, asked).collect()
+    key = lambda r: (r.query_id, r["rank"], r.vec_id, r.score)
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    assert sizes.value == 0
