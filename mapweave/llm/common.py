@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Iterator
 
@@ -51,6 +52,15 @@ def read(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def give_back() -> None:
+    """Returns the memory that a finished task has freed to the system: Spark
+    keeps the worker for later tasks, beside those of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of an id as text, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import CHUNK, SPACES, gram_hashes, settle, slices, span_hashes, text_bytes, widened
+from mapweave.llm.common import CHUNK, SPACES, cut_lineage, give_back, gram_hashes, settle, slices, span_hashes, text_bytes, text_hash, widened
 
 #: bytes of a segment and between segments, of a q-gram, of the shortest item
 #: that may have edits, and edits per byte; a shorter item, of a q-gram at least,
@@ -32,11 +32,18 @@ SEGMENT, STRIDE, GRAM, SHORTEST, RATE = 80, 40, 10, 30, 0.075
 #: EXACT + STEP - 1 bytes holds one
 EXACT, STEP = 48, 8
 
-#: bytes of benchmark text that one pass over the documents looks for
-PASS_BYTES = 8 << 20
+#: bytes of benchmark text that one pass over the documents looks for; its index
+#: takes some 50 times as much in every worker
+PASS_BYTES = 2 << 20
 
 #: shared q-grams that are handled at a time
-PAIRS = 4_000_000
+PAIRS = 1_000_000
+
+#: bytes of documents that are handled at a time (a longer text alone)
+SLICE = 1 << 20
+
+#: texts with matches that may be sent to all executors; more are joined by a shuffle
+BROADCAST_TEXTS = 200_000
 
 MATCHES = "matches array<struct<item_id: long, start: long, end: long, edits: int>>"
 
@@ -64,7 +71,9 @@ def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = new[1:][new[1:] > new[:-1]] - 1
     trailing = ends[low[index[ends]] == 0x20]
     index = np.delete(index, trailing)
-    return low[index], np.searchsorted(index, offsets), index
+    # places take half the room while they fit
+    small = index.astype(np.int32) if len(data) < 1 << 31 else index
+    return low[index], np.searchsorted(index, offsets), small
 
 
 @dataclass
@@ -111,7 +120,7 @@ def index(items: list[tuple[int, str]], rate: float = RATE) -> Index:
     place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in hashes)])
     bits = np.zeros(1 << 22, bool)
     bits[(known >> np.uint64(42)).astype(np.int64)] = True
-    return Index(np.array(ids, np.int64), segments, budgets, size - GRAM + 1 - GRAM * budgets, known, np.append(first, len(h)), owner[order], place[order], bits, *_exact_pieces(whole, owners))
+    return Index(np.array(ids, np.int64), segments, budgets, size - GRAM + 1 - GRAM * budgets, known, np.append(first, len(h)), owner[order].astype(np.int32), place[order].astype(np.int32), bits, *_exact_pieces(whole, owners))
 
 
 def _exact_pieces(whole: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, ...]:
@@ -287,19 +296,38 @@ def find(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, pass_by
     than :data:`SHORTEST` bytes match whole, without edits and between word
     borders; items shorter than :data:`GRAM` bytes, NULL items and items without id match nothing;
     so does a NULL or empty text.  Equal rows get equal matches.  A column
-    called ``matches`` is replaced.  The documents are not shuffled; the
-    benchmark is read in parts of at most about ``pass_bytes``, one pass over
-    the documents each.
+    called ``matches`` is replaced.  A benchmark of at most about ``pass_bytes`` is
+    looked for without a shuffle, in one pass over the documents.  A larger one
+    is read in such parts, a job each, that write down the matches of every text
+    that has some; these are joined to the documents by 128 bits of the text's hash.
     """
     settle(documents.sparkSession)
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // pass_bytes)
-    result = documents.drop("matches").withColumn("matches", F.expr(f"CAST(array() AS {MATCHES.split(' ', 1)[1]})"))
-    for part in range(parts):
+    none = F.expr(f"CAST(array() AS {MATCHES.split(' ', 1)[1]})")
+    plain = documents.drop("matches")
+
+    def known(part: int) -> Index:
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        result = _pass(result, index([(r.item_id, r.text) for r in mine], rate))
-    return result
+        return index([(r.item_id, r.text) for r in mine], rate)
+
+    if parts <= 1:
+        result = plain.withColumn("matches", none)
+        return _pass(result, known(0)) if parts else result
+    texts = plain.select(text_hash(1).alias("_h1"), text_hash(2).alias("_h2"), "text", none.alias("matches"))
+    found = None
+    for part in range(parts):
+        # one index and one worker per core at a time, whatever the benchmark's size
+        hits = cut_lineage(_pass(texts, known(part)).filter(F.size("matches") > 0).select("_h1", "_h2", "matches").dropDuplicates(["_h1", "_h2"]))
+        found = hits if found is None else found.unionByName(hits)
+    by_place = F.expr("array_sort(flatten(collect_list(transform(matches, m -> struct(m.start AS a, m.end AS b, m.item_id AS c, m.edits AS d)))))")
+    ordered = found.groupBy("_h1", "_h2").agg(by_place.alias("_places"))
+    hits = cut_lineage(ordered.selectExpr("_h1", "_h2", "transform(_places, p -> struct(p.c AS item_id, p.a AS start, p.b AS end, p.d AS edits)) AS _found"))
+    few = hits.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS and (hits.agg(F.sum(F.size("_found"))).first()[0] or 0) <= 4 * BROADCAST_TEXTS
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(plain.columns)]
+    joined = plain.select(*own, text_hash(1).alias("_h1"), text_hash(2).alias("_h2")).join(F.broadcast(hits) if few else hits, ["_h1", "_h2"], "left")
+    return joined.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(plain.columns)), F.coalesce("_found", none).alias("matches"))
 
 
 def _pass(documents: DataFrame, known: Index) -> DataFrame:
@@ -308,13 +336,18 @@ def _pass(documents: DataFrame, known: Index) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            low, bound, origin = normal(data, offsets) if len(data) else (data, offsets, offsets)
             found: dict[int, tuple[set, set]] = {}
-            passages: list[tuple] = []
-            matches = list(_matches(low, bound, known, passages)) if len(low) >= GRAM else []
-            for kind, places in enumerate((matches, passages)):
-                for text, item, start, end, edits in places:
-                    found.setdefault(text, (set(), set()))[kind].add((item, int(origin[start]), int(origin[end - 1]) + 1, edits))
+            for a, b in slices(offsets, SLICE):
+                begin = int(offsets[a])
+                part, inner = data[begin : int(offsets[b])], offsets[a : b + 1] - begin
+                if len(part) < GRAM:
+                    continue
+                low, bound, origin = normal(part, inner)
+                passages: list[tuple] = []
+                matches = list(_matches(low, bound, known, passages)) if len(low) >= GRAM else []
+                for kind, places in enumerate((matches, passages)):
+                    for text, item, start, end, edits in places:
+                        found.setdefault(a + text, (set(), set()))[kind].add((item, begin + int(origin[start]), begin + int(origin[end - 1]) + 1, edits))
             out = batch.column("matches")
             if found:
                 lists = out.to_pylist()
@@ -327,6 +360,7 @@ def _pass(documents: DataFrame, known: Index) -> DataFrame:
                 out = pa.array(lists, out.type)
             columns = [batch.column(f) for f in schema.fieldNames()[:-1]] + [out]
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+        give_back()
 
     return documents.select(schema.fieldNames()).mapInArrow(run, schema)
 

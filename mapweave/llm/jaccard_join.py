@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.llm.common import NO_ID, apart, cut_lineage, gram_hashes, mix, settle, slices, span_hashes, text_bytes, word_spans
+from mapweave.llm.common import NO_ID, apart, cut_lineage, give_back, gram_hashes, mix, settle, slices, span_hashes, text_bytes, word_spans
 
 #: words of a shingle
 WORDS = 5
@@ -94,8 +94,14 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     its signature; ``kind`` 1: frequent shingles (``d1``) with a count (``n``)."""
 
     def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        h, n = h[n >= FREQUENT].view(np.int64), n[n >= FREQUENT]
+        h = np.concatenate(held)
+        held.clear()
+        h.sort()
+        # only what is repeated often enough is counted
+        many = h[: max(0, len(h) - FREQUENT + 1)]
+        many = np.unique(many[many == h[FREQUENT - 1 :]])
+        n = np.searchsorted(h, many, "right") - np.searchsorted(h, many, "left")
+        h = many.view(np.int64)
         zero = np.zeros(len(h), np.int64)
         return batch_of(np.ones(len(h), np.int32), zero, zero, n, h, zero, [None] * len(h))
 
@@ -122,7 +128,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
         if held:
             yield frequent(held)
         held.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return texts.mapInArrow(run, "kind int, key long, tid long, n long, d1 long, d2 long, signature binary")
 
@@ -207,7 +213,7 @@ def _prefixes(texts: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
             if hs:
                 columns = [np.concatenate(hs).view(np.int64), *(np.repeat(np.array(c, np.int64), sizes) for c in (ns, ds))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "n", "d1"])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return texts.mapInArrow(run, "h long, n long, d1 long")
 
@@ -410,7 +416,7 @@ def _by_task(rows: DataFrame, function, schema: str) -> DataFrame:
     def connecting(batches):
         # in the same worker: of a task's edges only those that connect something
         yield from _spanning(run(batches))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(connecting, schema)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mapweave.llm import decontaminate as dc
@@ -158,3 +159,28 @@ def test_short_items(spark, docs):
     rows = [(1, "the Capital  of Peru."), (2, "capital of perul"), (3, "yes"), (4, "capital of Peru"), (5, "capital of")]
     got = {r.doc_id: [m.item_id for m in r.matches] for r in dc.find(docs(rows), bench).collect()}
     assert got == {1: [1], 2: [], 3: [], 4: [1], 5: []}
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_parts_of_the_benchmark(spark, docs, monkeypatch, most):
+    """Parts are looked for one after the other, no worker waits for another,
+    and give what one pass gives; also for columns with the names used inside."""
+    monkeypatch.setattr(dc, "BROADCAST_TEXTS", most)
+    items, rows = corpus(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = docs([*rows, *rows[:5]]).withColumn("_h1", F.lit("x")).withColumn("_found", F.lit(2))
+    plain = lambda df: sorted((r.doc_id or -1, r.text or "", [tuple(m) for m in r.matches]) for r in df.collect())
+    one, many = dc.find(table, bench), dc.find(table, bench, pass_bytes=700)
+    assert many.columns == one.columns and many.schema["matches"].dataType == one.schema["matches"].dataType
+    assert "MapInArrow" not in many._jdf.queryExecution().executedPlan().toString()
+    assert plain(many) == plain(one)
+    assert many.select("_h1", "_found").distinct().collect() == [("x", 2)]
+
+
+def test_long_texts_in_slices(docs, spark, monkeypatch):
+    """A batch is handled in slices; places count from the text's own start."""
+    items, rows = corpus(5)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {tuple(r) for r in dc.find(docs(rows[:50]), bench).selectExpr("doc_id", "to_json(matches) m").collect()}
+    monkeypatch.setattr(dc, "SLICE", 200)
+    assert {tuple(r) for r in dc.find(docs(rows[:50]), bench).selectExpr("doc_id", "to_json(matches) m").collect()} == want
