@@ -8,7 +8,9 @@ import shutil
 from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings the operators rely on.  Tile rows are large (a 512 x 512
-#: tile of doubles is 2 MiB), so Arrow batches are also limited by bytes.
+#: tile of doubles is 2 MiB), so Arrow batches are also limited by bytes.  A
+#: worker holds two batches and what it makes of them, and a core has up to three
+#: workers at a time: the limit, not the partition, decides on their memory.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,7 +23,7 @@ RUNTIME = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 

@@ -175,3 +175,34 @@ def test_many_colours_are_not_broadcast(spark, indexes, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan
+
+
+def test_worker_memory_does_not_follow_the_partition(spark, tmp_path, monkeypatch):
+    """Tiles come to a worker in batches of a few MiB, however many a partition holds."""
+    kernel, log = resample._share_kernel, str(tmp_path / "sizes")
+
+    def watched(interpolation):
+        share = kernel(interpolation)
+
+        def run(batches):
+            for batch in batches:
+                with open(log, "a") as out:
+                    out.write(f"{batch.nbytes}\n")
+                yield from share([batch])
+
+        return run
+
+    monkeypatch.setattr(resample, "_share_kernel", watched)
+    many, size = 400, 32
+    grid = dict(width=many * size, height=size, origin_x=0, origin_y=size, pixel_x=1, pixel_y=-1, tile_size=size)
+    meta = rasters.raster_meta(spark, [dict(raster_id="r", **grid, bands=[dict(data_type="UINT8", nodata=255.0)], color="PALETTE", palette=TABLE)])
+    tiles = spark.range(0, many, 1, 1).selectExpr(
+        "'r' AS raster_id", "0 AS level", "1 AS band", "int(id) AS tile_x", "0 AS tile_y", f"id * {size} AS col0", "0L AS row0",
+        f"{size} AS width", f"{size} AS height", f"array_repeat(3D, {size * size}) AS pixels",
+    )
+    out = rasters.pixels_from_tiles(resample.reproject(meta, tiles, None, 2, 2, interpolation="BILINEAR")[1])
+    found = out.groupBy("band").agg(F.min("v"), F.max("v"), F.count("v")).sort("band").collect()
+    colour3 = [float(TABLE[3][n]) for n in ("red", "green", "blue")]
+    assert [tuple(r) for r in found] == [(b + 1, v, v, many * size * size // 4) for b, v in enumerate([*colour3, 65535.0])]
+    sizes = [int(n) for n in open(log).read().split()]
+    assert sum(sizes) > 25e6 and max(sizes) < 6e6
