@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapweave.operators import colour, rasters, resample
+from mapweave.session import configure
 from mapweave.sources.raster_store import read_raster, write_raster
 
 W, H = 13, 9
@@ -193,6 +194,7 @@ def test_worker_memory_does_not_follow_the_partition(spark, tmp_path, monkeypatc
         return run
 
     monkeypatch.setattr(resample, "_share_kernel", watched)
+    configure(spark)  # the text operators of other tests set their own limits
     many, size = 400, 32
     grid = dict(width=many * size, height=size, origin_x=0, origin_y=size, pixel_x=1, pixel_y=-1, tile_size=size)
     meta = rasters.raster_meta(spark, [dict(raster_id="r", **grid, bands=[dict(data_type="UINT8", nodata=255.0)], color="PALETTE", palette=TABLE)])
